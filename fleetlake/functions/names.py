@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fleetlake.registry import FILE_TYPES, UNKNOWN_TYPE
+from fleetlake.registry import FILE_TYPES
 
 # --- Fixed values: the naming convention of incoming files. -------------------------------
 STRICT_NAME = r"^([a-z_]+)_\d{14}\.json$"
@@ -27,29 +27,18 @@ def decoded(uri: Column) -> Column:
     return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
 
 
-def _strict_type(name: Column, types: Iterable[str]) -> Column:
+def strict_type(name: Column, types: Iterable[str] = tuple(FILE_TYPES)) -> Column:
+    """The type of a name that follows the convention, plural or singular; else null."""
     prefix = F.regexp_extract(F.lower(name), STRICT_NAME, 1)
     singular = F.regexp_replace(prefix, PLURAL_PREFIX, SINGULAR_PREFIX)
     return F.when(singular.isin(*types), singular)
 
 
-def _contained_type(name: Column, types: Iterable[str]) -> Column:
+def contained_type(name: Column, types: Iterable[str] = tuple(FILE_TYPES)) -> Column:
+    """The first type, in registry order, that occurs anywhere in the name; else null."""
     return F.coalesce(*[F.when(F.lower(name).contains(t), F.lit(t)) for t in types])
 
 
-def file_type_of(name: Column, types: Iterable[str] = tuple(FILE_TYPES)) -> Column:
-    return F.coalesce(_strict_type(name, types), _contained_type(name, types), F.lit(UNKNOWN_TYPE))
-
-
-def match_kind(name: Column, types: Iterable[str] = tuple(FILE_TYPES)) -> Column:
-    """``strict``: the naming convention; ``fallback``: the name contains a type; ``none``."""
-    return (
-        F.when(_strict_type(name, types).isNotNull(), "strict")
-        .when(_contained_type(name, types).isNotNull(), "fallback")
-        .otherwise("none")
-    )
-
-
 def stamp_of(name: Column) -> Column:
     """The first run of fourteen digits, null when there is none."""
     return F.nullif(F.regexp_extract(name, STAMP, 1), F.lit(""))

@@ -77,6 +77,11 @@ def parse_instant(text: Column) -> Column:
     return F.when(text.rlike(ISO_WITHOUT_ZONE), zoneless).when(text.rlike(ISO_DATE), zoned)
 
 
+def event_date(df: DataFrame, column: str) -> Column:
+    """The UTC day of a time column."""
+    return utc_reading(df, column).cast("date")
+
+
 def event_day(df: DataFrame, column: str) -> Column:
-    """The UTC day of a time column as ``yyyy-MM-dd`` text."""
-    return utc_reading(df, column).cast("date").cast("string")
+    """The same as ``yyyy-MM-dd`` text."""
+    return event_date(df, column).cast("string")

@@ -6,19 +6,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.functions import names, times
+from fleetlake.registry import UNKNOWN_TYPE
 
 
 def classify(files: DataFrame, ingest_date: Column | None = None, name: str = "file_name") -> DataFrame:
-    """Adds ``file_type``, ``match_kind`` and the arrival ``date`` (null for a bad stamp)."""
+    """Adds ``file_type``, ``match_kind`` and the arrival ``date`` (null for a bad stamp).
+
+    ``match_kind`` is ``strict`` for a name that follows the convention, ``fallback`` for one
+    that merely contains a type, ``none`` for an unknown file.
+    """
     column = F.col(name)
     today = times.utc_today() if ingest_date is None else ingest_date
-    return files.withColumns(
+    strict, contained = F.col("strict_type"), F.col("contained_type")
+    matched = files.withColumns(
         {
-            "file_type": names.file_type_of(column),
-            "match_kind": names.match_kind(column),
+            "strict_type": names.strict_type(column),
+            "contained_type": names.contained_type(column),
             "date": names.partition_date(column, today),
         }
     )
+    return matched.withColumns(
+        {
+            "file_type": F.coalesce(strict, contained, F.lit(UNKNOWN_TYPE)),
+            "match_kind": F.when(strict.isNotNull(), "strict")
+            .when(contained.isNotNull(), "fallback")
+            .otherwise("none"),
+        }
+    ).drop("strict_type", "contained_type")
 
 
 def group_by_type(files: DataFrame) -> DataFrame:

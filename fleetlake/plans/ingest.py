@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from itertools import islice
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.functions import times
@@ -116,13 +116,17 @@ def load_batch(
 ) -> BatchResult:
     """Loads the listed files (``file_path, path, date``), parsing each once.
 
-    The parsed records are staged by reason, so the policy is decided from exact counts before the
-    lake changes, and loading reads columns instead of JSON.  Under ``fail_batch`` one bad record
+    The parsed records are staged by reason while the refused ones are counted, so the policy is
+    decided before the lake changes, and loading reads columns instead of JSON.  Under ``fail_batch`` one bad record
     keeps the whole batch out; under ``quarantine`` only what is bad stays out.
     """
     envelopes = read_envelopes(spark, [row.path for row in listed], file_type)
-    staged = sinks.stage(tagged_records(envelopes, file_type, ingest_date), "ingest", "reason")
-    clean = not quality.rejected(staged).limit(1).count()
+    refused = Observation()
+    tagged = tagged_records(envelopes, file_type, ingest_date).observe(
+        refused, F.count_if(F.col("reason") != quality.OK).alias("rows")
+    )
+    staged = sinks.stage(tagged, "ingest", "reason")
+    clean = not refused.get["rows"]
     loaded = clean or policy == QUARANTINE
     rows = 0
     if loaded:

@@ -79,7 +79,7 @@ def backfill_events(
         arrived = arrived.where(F.col("date") < F.lit(last_day + timedelta(days=lookback_days)))
     window = latest.late_window(arrived, first_day, last_day)
     if lookback_days is not None:
-        own_day = times.utc_reading(window, "event_time").cast("date")
+        own_day = times.event_date(window, "event_time")
         window = window.where(
             (F.col("date") >= own_day) & (F.col("date") < F.date_add(own_day, lookback_days))
         )
@@ -90,13 +90,13 @@ def summarize(events: DataFrame, tie_break: Sequence[str] = latest.TIE_BREAK) ->
     """Summary rows for every (vehicle, day) among ``events``, read in one pass and one shuffle."""
     needed = dict.fromkeys(["vehicle_id", "event_time", "event_type", *tie_break])
     last = latest.last_per_vehicle_day(
-        latest.with_event_day(events.select(*needed)), tie_break=tie_break
+        latest.with_event_date(events.select(*needed)), tie_break=tie_break
     )
     return last.select(
         "vehicle_id",
         F.col("event_time").alias("last_event_time"),
         F.col("event_type").alias("last_event_type"),
-        "day",
+        F.col("day").cast("string").alias("day"),
     )
 
 

@@ -47,10 +47,10 @@ def daily_summary(spark, sf_dir):
 
 def last_event_per_vehicle_day(spark, sf_dir):
     events = given.vehicle_events(spark, sf_dir).select("vehicle_id", "event_time", "event_type", "event_id")
-    last = latest.last_per_vehicle_day(latest.with_event_day(events), tie_break=BY_ID)
+    last = latest.last_per_vehicle_day(latest.with_event_date(events), tie_break=BY_ID)
     return last.select(
         "vehicle_id",
-        "day",
+        F.col("day").cast("string").alias("day"),
         F.col("event_time").alias("last_event_time"),
         F.col("event_type").alias("last_event_type"),
         "event_id",
