@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from fleetlake.operators.quality import SCHEMA_REASONS
 
 
+BATCH_RESULTS = (
+    "batch_id string, file_type string, processed long, failed long, "
+    "rows_loaded long, rows_rejected long, schema_errors long"
+)
+
+
 def batch_results(ledger: DataFrame, rejects: DataFrame) -> DataFrame:
     """One row per batch: files by outcome, rows loaded, rows rejected and why."""
     loaded = ledger.groupBy("batch_id", "file_type").agg(

@@ -11,33 +11,40 @@ from fleetlake.registry import LEDGER, REJECTS
 from fleetlake.sources.tables import read_table
 
 
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """Counts rows as they are written, so that no rescan is needed."""
+    written = Observation()
+    return df.observe(written, F.count(F.lit(1)).alias("rows")), written
+
+
 def append_partitioned(
     df: DataFrame, path: str, partition: str = "date", by_partition: bool = False
 ) -> int:
-    """Appends to a table partitioned by ``partition``; returns the rows written, without a rescan.
+    """Appends to a table partitioned by ``partition``; returns the number of rows.
 
     ``by_partition`` suits loads over many dates: without it every task would open a file per
     date.  The rebalance splits a date that holds much of the data over several tasks and merges
     small ones, so no date has to pass through a single task.  A load of one or two dates needs
     no shuffle and should leave it off.
     """
-    written = Observation()
-    rows = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    rows, written = _counted(df)
     if by_partition:
         rows = rows.hint("rebalance", F.col(partition))
     rows.write.mode("append").partitionBy(partition).parquet(path)
     return written.get["rows"]
 
 
-def overwrite_days(df: DataFrame, path: str, partition: str = "day") -> None:
-    """Replaces the days present in ``df`` and leaves all others alone."""
+def overwrite_days(df: DataFrame, path: str, partition: str = "day") -> int:
+    """Replaces the days present in ``df`` and leaves all others alone; returns the row count."""
+    rows, written = _counted(df)
     (
-        df.hint("rebalance", F.col(partition))
+        rows.hint("rebalance", F.col(partition))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
+    return written.get["rows"]
 
 
 def stage(df: DataFrame, label: str, *partition: str) -> DataFrame:

@@ -8,9 +8,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
 from datetime import date, datetime
-from itertools import islice
+from itertools import groupby, islice
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -44,14 +43,6 @@ class BatchRejected(RuntimeError):
         self.counts = counts
 
 
-@dataclass(frozen=True)
-class BatchResult:
-    batch_id: str
-    file_type: str
-    loaded: bool
-    rows: int
-
-
 def ledger_table(spark: SparkSession, lake: Lake) -> DataFrame:
     return open_table(spark, lake.ledger, LEDGER, "file_type")
 
@@ -105,6 +96,40 @@ def _in_batches(rows: Iterator[Row], size: int) -> Iterator[list[Row]]:
         yield batch
 
 
+def _listed_files(spark: SparkSession, listed: Sequence[Row]) -> DataFrame:
+    rows = [(row.file_path, row.file_name, row.file_type) for row in listed]
+    return spark.createDataFrame(rows, "file_path string, file_name string, file_type string")
+
+
+def _record(
+    lake: Lake, batch_id: str, file_type: str, ledger: DataFrame, rejects: DataFrame | None
+) -> Row:
+    """Writes the batch's ledger and reject rows and counts them on the way."""
+    seen_files, seen_rejects = Observation(), Observation()
+    refused = {"rows_rejected": 0, "schema_errors": 0}
+    if rejects is not None:
+        broke_schema = F.col("reason").isin(*quality.SCHEMA_REASONS)
+        sinks.append_rejects(
+            rejects.observe(
+                seen_rejects,
+                F.count(F.lit(1)).alias("rows_rejected"),
+                F.count_if(broke_schema).alias("schema_errors"),
+            ),
+            lake.rejects,
+        )
+        refused = seen_rejects.get
+    sinks.append_ledger(
+        ledger.observe(
+            seen_files,
+            F.count_if(F.col("state") == "processed").alias("processed"),
+            F.count_if(F.col("state") == "failed").alias("failed"),
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows_loaded"),
+        ),
+        lake.ledger,
+    )
+    return Row(batch_id=batch_id, file_type=file_type, **seen_files.get, **refused)
+
+
 def load_batch(
     spark: SparkSession,
     lake: Lake,
@@ -113,12 +138,13 @@ def load_batch(
     batch_id: str,
     policy: str = FAIL_BATCH,
     ingest_date: Column | None = None,
-) -> BatchResult:
+) -> Row:
     """Loads the listed files (``file_path, path, date``), parsing each once.
 
     The parsed records are staged by reason while the refused ones are counted, so the policy is
-    decided before the lake changes, and loading reads columns instead of JSON.  Under ``fail_batch`` one bad record
-    keeps the whole batch out; under ``quarantine`` only what is bad stays out.
+    decided before the lake changes, and loading reads columns instead of JSON.  Under
+    ``fail_batch`` one bad record keeps the whole batch out; under ``quarantine`` only what is bad
+    stays out.
     """
     envelopes = read_envelopes(spark, [row.path for row in listed], file_type)
     refused = Observation()
@@ -128,49 +154,49 @@ def load_batch(
     staged = sinks.stage(tagged, "ingest", "reason")
     clean = not refused.get["rows"]
     loaded = clean or policy == QUARANTINE
-    rows = 0
     if loaded:
         many_dates = len({row.date for row in listed}) > 2
-        rows = sinks.append_partitioned(
+        sinks.append_partitioned(
             quality.good(staged, file_type),
             lake.raw(file_type.name),
             file_type.partition_column,
             by_partition=many_dates,
         )
-    if not clean:
-        sinks.append_rejects(_reject_rows(staged, file_type.name, batch_id), lake.rejects)
-    file_list = spark.createDataFrame(
-        [(row.file_path, file_type.name) for row in listed], "file_path string, file_type string"
+    return _record(
+        lake,
+        batch_id,
+        file_type.name,
+        _ledger_rows(_listed_files(spark, listed), staged, batch_id, loaded),
+        None if clean else _reject_rows(staged, file_type.name, batch_id),
     )
-    sinks.append_ledger(_ledger_rows(file_list, staged, batch_id, loaded), lake.ledger)
-    return BatchResult(batch_id, file_type.name, loaded, rows)
 
 
-def refuse_unknown(lake: Lake, unknown: DataFrame, batch_id: str) -> None:
+def refuse_unknown(spark: SparkSession, lake: Lake, listed: Sequence[Row], batch_id: str) -> Row:
     """Files of no supported type: a reject and a ledger row each."""
-    now = F.current_timestamp()
-    sinks.append_rejects(
+    unknown = _listed_files(spark, listed).select(
+        "*", F.lit(batch_id).alias("batch_id"), F.current_timestamp().alias("now")
+    )
+    return _record(
+        lake,
+        batch_id,
+        UNKNOWN_TYPE,
         unknown.select(
-            F.lit(batch_id).alias("batch_id"),
             "file_path",
-            F.lit("unknown_type").alias("reason"),
-            F.col("file_name").alias("detail"),
-            F.lit(None).cast("string").alias("record"),
-            now.alias("rejected_at"),
+            F.lit("failed").alias("state"),
+            F.lit(0).cast("long").alias("rows"),
+            "batch_id",
+            F.col("now").alias("recorded_at"),
             "file_type",
         ),
-        lake.rejects,
-    )
-    sinks.append_ledger(
         unknown.select(
+            "batch_id",
             "file_path",
-            F.lit("failed").alias("state"),
-            F.lit(0).cast("long").alias("rows"),
-            F.lit(batch_id).alias("batch_id"),
-            now.alias("recorded_at"),
+            F.lit("unknown_type").alias("reason"),
+            F.col("file_name").alias("detail"),
+            F.lit(None).cast("string").alias("record"),
+            F.col("now").alias("rejected_at"),
             "file_type",
         ),
-        lake.ledger,
     )
 
 
@@ -201,7 +227,7 @@ def run_ingest(
     modified_after: datetime | None = None,
     raise_on_failure: bool = True,
 ) -> DataFrame:
-    """Loads every new file under ``folder``; returns one row of counters for this run.
+    """Loads every new file under ``folder``; returns one row of counters for the run.
 
     A file type with more than ``files_per_batch`` new files is loaded in several batches, oldest
     dates first, each with its own all-or-nothing decision.  The driver holds the paths of one
@@ -217,29 +243,27 @@ def run_ingest(
         "incoming",
         "file_type",
     )
-    unknown = found.where(F.col("file_type") == UNKNOWN_TYPE)
-    if unknown.limit(1).count():
-        refuse_unknown(lake, unknown, f"{run_id}/{UNKNOWN_TYPE}")
-    for file_type in FILE_TYPES.values():
-        pending = found.where(F.col("file_type") == file_type.name).orderBy("date", "file_path")
-        batches = _in_batches(pending.toLocalIterator(), files_per_batch)
-        for number, listed in enumerate(batches):
-            batch_id = f"{run_id}/{file_type.name}/{number}"
-            load_batch(spark, lake, listed, file_type, batch_id, policy, today)
-    counts = counters.run_counters(this_run(spark, lake, run_id))
+    in_order = found.orderBy("file_type", "date", "file_path").toLocalIterator()
+    results = []
+    for name, of_type in groupby(in_order, key=lambda row: row.file_type):
+        for number, listed in enumerate(_in_batches(of_type, files_per_batch)):
+            batch_id = f"{run_id}/{name}/{number}"
+            if name == UNKNOWN_TYPE:
+                results.append(refuse_unknown(spark, lake, listed, batch_id))
+            else:
+                results.append(
+                    load_batch(spark, lake, listed, FILE_TYPES[name], batch_id, policy, today)
+                )
+    counts = counters.run_counters(spark.createDataFrame(results, counters.BATCH_RESULTS))
     totals = counts.first().asDict()
     if raise_on_failure and totals["total_failed"]:
         raise BatchRejected(totals)
     return counts
 
 
-def this_run(spark: SparkSession, lake: Lake, run_id: str) -> DataFrame:
-    """Batch results of one run, read back from ledger and rejects."""
-    mine = F.col("batch_id").startswith(run_id)
-    return counters.batch_results(
-        ledger_table(spark, lake).where(mine),
-        rejects_table(spark, lake).where(mine),
-    )
+def past_batches(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The results of all batches so far, from ledger and rejects."""
+    return counters.batch_results(ledger_table(spark, lake), rejects_table(spark, lake))
 
 
 def recover_ledger(

@@ -203,8 +203,7 @@ def run_daily_summary(
     _raise_on_nulls(counts)
     if not counts["events"]:
         return SummaryResult("no_events", 0, day, day)
-    sinks.overwrite_days(merged, lake.summary)
-    return SummaryResult("success", merged.count(), day, day)
+    return SummaryResult("success", sinks.overwrite_days(merged, lake.summary), day, day)
 
 
 def run_backfill(
@@ -223,8 +222,8 @@ def run_backfill(
     _raise_on_nulls(counts)
     if not counts["events"]:
         return SummaryResult("no_events", 0, first_day, last_day)
-    sinks.overwrite_days(rebuilt, lake.summary)
-    return SummaryResult("success", rebuilt.count(), first_day, last_day)
+    rows = sinks.overwrite_days(rebuilt, lake.summary)
+    return SummaryResult("success", rows, first_day, last_day)
 
 
 def revise_summary(

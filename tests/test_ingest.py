@@ -71,19 +71,30 @@ def test_empty_array_is_no_reject(spark, lake, incoming):
     assert reasons(spark, lake) == {}
 
 
-BROKEN = [
-    ("corrupt_json", f"vehicles_events_{S2}.json", '{"vehicles_events": [{"vehicle_id": "V9"'),
-    ("corrupt_json", f"vehicles_events_{S2}.json", '{"vehicles_events": "text"}'),
-    ("missing_root_key", f"vehicles_events_{S2}.json", {"x": []}),
-    ("bad_stamp", "vehicles_events_20251399000000.json", {"vehicles_events": [event("V9")]}),
-    ("null_required", f"vehicles_events_{S2}.json", {"vehicles_events": [event(None)]}),
-    ("null_required", f"vehicles_events_{S2}.json", {"vehicles_events": [None]}),
-    ("bad_timestamp", f"vehicles_events_{S2}.json", {"vehicles_events": [event(time="nope")]}),
-]
-
-
-@pytest.mark.parametrize("reason, name, content", BROKEN)
-def test_one_bad_file_fails_the_batch(spark, lake, incoming, reason, name, content):
+BROKEN = {
+    "vehicles_events_20251108130001.json": ("corrupt_json", '{"vehicles_events": [{"vehicle_id": "V9"'),
+    "vehicles_events_20251108130002.json": ("corrupt_json", '{"vehicles_events": "text"}'),
+    "vehicles_events_20251108130003.json": ("missing_root_key", {"x": []}),
+    "vehicles_events_20251399000000.json": ("bad_stamp", {"vehicles_events": [event("V9")]}),
+    "vehicles_events_20251108130004.json": ("null_required", {"vehicles_events": [event(None)]}),
+    "vehicles_events_20251108130005.json": ("null_required", {"vehicles_events": [None]}),
+    "vehicles_events_20251108130006.json": ("bad_timestamp", {"vehicles_events": [event(time="nope")]}),
+}
+
+
+def test_each_defect_has_its_reason(spark, incoming, zone):
+    for name, (_, content) in BROKEN.items():
+        incoming.put(name, content)
+    folder = read_envelope_folder(spark, str(incoming), VEHICLE_EVENTS)
+    tagged = ingest.tagged_records(folder, VEHICLE_EVENTS).collect()
+    found = {r["_source_file"].rsplit("/", 1)[1]: r.reason for r in tagged}
+    assert found == {name: reason for name, (reason, _) in BROKEN.items()}
+    assert len(tagged) == len(BROKEN)
+
+
+@pytest.mark.parametrize("name", list(BROKEN)[:5:4])
+def test_one_bad_file_fails_the_batch(spark, lake, incoming, name):
+    reason, content = BROKEN[name]
     incoming.events(S1, event(), event("V2"))
     incoming.put(name, content)
     with pytest.raises(BatchRejected) as failure:
@@ -94,18 +105,20 @@ def test_one_bad_file_fails_the_batch(spark, lake, incoming, reason, name, conte
     assert set(states(spark, lake).values()) == {("failed", 0)}
 
 
-@pytest.mark.parametrize("reason, name, content", BROKEN)
-def test_quarantine_keeps_the_good_rows(spark, lake, incoming, reason, name, content):
+def test_quarantine_keeps_the_good_rows(spark, lake, incoming):
     incoming.events(S1, event(), event("V2"))
-    incoming.put(name, content)
+    for name, (_, content) in BROKEN.items():
+        incoming.put(name, content)
     totals = run_ingest(
         spark, lake, str(incoming), policy=ingest.QUARANTINE, raise_on_failure=False
     ).first()
-    assert (totals.total_processed, totals.total_failed) == (1, 1)
-    assert (totals.rows_loaded, totals.rows_rejected) == (2, 1)
-    assert totals.total_schema_errors == int(reason in quality.SCHEMA_REASONS)
+    assert (totals.total_processed, totals.total_failed) == (1, 7)
+    assert (totals.rows_loaded, totals.rows_rejected, totals.total_schema_errors) == (2, 7, 4)
     assert events_of(spark, lake).count() == 2
-    assert reasons(spark, lake) == {reason: 1}
+    assert sum(reasons(spark, lake).values()) == 7
+    (batch,) = ingest.past_batches(spark, lake).collect()
+    assert (batch.processed, batch.failed, batch.rows_loaded) == (1, 7, 2)
+    assert (batch.rows_rejected, batch.schema_errors) == (7, 4)
 
 
 def test_rows_in_are_rows_loaded_or_rejected(spark, lake, incoming):

@@ -1,0 +1,125 @@
+"""Views, table definitions, plans, and the shared folder."""
+
+from __future__ import annotations
+
+import io
+from contextlib import redirect_stdout
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from fleetlake import workspace
+from fleetlake.operators import sinks
+from fleetlake.plans import summary
+from fleetlake.registry import SUMMARY, VEHICLE_EVENTS, Lake
+from fleetlake.sources import tables
+from tests.test_summary import EXAMPLE, TARGET, AS_OF, events, store
+
+
+def plan_of(df) -> str:
+    out = io.StringIO()
+    with redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
+def test_views_show_new_files(spark, lake):
+    tables.create_views(spark, lake)
+    assert spark.table("raw_data.vehicle_events").count() == 0
+    store(spark, lake, EXAMPLE[:2])
+    summary.run_daily_summary(spark, lake, TARGET, AS_OF)
+    tables.create_views(spark, lake)
+    view = spark.sql("SELECT * FROM raw_data.vehicle_events")
+    assert view.columns == list(VEHICLE_EVENTS.view_order)
+    assert spark.sql("SELECT * FROM raw_data.vehicle_events LIMIT 10").count() == 2
+    # No call in between: the view finds the new partition itself.
+    store(spark, lake, [("V9", "2025-11-12T00:00:00Z", "x", "2025-11-12")])
+    assert spark.table("raw_data.vehicle_events").count() == 3
+    day = spark.sql("SELECT * FROM reports.daily_summary WHERE day = '2025-11-08'")
+    assert day.columns == ["vehicle_id", "day", "last_event_time", "last_event_type"]
+    assert day.count() == 1
+    assert [tuple(r) for r in tables.catalog_listing(spark).collect()] == [
+        ("raw_data", "vehicle_events"),
+        ("raw_data", "vehicle_status"),
+        ("reports", "daily_summary"),
+    ]
+
+
+def test_extra_data_has_typed_fields(spark, lake):
+    extra = F.create_map(*[F.lit(x) for x in ("note", "n", "boot_time", "7", "emergency_call", "true")])
+    df = events(spark, EXAMPLE[:1]).withColumn("event_extra_data", extra)
+    sinks.append_partitioned(df, lake.raw("vehicle_events"))
+    tables.create_views(spark, lake)
+    row = spark.sql("SELECT event_extra_data.* FROM raw_data.vehicle_events").first()
+    assert row.asDict() == {"note": "n", "boot_time": 7, "emergency_call": True, "severity": None}
+
+
+def test_tables_replace_views_and_back(spark, lake):
+    store(spark, lake, EXAMPLE)
+    tables.create_views(spark, lake)
+    tables.create_tables(spark, lake)
+    spark.catalog.recoverPartitions("raw_data.vehicle_events")
+    assert spark.table("raw_data.vehicle_events").count() == len(EXAMPLE)
+    assert dict(spark.table("raw_data.vehicle_events").dtypes)["date"] == "date"
+    tables.create_views(spark, lake)
+    assert spark.table("raw_data.vehicle_events").count() == len(EXAMPLE)
+
+
+def test_scan_lists_only_the_partitions_asked_for(spark, lake):
+    store(spark, lake, EXAMPLE)
+    path, schema = lake.raw("vehicle_events"), VEHICLE_EVENTS.table
+    some = tables.scan_partitions(spark, path, schema, ["2025-11-09", "2030-01-01"])
+    assert some.count() == 2
+    assert all("date=2025-11-09" in f for f in some.inputFiles())
+    assert {r.date for r in some.collect()} == {date(2025, 11, 9)}
+    assert tables.scan_partitions(spark, path, schema, ["2030-01-01"]).count() == 0
+    assert tables.scan_partitions(spark, f"{path}-absent", schema, ["2025-11-09"]).count() == 0
+
+
+def test_summary_plan(spark, lake):
+    """Pruned partitions, pushed bounds, few columns, one row per key before the shuffle."""
+    store(spark, lake, EXAMPLE)
+    table = tables.read_table(spark, lake.raw("vehicle_events"), VEHICLE_EVENTS.table)
+    plan = plan_of(summary.daily_summary(table, TARGET, AS_OF))
+    assert "PartitionFilters: [date" in plan
+    assert "GreaterThanOrEqual(event_time" in plan and "LessThan(event_time" in plan
+    assert "ReadSchema: struct<vehicle_id:string,event_time:timestamp,event_source:string,event_type:string>" in plan
+    tree = plan.split("\n\n\n")[0]
+    assert tree.count("Exchange") == 1
+    assert tree.index("Exchange") < tree.rindex("WindowGroupLimit")
+    assert "Python" not in plan
+
+
+def test_overwrite_touches_its_days_only(spark, lake):
+    def rows(day, kind):
+        at = datetime(2025, 11, 1)
+        return spark.createDataFrame([("V1", at, kind, day)], SUMMARY)
+
+    sinks.overwrite_days(rows("2025-11-07", "a").union(rows("2025-11-08", "b")), lake.summary)
+    sinks.overwrite_days(rows("2025-11-08", "c"), lake.summary)
+    stored = tables.read_table(spark, lake.summary, SUMMARY).collect()
+    assert {(r.day, r.last_event_type) for r in stored} == {("2025-11-07", "a"), ("2025-11-08", "c")}
+
+
+def test_work_goes_to_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert workspace.work_dir(spark, "x").startswith(f"{shared}/")
+    assert workspace.work_dir(spark, "x") != workspace.work_dir(spark, "x")
+
+
+class FakeSession:
+    def __init__(self, **settings):
+        self.conf = {k.replace("_", "."): v for k, v in settings.items()}
+
+
+def test_a_cluster_without_shared_folder_is_refused():
+    with pytest.raises(workspace.NoSharedFolder):
+        workspace.shared_root(FakeSession(spark_master="yarn"))
+    assert workspace.shared_root(FakeSession(spark_master="local[2]"))
+
+
+def test_lake_paths():
+    lake = Lake("s3://bucket/lake/")
+    assert lake.raw("vehicle_events") == "s3://bucket/lake/raw_data/vehicle_events"
+    assert lake.summary == "s3://bucket/lake/reports/daily_summary"
