@@ -44,17 +44,15 @@ def stamp_of(name: Column) -> Column:
     return F.nullif(F.regexp_extract(name, STAMP, 1), F.lit(""))
 
 
-def stamp_is_valid(name: Column) -> Column:
+def stamp_is_valid(stamp: Column) -> Column:
     """True without a stamp; with one, true only if it is a real date and time."""
-    stamp = stamp_of(name)
     return stamp.isNull() | F.try_to_timestamp(stamp, F.lit(STAMP_FORMAT)).isNotNull()
 
 
-def partition_date(name: Column, ingest_date: Column) -> Column:
+def partition_date(stamp: Column, ingest_date: Column) -> Column:
     """Arrival date: from the stamp, or ``ingest_date`` without one; null for a bad stamp.
 
     The date is cut from the digits, so no session time zone can move it.
     """
-    stamp = stamp_of(name)
     digits = F.concat_ws("-", F.substring(stamp, 1, 4), F.substring(stamp, 5, 2), F.substring(stamp, 7, 2))
-    return F.when(stamp.isNull(), ingest_date).when(stamp_is_valid(name), digits.try_cast("date"))
+    return F.when(stamp.isNull(), ingest_date).when(stamp_is_valid(stamp), digits.try_cast("date"))

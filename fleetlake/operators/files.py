@@ -22,17 +22,18 @@ def classify(files: DataFrame, ingest_date: Column | None = None, name: str = "f
         {
             "strict_type": names.strict_type(column),
             "contained_type": names.contained_type(column),
-            "date": names.partition_date(column, today),
+            "stamp": names.stamp_of(column),
         }
     )
     return matched.withColumns(
         {
+            "date": names.partition_date(F.col("stamp"), today),
             "file_type": F.coalesce(strict, contained, F.lit(UNKNOWN_TYPE)),
             "match_kind": F.when(strict.isNotNull(), "strict")
             .when(contained.isNotNull(), "fallback")
             .otherwise("none"),
         }
-    ).drop("strict_type", "contained_type")
+    ).drop("strict_type", "contained_type", "stamp")
 
 
 def group_by_type(files: DataFrame) -> DataFrame:

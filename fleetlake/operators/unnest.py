@@ -23,7 +23,7 @@ def file_problem(file_type: FileType) -> Column:
     return (
         F.when(F.col(CORRUPT).isNotNull(), "corrupt_json")
         .when(root_records(file_type).isNull(), "missing_root_key")
-        .when(~names.stamp_is_valid(F.col("file_name")), "bad_stamp")
+        .when(~names.stamp_is_valid(F.col("stamp")), "bad_stamp")
     )
 
 
@@ -34,9 +34,9 @@ def unnest(envelopes: DataFrame, file_type: FileType, ingest_date: Column | None
     array yields no row.  Name and date are worked out once per file, before the records fan out.
     """
     today = times.utc_today() if ingest_date is None else ingest_date
-    per_file = envelopes.select(
+    per_file = envelopes.withColumn("stamp", names.stamp_of(F.col("file_name"))).select(
         F.col("file_path").alias(SOURCE_FILE),
-        names.partition_date(F.col("file_name"), today).alias(file_type.partition_column),
+        names.partition_date(F.col("stamp"), today).alias(file_type.partition_column),
         file_problem(file_type).alias("file_problem"),
         root_records(file_type).alias("records"),
     )
