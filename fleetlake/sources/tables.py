@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from fleetlake.registry import (
     EXTRA_DATA_FIELDS,
@@ -59,6 +59,11 @@ def in_partitions(table: DataFrame, days: Sequence[date], column: str = "date")
 # --- definitions --------------------------------------------------------------------------
 
 
+def _sql_type(field: StructField) -> str:
+    """The type's SQL name; plain ``timestamp`` could mean either kind, as the session is set."""
+    return "timestamp_ltz" if field.dataType == TimestampType() else field.dataType.simpleString()
+
+
 def _layout(lake: Lake) -> list[tuple[str, str, StructType, str, str]]:
     """(database, table, schema, partition column, location) of the three public tables."""
     raw = [
@@ -88,7 +93,7 @@ def create_tables(spark: SparkSession, lake: Lake) -> None:
     for database, table, schema, partition, location in _layout(lake):
         name = f"{database}.{table}"
         _drop_any(spark, name)
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        columns = ", ".join(f"`{f.name}` {_sql_type(f)}" for f in schema)
         spark.sql(
             f"CREATE TABLE {name} ({columns}) USING parquet "
             f"PARTITIONED BY (`{partition}`) LOCATION '{location}'"
@@ -123,7 +128,7 @@ def create_views(spark: SparkSession, lake: Lake) -> None:
         if open_table(spark, location, schema, partition).head(1):
             source = f"parquet.`{location}`"
         else:
-            nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
+            nulls = ", ".join(f"CAST(NULL AS {_sql_type(f)}) AS `{f.name}`" for f in schema)
             source = f"(SELECT {nulls} WHERE false)"
         name = f"{database}.{table}"
         _drop_any(spark, name)

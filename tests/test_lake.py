@@ -102,6 +102,27 @@ def test_overwrite_touches_its_days_only(spark, lake):
     assert {(r.day, r.last_event_type) for r in stored} == {("2025-11-07", "a"), ("2025-11-08", "c")}
 
 
+def test_a_hot_date_is_written_by_several_tasks(spark, lake):
+    """A third of the rows share a date; no single task writes them, and none goes missing."""
+    df = spark.range(0, 60000, 1, 8).selectExpr(
+        "id",
+        "sha2(cast(id AS string), 256) AS payload",
+        "date_add(date'2025-11-08', CASE WHEN id % 3 = 0 THEN 0 ELSE cast(id % 20 AS int) END) AS date",
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    try:
+        assert sinks.append_partitioned(df, f"{lake.base}/t", by_partition=True) == 60000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    written = spark.read.parquet(f"{lake.base}/t")
+    files = {
+        r.date: r.files
+        for r in written.groupBy("date").agg(F.count_distinct("_metadata.file_path").alias("files")).collect()
+    }
+    assert files[date(2025, 11, 8)] > 1
+    assert written.count() == 60000
+
+
 def test_work_goes_to_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert workspace.work_dir(spark, "x").startswith(f"{shared}/")

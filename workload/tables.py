@@ -196,18 +196,21 @@ def defective_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def land(envelopes: DataFrame, folder: str) -> None:
     """Writes each envelope as a file of its own name.  Writing one twice gives the same file."""
+    root = "file:///" + folder[5:].lstrip("/") if folder.startswith("file:") else folder
 
-    def write(rows):
+    def write(batches):
         from pyarrow import fs
 
-        filesystem, root = fs.FileSystem.from_uri(folder)
-        for row in rows:
-            path = f"{root}/{row.file_path}"
-            filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
-            with filesystem.open_output_stream(path) as out:
-                out.write(row.content.encode())
+        filesystem, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for path, content in zip(batch["file_path"], batch["content"]):
+                filesystem.create_dir(f"{base}/{path}".rsplit("/", 1)[0], recursive=True)
+                with filesystem.open_output_stream(f"{base}/{path}") as out:
+                    out.write(content.encode())
+            yield batch[["file_path"]]
 
-    envelopes.foreachPartition(write)
+    landed_paths = envelopes.mapInPandas(write, "file_path string")
+    landed_paths.write.format("noop").mode("overwrite").save()
 
 
 # --- what later queries start from -----------------------------------------------------------
