@@ -63,24 +63,23 @@ def tag(records: DataFrame, file_type: FileType) -> DataFrame:
 
     The raw record is kept as JSON, for rejects only.
     """
-    raw_time = F.col(file_type.time_column)
-    parsed = times.parse_instant(raw_time)
-    missing = first_null(file_type.required)
+    time = file_type.time_column
+    facts = records.withColumns(
+        {"parsed": times.parse_instant(F.col(time)), "missing": first_null(file_type.required)}
+    )
+    problem, missing, unreadable = F.col("file_problem"), F.col("missing"), F.col("parsed").isNull()
     reason = (
-        F.when(F.col("file_problem").isNotNull(), F.col("file_problem"))
+        F.when(problem.isNotNull(), problem)
         .when(missing.isNotNull(), "null_required")
-        .when(parsed.isNull(), "bad_timestamp")
+        .when(unreadable, "bad_timestamp")
         .otherwise(OK)
     )
-    detail = F.when(F.col("file_problem").isNull(), F.coalesce(missing, F.when(parsed.isNull(), raw_time)))
-    record = F.to_json(F.struct(*file_type.record.names), {"ignoreNullFields": "false"})
-    tagged = records.withColumns({"reason": reason, "detail": detail})
-    is_record_reject = (F.col("reason") != OK) & F.col("file_problem").isNull()
-    return (
-        tagged.withColumn("record", F.when(is_record_reject, record))
-        .withColumn(file_type.time_column, parsed)
-        .drop("file_problem")
-    )
+    detail = F.when(problem.isNull(), F.coalesce(missing, F.when(unreadable, F.col(time))))
+    raw = F.to_json(F.struct(*file_type.record.names), {"ignoreNullFields": "false"})
+    refused_record = problem.isNull() & (missing.isNotNull() | unreadable)
+    return facts.withColumns(
+        {"reason": reason, "detail": detail, "record": F.when(refused_record, raw), time: F.col("parsed")}
+    ).drop("file_problem", "parsed", "missing")
 
 
 def good(tagged: DataFrame, file_type: FileType) -> DataFrame:

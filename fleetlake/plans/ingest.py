@@ -32,7 +32,7 @@ from fleetlake.sources.tables import open_table
 
 FAIL_BATCH = "fail_batch"
 QUARANTINE = "quarantine"
-FILES_PER_BATCH = 10_000
+FILES_PER_BATCH = 20_000
 
 
 class BatchRejected(RuntimeError):

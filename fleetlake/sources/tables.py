@@ -18,9 +18,8 @@ from fleetlake.registry import (
     Lake,
 )
 
-# The two namespaces of the lake.
-RAW_DATABASE = "raw_data"
-REPORTS_DATABASE = "reports"
+# The two namespaces of the lake, raw tables first.
+DATABASES = ("raw_data", "reports")
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -64,16 +63,15 @@ def _sql_type(field: StructField) -> str:
     return "timestamp_ltz" if field.dataType == TimestampType() else field.dataType.simpleString()
 
 
-def _layout(lake: Lake) -> list[tuple[str, str, StructType, str, str]]:
+def _layout(lake: Lake, databases: tuple[str, str]) -> list[tuple[str, str, StructType, str, str]]:
     """(database, table, schema, partition column, location) of the three public tables."""
-    raw = [
-        (RAW_DATABASE, t.name, t.table, t.partition_column, lake.raw(t.name)) for t in FILE_TYPES.values()
-    ]
-    return raw + [(REPORTS_DATABASE, "daily_summary", SUMMARY, "day", lake.summary)]
+    raw, reports = databases
+    tables = [(raw, t.name, t.table, t.partition_column, lake.raw(t.name)) for t in FILE_TYPES.values()]
+    return [*tables, (reports, "daily_summary", SUMMARY, "day", lake.summary)]
 
 
-def create_databases(spark: SparkSession, lake: Lake) -> None:
-    for name in (RAW_DATABASE, REPORTS_DATABASE):
+def create_databases(spark: SparkSession, lake: Lake, databases: tuple[str, str] = DATABASES) -> None:
+    for name in databases:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{lake.base.rstrip('/')}/{name}'")
 
 
@@ -84,13 +82,13 @@ def _drop_any(spark: SparkSession, name: str) -> None:
         spark.sql(f"DROP {kind} IF EXISTS {name}")
 
 
-def create_tables(spark: SparkSession, lake: Lake) -> None:
+def create_tables(spark: SparkSession, lake: Lake, databases: tuple[str, str] = DATABASES) -> None:
     """External partitioned tables with declared schemas, for a catalog shared by many readers.
 
     New partitions need ``spark.catalog.recoverPartitions``; ``create_views`` needs nothing.
     """
-    create_databases(spark, lake)
-    for database, table, schema, partition, location in _layout(lake):
+    create_databases(spark, lake, databases)
+    for database, table, schema, partition, location in _layout(lake, databases):
         name = f"{database}.{table}"
         _drop_any(spark, name)
         columns = ", ".join(f"`{f.name}` {_sql_type(f)}" for f in schema)
@@ -116,15 +114,15 @@ def _view_columns(order: Sequence[str]) -> str:
     return ", ".join(special.get(c, c) for c in order)
 
 
-def create_views(spark: SparkSession, lake: Lake) -> None:
+def create_views(spark: SparkSession, lake: Lake, databases: tuple[str, str] = DATABASES) -> None:
     """``raw_data.*`` and ``reports.*`` as views over the Parquet folders, columns in reading order.
 
     A view lists its folder anew for each query, so new files and partitions show up unasked.  A
     table without files gets an empty view; call again after its first load.
     """
-    create_databases(spark, lake)
+    create_databases(spark, lake, databases)
     orders = {t.name: t.view_order for t in FILE_TYPES.values()} | {"daily_summary": SUMMARY_VIEW_ORDER}
-    for database, table, schema, partition, location in _layout(lake):
+    for database, table, schema, partition, location in _layout(lake, databases):
         if open_table(spark, location, schema, partition).head(1):
             source = f"parquet.`{location}`"
         else:
@@ -135,11 +133,11 @@ def create_views(spark: SparkSession, lake: Lake) -> None:
         spark.sql(f"CREATE VIEW {name} AS SELECT {_view_columns(orders[table])} FROM {source}")
 
 
-def catalog_listing(spark: SparkSession) -> DataFrame:
+def catalog_listing(spark: SparkSession, databases: tuple[str, str] = DATABASES) -> DataFrame:
     """``table_schema, table_name`` of everything in the two databases, in that order."""
     shown = [
         spark.sql(f"SHOW TABLES IN {name}").where(~F.col("isTemporary"))
-        for name in (RAW_DATABASE, REPORTS_DATABASE)
+        for name in databases
         if spark.catalog.databaseExists(name)
     ]
     columns: list[Column] = [F.col("namespace").alias("table_schema"), F.col("tableName").alias("table_name")]

@@ -115,6 +115,9 @@ _DAY_SUMMARY = f"""WITH {_VE} {_last(
     _SUMMARY_COLUMNS, where=_DAY + " AND event_time >= TIMESTAMP '2024-01-14 01:00:00'"
 )}"""
 
+_REJECT_REASONS = f"""WITH {_VE}, {_TAGGED}
+    SELECT reason, detail, count(*) AS rows FROM refused WHERE reason <> 'ok' GROUP BY 1, 2"""
+
 ORACLE: dict[str, str] = {
     "daily_summary": _DAY_SUMMARY,
     "last_event_per_vehicle_day": f"WITH {_VE} {_last(_SUMMARY_COLUMNS + ', event_id')}",
@@ -156,8 +159,7 @@ ORACLE: dict[str, str] = {
         SELECT event_id, CASE WHEN value >= 1 THEN event_time END AS event_time FROM ve""",
     "quarantine_records": f"""WITH {_VE}, {_TAGGED}
         SELECT reason, count(*) AS rows FROM refused GROUP BY 1""",
-    "reject_reasons": f"""WITH {_VE}, {_TAGGED}
-        SELECT reason, detail, count(*) AS rows FROM refused WHERE reason <> 'ok' GROUP BY 1, 2""",
+    "reject_reasons": _REJECT_REASONS,
     "append_partitioned_events": f"WITH {_VE} {_ROWS_PER_DATE}",
     "ingest_files": f"""WITH {_VE}, {_STATUS_FILES}
         SELECT 'vehicle_events' AS file_type, * FROM ({_ROWS_PER_DATE})
@@ -183,6 +185,13 @@ ORACLE: dict[str, str] = {
           SELECT count(*) FILTER (good > 0) AS processed, count(*) FILTER (good = 0) AS failed,
                  sum(good) AS good, sum(bad) AS bad FROM per_file
         )""",
+    "fail_batch_counters": f"""WITH {_VE}, {_TAGGED}
+        SELECT CAST(0 AS BIGINT) AS batches_processed, CAST(0 AS BIGINT) AS total_processed,
+               count(DISTINCT (date, chunk)) AS total_failed,
+               count(*) FILTER (reason IN ('missing_root_key', 'null_required', 'bad_timestamp'))
+                 AS total_schema_errors,
+               CAST(0 AS BIGINT) AS rows_loaded, count(*) FILTER (reason <> 'ok') AS rows_rejected
+        FROM refused""",
     "vehicle_events_view": f"""WITH {_VE} SELECT vehicle_id, event_time, event_type, event_source,
         event_value, note, CAST(boot_time AS INTEGER) AS boot_time,
         CAST(arrived AS VARCHAR) AS date FROM ve""",
@@ -193,6 +202,12 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'raw_data', 'vehicle_status', count(*) FROM orders
         UNION ALL SELECT 'reports', 'daily_summary', count(*)
         FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) FROM events)""",
+    "table_definitions": """
+        SELECT 'raw_tables' AS table_schema, 'vehicle_events' AS table_name, count(*) AS rows FROM events
+        UNION ALL SELECT 'raw_tables', 'vehicle_status', count(*) FROM orders
+        UNION ALL SELECT 'report_tables', 'daily_summary', count(*)
+        FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) FROM events)""",
     "stream_ingest": f"WITH {_VE} {_ROWS_PER_DATE}",
+    "stream_rejects": _REJECT_REASONS,
     "stream_daily_summary": _ALL_SUMMARIES,
 }

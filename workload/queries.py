@@ -217,33 +217,38 @@ def quarantine_records(spark, sf_dir):
     return quality.reason_counts(tagged)
 
 
-def run_counters(spark, sf_dir):
-    """A whole ingest of defective files under the quarantine policy, reduced to its counters."""
-    lake = Lake(workspace.work_dir(spark, "counters"))
+def _ingest_defective(spark, sf_dir, lake, policy):
     return ingest.run_ingest(
         spark,
         lake,
         given.landed_defective(spark, sf_dir),
-        policy=ingest.QUARANTINE,
+        policy=policy,
         ingest_date=given.INGEST_DATE,
         recursive=True,
         raise_on_failure=False,
     )
 
 
+def run_counters(spark, sf_dir):
+    """A whole ingest of defective files under the quarantine policy, reduced to its counters."""
+    lake = Lake(workspace.work_dir(spark, "counters"))
+    return _ingest_defective(spark, sf_dir, lake, ingest.QUARANTINE)
+
+
+def fail_batch_counters(spark, sf_dir):
+    """The same under the policy that lets nothing of a bad batch in."""
+    lake = Lake(workspace.work_dir(spark, "fail-batch"))
+    return _ingest_defective(spark, sf_dir, lake, ingest.FAIL_BATCH)
+
+
 def reject_reasons(spark, sf_dir):
-    """The same ingest seen from its rejects table."""
+    """What the rejects table holds after such an ingest."""
     lake = Lake(workspace.work_dir(spark, "rejects"))
-    ingest.run_ingest(
-        spark,
-        lake,
-        given.landed_defective(spark, sf_dir),
-        policy=ingest.QUARANTINE,
-        ingest_date=given.INGEST_DATE,
-        recursive=True,
-        raise_on_failure=False,
-    )
-    rejects = tables.read_table(spark, lake.rejects, REJECTS)
+    _ingest_defective(spark, sf_dir, lake, ingest.QUARANTINE)
+    return _by_reason(tables.read_table(spark, lake.rejects, REJECTS))
+
+
+def _by_reason(rejects: DataFrame) -> DataFrame:
     return rejects.groupBy("reason", "detail").agg(F.count("*").alias("rows"))
 
 
@@ -307,18 +312,32 @@ def daily_summary_for_day(spark, sf_dir):
     return _utc(rows, "last_event_time")
 
 
-def catalog_listing(spark, sf_dir):
-    """The catalog's tables with the rows behind each view."""
-    given.viewed_lake(spark, sf_dir)
+def _listing_with_rows(spark: SparkSession, raw: str, reports: str) -> DataFrame:
     counts = spark.sql(
-        """
-        SELECT 'raw_data' AS table_schema, 'vehicle_events' AS table_name, count(*) AS rows
-        FROM raw_data.vehicle_events
-        UNION ALL SELECT 'raw_data', 'vehicle_status', count(*) FROM raw_data.vehicle_status
-        UNION ALL SELECT 'reports', 'daily_summary', count(*) FROM reports.daily_summary
+        f"""
+        SELECT '{raw}' AS table_schema, 'vehicle_events' AS table_name, count(*) AS rows
+        FROM {raw}.vehicle_events
+        UNION ALL SELECT '{raw}', 'vehicle_status', count(*) FROM {raw}.vehicle_status
+        UNION ALL SELECT '{reports}', 'daily_summary', count(*) FROM {reports}.daily_summary
         """
     )
-    return tables.catalog_listing(spark).join(counts, ["table_schema", "table_name"])
+    return tables.catalog_listing(spark, (raw, reports)).join(counts, ["table_schema", "table_name"])
+
+
+def catalog_listing(spark, sf_dir):
+    """The catalog's views with the rows behind each."""
+    given.viewed_lake(spark, sf_dir)
+    return _listing_with_rows(spark, *tables.DATABASES)
+
+
+def table_definitions(spark, sf_dir):
+    """The same lake defined as external tables, in databases of their own."""
+    databases = ("raw_tables", "report_tables")
+    lake = given.viewed_lake(spark, sf_dir)
+    tables.create_tables(spark, lake, databases)
+    for name in ("raw_tables.vehicle_events", "raw_tables.vehicle_status", "report_tables.daily_summary"):
+        spark.catalog.recoverPartitions(name)
+    return _listing_with_rows(spark, *databases)
 
 
 # --- streams ---------------------------------------------------------------------------------
@@ -341,6 +360,14 @@ def stream_ingest(spark, sf_dir):
     return _rows_per_date(tables.read_table(spark, f"{folder}/events", VEHICLE_EVENTS.table))
 
 
+def stream_rejects(spark, sf_dir):
+    """The refused records of defective files, found by a stream."""
+    folder = workspace.work_dir(spark, "stream-rejects")
+    tagged = stream_in.tagged_stream(spark, f"{given.landed_defective(spark, sf_dir)}/*", VEHICLE_EVENTS)
+    stream_in.reject_stream(tagged, f"{folder}/rejects", f"{folder}/checkpoint").awaitTermination()
+    return _by_reason(spark.read.parquet(f"{folder}/rejects"))
+
+
 def stream_daily_summary(spark, sf_dir):
     """The landed event files as a stream, summarised into a stored table."""
     folder = workspace.work_dir(spark, "stream-summary")
@@ -378,11 +405,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         daily_summary_job,
         event_time_sample,
         run_counters,
+        fail_batch_counters,
         vehicle_events_view,
         vehicle_status_view,
         daily_summary_for_day,
         catalog_listing,
+        table_definitions,
         stream_ingest,
+        stream_rejects,
         stream_daily_summary,
     )
 }
