@@ -89,10 +89,9 @@ def summary_upsert(spark, sf_dir):
     lake = Lake(workspace.work_dir(spark, "upsert"))
     events = given.vehicle_events(spark, sf_dir)
     on_time = F.col("date") == F.col("event_time").cast("date")
-    instants = events.withColumn("event_time", times.utc_to_instant(F.col("event_time")))
-    first = summary.summarize(given.as_table(events.where(on_time), VEHICLE_EVENTS))
-    sinks.overwrite_days(first, lake.summary)
-    late = instants.where(~on_time)
+    first = given.as_table(events.where(on_time), VEHICLE_EVENTS)
+    sinks.overwrite_days(summary.summarize(first), lake.summary)
+    late = given.as_table(events.where(~on_time), VEHICLE_EVENTS)
     summary.upsert(spark, summary.summarize(late), lake.summary)
     stored = tables.read_table(spark, lake.summary, SUMMARY)
     return _utc(stored, "last_event_time")
