@@ -26,6 +26,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     past = jobs.add_parser("backfill", help="recompute a range of days")
     past.add_argument("--start-date", type=date.fromisoformat, required=True)
     past.add_argument("--end-date", type=date.fromisoformat, required=True)
+    past.add_argument("--lookback-days", type=int, help="only arrivals within so many days")
     jobs.add_parser("views", help="create the databases and views")
     return parser.parse_args(argv)
 
@@ -44,7 +45,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "summary":
         print(summary.run_daily_summary(spark, lake, summary.target(args.target_date)))
     elif args.job == "backfill":
-        print(summary.run_backfill(spark, lake, args.start_date, args.end_date))
+        result = summary.run_backfill(
+            spark, lake, args.start_date, args.end_date, args.lookback_days
+        )
+        print(result)
     else:
         create_views(spark, lake)
         catalog_listing(spark).show(truncate=False)

@@ -12,7 +12,10 @@ from fleetlake.sources.tables import read_table
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Counts rows as they are written, so that no rescan is needed."""
+    """Counts rows as they are written, so that no rescan is needed.
+
+    It has to sit after any shuffle: stages before one can run again and would count twice.
+    """
     written = Observation()
     return df.observe(written, F.count(F.lit(1)).alias("rows")), written
 
@@ -27,19 +30,17 @@ def append_partitioned(
     small ones, so no date has to pass through a single task.  A load of one or two dates needs
     no shuffle and should leave it off.
     """
-    rows, written = _counted(df)
-    if by_partition:
-        rows = rows.hint("rebalance", F.col(partition))
+    laid_out = df.hint("rebalance", F.col(partition)) if by_partition else df
+    rows, written = _counted(laid_out)
     rows.write.mode("append").partitionBy(partition).parquet(path)
     return written.get["rows"]
 
 
 def overwrite_days(df: DataFrame, path: str, partition: str = "day") -> int:
     """Replaces the days present in ``df`` and leaves all others alone; returns the row count."""
-    rows, written = _counted(df)
+    rows, written = _counted(df.hint("rebalance", F.col(partition)))
     (
-        rows.hint("rebalance", F.col(partition))
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)

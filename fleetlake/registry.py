@@ -142,24 +142,29 @@ LEDGER = StructType(
 
 @dataclass(frozen=True)
 class Lake:
-    """Table locations under one base URI (any scheme Spark can read)."""
+    """Table locations under a base URI (any scheme Spark can read).
 
-    base: str
+    Reports live under the same base unless ``reports`` names another.
+    """
 
-    def _at(self, *parts: str) -> str:
-        return "/".join([self.base.rstrip("/"), *parts])
+    base: str
+    reports: str | None = None
 
     def raw(self, file_type: str) -> str:
-        return self._at("raw_data", file_type)
+        return _under(self.base, "raw_data", file_type)
 
     @property
     def summary(self) -> str:
-        return self._at("reports", "daily_summary")
+        return _under(self.reports or self.base, "reports", "daily_summary")
 
     @property
     def rejects(self) -> str:
-        return self._at("control", "rejects")
+        return _under(self.base, "control", "rejects")
 
     @property
     def ledger(self) -> str:
-        return self._at("control", "ledger")
+        return _under(self.base, "control", "ledger")
+
+
+def _under(base: str, *parts: str) -> str:
+    return "/".join([base.rstrip("/"), *parts])

@@ -99,24 +99,12 @@ def summary_upsert(spark, sf_dir):
 
 def daily_summary_job(spark, sf_dir):
     """The writing job over the stored lake, for one day, read back from the stored summary."""
-    source = given.events_lake(spark, sf_dir)
-    lake = _LakeWithOwnSummary(source.base, workspace.work_dir(spark, "daily-job"))
+    events = given.events_lake(spark, sf_dir)
+    lake = Lake(events.base, reports=workspace.work_dir(spark, "daily-job"))
     summary.run_daily_summary(spark, lake, TARGET, AS_OF)
     return _utc(tables.read_table(spark, lake.summary, SUMMARY), "last_event_time")
 
 
-class _LakeWithOwnSummary(Lake):
-    """Reads the raw tables of one lake and keeps its summary elsewhere."""
-
-    def __init__(self, base: str, own: str):
-        super().__init__(base)
-        object.__setattr__(self, "_own", own)
-
-    @property
-    def summary(self) -> str:
-        return f"{self._own}/daily_summary"
-
-
 # --- files -----------------------------------------------------------------------------------
 
 
