@@ -70,18 +70,22 @@ def _reject_rows(tagged: DataFrame, file_type: str, batch_id: str) -> DataFrame:
     )
 
 
-def _ledger_rows(file_list: DataFrame, tagged: DataFrame, batch_id: str, loaded: bool) -> DataFrame:
-    """One row per file of the batch, also for files without records."""
-    per_file = tagged.groupBy(F.col(SOURCE_FILE).alias("file_path")).agg(
+def _file_counts(listed: DataFrame, tagged: DataFrame) -> DataFrame:
+    """Good and bad rows of every listed file, also of those without records."""
+    counts = tagged.groupBy(F.col(SOURCE_FILE).alias("file_path")).agg(
         F.count_if(F.col("reason") == quality.OK).alias("good"),
         F.count_if(F.col("reason") != quality.OK).alias("bad"),
     )
+    return listed.join(counts, "file_path", "left").fillna(0, ["good", "bad"])
+
+
+def _ledger_rows(counts: DataFrame, batch_id: str, loaded: bool) -> DataFrame:
     if loaded:
-        state = F.when((F.col("bad") > 0) & (F.col("good") == 0), "failed").otherwise("processed")
-        rows = F.coalesce("good", F.lit(0))
+        nothing_good = (F.col("bad") > 0) & (F.col("good") == 0)
+        state, rows = F.when(nothing_good, "failed").otherwise("processed"), F.col("good")
     else:
         state, rows = F.lit("failed"), F.lit(0)
-    return file_list.join(per_file, "file_path", "left").select(
+    return counts.select(
         "file_path",
         state.alias("state"),
         rows.cast("long").alias("rows"),
@@ -141,34 +145,35 @@ def load_batch(
 ) -> Row:
     """Loads the listed files (``file_path, path, date``), parsing each once.
 
-    The parsed records are staged by reason while the refused ones are counted, so the policy is
-    decided before the lake changes, and loading reads columns instead of JSON.  Under
+    The first pass counts good and bad rows per file and keeps the parsed records, in memory or on
+    disk as they fit; what a lost executor held is parsed again from its files.  The counts settle
+    the policy before the lake changes, and the load then takes the kept records.  Under
     ``fail_batch`` one bad record keeps the whole batch out; under ``quarantine`` only what is bad
     stays out.
     """
     envelopes = read_envelopes(spark, [row.path for row in listed], file_type)
-    refused = Observation()
-    tagged = tagged_records(envelopes, file_type, ingest_date).observe(
-        refused, F.count_if(F.col("reason") != quality.OK).alias("rows")
-    )
-    staged = sinks.stage(tagged, "ingest", "reason")
-    clean = not refused.get["rows"]
-    loaded = clean or policy == QUARANTINE
-    if loaded:
-        many_dates = len({row.date for row in listed}) > 2
-        sinks.append_partitioned(
-            quality.good(staged, file_type),
-            lake.raw(file_type.name),
-            file_type.partition_column,
-            by_partition=many_dates,
+    tagged = tagged_records(envelopes, file_type, ingest_date).persist()
+    try:
+        counts = sinks.stage(_file_counts(_listed_files(spark, listed), tagged), "file-counts")
+        clean = not counts.where("bad > 0").limit(1).count()
+        loaded = clean or policy == QUARANTINE
+        if loaded:
+            many_dates = len({row.date for row in listed}) > 2
+            sinks.append_partitioned(
+                quality.good(tagged, file_type),
+                lake.raw(file_type.name),
+                file_type.partition_column,
+                by_partition=many_dates,
+            )
+        return _record(
+            lake,
+            batch_id,
+            file_type.name,
+            _ledger_rows(counts, batch_id, loaded),
+            None if clean else _reject_rows(tagged, file_type.name, batch_id),
         )
-    return _record(
-        lake,
-        batch_id,
-        file_type.name,
-        _ledger_rows(_listed_files(spark, listed), staged, batch_id, loaded),
-        None if clean else _reject_rows(staged, file_type.name, batch_id),
-    )
+    finally:
+        tagged.unpersist()
 
 
 def refuse_unknown(spark: SparkSession, lake: Lake, listed: Sequence[Row], batch_id: str) -> Row:
