@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetlake import workspace
 from fleetlake.functions import times
-from fleetlake.operators import counters, files, latest, quality, sinks, unnest
+from fleetlake.operators import files, latest, quality, sinks, unnest
 from fleetlake.plans import ingest, summary
 from fleetlake.registry import REJECTS, SUMMARY, VEHICLE_EVENTS, VEHICLE_STATUS, Lake
 from fleetlake.sources import envelopes, listing, tables
