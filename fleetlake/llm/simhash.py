@@ -18,7 +18,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import bytes_of, staged, texts
@@ -46,15 +46,16 @@ def fingerprint(text: bytes, words_per_shingle: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(counts * 2 > total).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed long, for every row."""
+def fingerprints(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` and ``fp``, the fingerprint as a signed long, for every row."""
 
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t) for t in texts(batch)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, keep), pa.array(found)], [*keep, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), bytes_of()).mapInArrow(each, "doc_id long, fp long")
+    chosen = docs.select(*keep)
+    return docs.select(*keep, bytes_of()).mapInArrow(each, chosen.withColumn("fp", F.lit(0).cast("long")).schema)
 
 
 def _forest(size: int, chunks: Iterable[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -174,24 +175,29 @@ def _joined(parts: list[tuple[np.ndarray, ...]]) -> Iterator[tuple[int, int, np.
         yield parts[0][0][0], parts[0][1][0], np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts]).view(np.uint64)
 
 
+def _classes(marked: DataFrame, best: Column, radius: int) -> DataFrame:
+    """For each ``fp`` of ``marked`` the smallest ``best`` of all rows that it reaches."""
+    distinct = staged(marked.groupBy("fp").agg(best.alias("best")), "simhash-distinct")
+    roots = components(links(distinct, radius))
+    classes = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "best", F.coalesce("root", "fp").alias("root"))
+    return classes.join(classes.groupBy("root").agg(F.min("best").alias("least")), "root").select("fp", F.col("least").alias("best"))
+
+
 def near_duplicates(docs: DataFrame, radius: int = 3) -> DataFrame:
     """``doc_id``, ``fp`` and ``component_id`` for every row of ``docs``."""
-    marked = staged(fingerprints(docs), "simhash-fp")
-    distinct = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    roots = components(links(distinct, radius))
-    classes = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    smallest = classes.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = classes.join(smallest, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    marked = staged(fingerprints(docs, ["doc_id"]), "simhash-fp")
+    classes = _classes(marked, F.min("doc_id"), radius)
+    return marked.join(classes, "fp").select("doc_id", "fp", F.col("best").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, radius: int = 3) -> DataFrame:
     """The rows of ``docs`` less all but one of each component: that of the smallest ``doc_id``.
 
-    Rows that repeat the chosen ``doc_id`` count as copies, so one of them stays.
+    Null ``doc_id``s come last.  Of rows with the same ``doc_id`` and text one stays.
     """
-    columns = docs.columns
-    found = near_duplicates(docs, radius)
-    chosen = found.where("doc_id = component_id or component_id is null").select(F.coalesce("doc_id", F.lit(-1)).alias("chosen")).distinct()
-    kept = docs.join(chosen, F.coalesce(docs.doc_id.cast("long"), F.lit(-1)) == chosen.chosen, "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select(*columns)
+    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_text": F.xxhash64("text")})
+    keyed = keyed.withColumn("_key", F.concat_ws(":", F.coalesce(F.col("_id").cast("string"), F.lit("none")), "_text"))
+    marked = staged(fingerprints(keyed, ["_id", "_key"]), "simhash-fp")
+    best = F.min(F.struct(F.col("_id").isNull(), "_id", "_key"))
+    chosen = _classes(marked, best, radius).select(F.col("best._key").alias("_key")).distinct()
+    return keyed.join(chosen, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
