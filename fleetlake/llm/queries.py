@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import decontaminate, simhash
+from fleetlake.llm import decontaminate, lines, simhash
 from fleetlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,54 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+@query
+def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = lines.drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_dropped", "text")
+
+
+ORACLE["op10_line_templates"] = r"""
+WITH split AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL
+), numbered AS (
+  SELECT doc_id, text, unnest(range(0, len(l))) AS line_no, unnest(l) AS line FROM split
+), parsed AS (
+  SELECT *, list_filter(regexp_split_to_array(regexp_replace(line, '[^ \t\x0B\f\r]*[0-9][^ \t\x0B\f\r]*', '<*>', 'g'), '[ \t\x0B\f\r]+'), lambda t: t <> '') AS w
+  FROM numbered
+), leaved AS (
+  SELECT *, len(w) AS n, array_to_string(w, ' ') AS template, concat(len(w), ':', array_to_string(w[1:3], ' ')) AS leaf FROM parsed
+), placed AS (
+  SELECT *, concat(lag(leaf) OVER o, ' | ', lead(leaf) OVER o) AS around FROM leaved WINDOW o AS (PARTITION BY doc_id ORDER BY line_no)
+), lines AS (
+  SELECT * FROM placed WHERE n >= 3
+), alike AS (
+  SELECT template FROM lines GROUP BY template
+  HAVING count(DISTINCT text) >= 5 AND count(DISTINCT around) >= greatest(5, 0.5 * count(DISTINCT text))
+), mixed AS (
+  SELECT * FROM lines WHERE n >= 6 AND leaf IN (
+    SELECT leaf FROM lines GROUP BY leaf HAVING count(DISTINCT around) >= 5 AND count(DISTINCT template) > 1)
+), counted AS (
+  SELECT leaf, n, place, token, count(*) AS c FROM (SELECT leaf, n, unnest(range(1, n + 1)) AS place, unnest(w) AS token FROM mixed) GROUP BY ALL
+), fixed AS (
+  SELECT leaf, n, place, max_by(token, c) AS token FROM counted GROUP BY leaf, n, place HAVING max(c) * 2 > sum(c)
+), general AS (
+  SELECT leaf, count(*) AS places FROM fixed GROUP BY leaf, n HAVING count(*) - 3 >= 0.6 * (n - 3)
+), fitting AS (
+  SELECT m.doc_id, m.line_no, m.text, m.leaf, m.around FROM mixed m JOIN general g USING (leaf) JOIN fixed f USING (leaf)
+  GROUP BY m.doc_id, m.line_no, m.text, m.leaf, m.around, g.places HAVING count(*) FILTER (m.w[f.place] = f.token) = g.places
+), general_recurring AS (
+  SELECT leaf FROM fitting GROUP BY leaf
+  HAVING count(DISTINCT text) >= 5 AND count(DISTINCT around) >= greatest(5, 0.5 * count(DISTINCT text))
+), dropped AS (
+  SELECT doc_id, line_no FROM lines WHERE template IN (FROM alike)
+  UNION SELECT doc_id, line_no FROM fitting WHERE leaf IN (FROM general_recurring)
+), kept AS (
+  SELECT p.doc_id, count(*) AS n_lines, count(d.line_no) AS n_dropped,
+    coalesce(string_agg(p.line, chr(10) ORDER BY p.line_no) FILTER (d.line_no IS NULL), '') AS text
+  FROM placed p LEFT JOIN dropped d USING (doc_id, line_no) GROUP BY p.doc_id
+)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, kept.text
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
