@@ -1,4 +1,8 @@
-"""Five stages over ``documents``; each is written and read again as the next one's input."""
+"""Five stages over ``documents``; each is written and read again as the next one's input.
+
+Every stage works on the rows of its own input and all but the last return the columns of documents.
+An empty input gives an empty output.  Extra columns pass through.
+"""
 
 from __future__ import annotations
 
@@ -6,16 +10,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlake.llm import simhash
+from fleetlake.llm import decontaminate, lines, mixing, quality, simhash
 from fleetlake.llm.common import staged, table
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    labels = table(spark, sf_dir, "labels")
+    return quality.accepted(docs, labels.where(quality.fold() != 0))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of recurring templates go; a document that consisted of nothing else goes too."""
+    return lines.without_recurring(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
     return simhash.keep_one(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix takes, with the column ``copies``: how often the document is to be read."""
+    return mixing.mixed_documents(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", line_dedup),
     ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("source_mixing", source_mixing),
 ]
 
 #: SQL has no trained classifier, hence none for the whole; tests hold it against a plain version.

@@ -111,3 +111,9 @@ def drop_recurring(docs: DataFrame) -> DataFrame:
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
     )
+
+
+def without_recurring(docs: DataFrame) -> DataFrame:
+    """``docs`` less its recurring lines, and less documents of which nothing but blanks is left."""
+    emptied = (F.col("n_dropped") > 0) & ~F.col("text").rlike(r"[^ \t-\r]")
+    return drop_recurring(docs).where(~F.coalesce(emptied, F.lit(False))).select(*docs.columns)
