@@ -58,6 +58,37 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+_powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse, modulo 2**64."""
+    global _powers
+    if len(_powers[0]) < n:
+        size = max(n, 1 << 20)
+        both = [np.full(size, b, np.uint64) for b in (int(_BASE), pow(int(_BASE), -1, 1 << 64))]
+        with np.errstate(over="ignore"):
+            for p in both:
+                p[0] = 1
+                np.cumprod(p, out=p)
+        _powers = both[0], both[1]
+    return _powers[0][:n], _powers[1][:n]
+
+
+def range_sums(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of ``values[start:end]`` for each pair: equal ranges have equal hashes wherever they are."""
+    up, down = powers(len(values) + 1)
+    with np.errstate(over="ignore"):
+        sums = np.empty(len(values) + 1, np.uint64)
+        sums[0] = 0
+        np.cumsum(values * up[:-1], out=sums[1:])
+        return mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+
+
+def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return range_sums(_BYTE[raw], start, end)
+
+
 class Tokens:
     """The tokens of several texts: which text each is of, where it is, and its hash."""
 
@@ -78,16 +109,7 @@ class Tokens:
 
     def hashes(self, raw: np.ndarray | None = None) -> np.ndarray:
         """A 64-bit hash of each token's bytes."""
-        if not len(self.start):
-            return np.zeros(0, np.uint64)
-        raw = self.raw if raw is None else raw
-        lengths = self.end - self.start
-        offset = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        within = np.arange(lengths.sum()) - np.repeat(offset, lengths)
-        with np.errstate(over="ignore"):
-            power = np.cumprod(np.full(int(lengths.max()) + 1, _BASE))
-            value = _BYTE[raw[within + np.repeat(self.start, lengths)]] * power[within]
-            return mixed(np.add.reduceat(value, offset) + lengths.astype(np.uint64))
+        return span_hashes(self.raw if raw is None else raw, self.start, self.end)
 
 
 def byte_classes(separators: bytes) -> np.ndarray:

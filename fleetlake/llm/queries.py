@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import decontaminate, lines, mixing, quality, simhash
+from fleetlake.llm import decontaminate, lines, mixing, quality, simhash, substrings
 from fleetlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,30 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", (quality.fold() == 0).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")
     )
+
+
+@query
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substrings.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op3_substrings"] = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS phrase
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words WHERE len(w) >= 35)
+), again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY phrase) AS n FROM windows) WHERE n > 1
+), removed AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM again
+), numbered AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM words
+), kept AS (
+  SELECT n.doc_id, count(*) AS n_words, count(r.p) AS n_removed, string_agg(word, ' ' ORDER BY n.p) FILTER (r.p IS NULL) AS left_over
+  FROM numbered n LEFT JOIN removed r USING (doc_id, p) GROUP BY n.doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(left_over, '')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
