@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import decontaminate, lines, mixing, quality, simhash, substrings
+from fleetlake.llm import decontaminate, language_model, lines, mixing, quality, simhash, substrings
 from fleetlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,9 @@ WITH words AS (
 SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(left_over, '')) AS kept_sha256
 FROM documents LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = language_model.language_scores(table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
