@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import decontaminate, language_model, lines, mixing, quality, simhash, substrings
+from fleetlake.llm import decontaminate, language_model, licenses, lines, mixing, quality, rules, simhash, substrings, urls
 from fleetlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,33 @@ FROM documents LEFT JOIN kept USING (doc_id)
 def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = language_model.language_scores(table(spark, sf_dir, "documents"))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    starts = F.transform("places", lambda p: p["start"])
+    base = F.array_distinct(F.transform("places", lambda p: p["label"]))
+    joined = lambda labels: F.array_join(F.array_sort(labels), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.array_union(base, F.coalesce("template_labels", F.array().cast("array<string>")))).alias("labels"),
+        F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.coalesce("containment", F.lit(0.0))).alias("score"),
+    )
+
+
+@query
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), urls.train(urls.labelled(spark)))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
+@query
+def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judged(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
