@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.workspace import work_dir
@@ -26,6 +26,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_row(df: DataFrame, name: str = "_row") -> Column:
+    """All columns as one struct: whatever they are called, they meet no column of an operator."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias(name)
+
+
+def unpacked(columns: list[str], name: str = "_row", **changed: Column) -> list[Column]:
+    """The columns of ``whole_row`` again, some of them changed."""
+    return [changed.get(c, F.col(name)[c]).alias(c) for c in columns]
+
+
 def bytes_of(column: str = "text"):
     """The column as UTF-8 bytes for Python; null counts as empty."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b"")).alias(column)

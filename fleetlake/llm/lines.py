@@ -7,10 +7,12 @@ A line fits the general template if it has all its fixed tokens; the template co
 places after the leading ones are fixed (``SIMILARITY``) and the line has ``DEPTH + 3`` tokens or more.
 
 A template recurs if it is found in ``MIN_DOCS`` different texts or more and in as many different
-surroundings, which must also be ``MIN_SPREAD`` times its texts or more.  Surroundings are the leaves of
-the line before and the line after.  So boilerplate recurs, whereas the lines of a copied document, which
-always stand in the same surroundings, stay for the near-duplicate operator.  All lines that fit a
-recurring template are dropped, in every document.
+surroundings, which must also be ``MIN_SPREAD`` times its texts or more.  A line's surroundings are the
+least hash of the other lines' first ``DEPTH`` tokens in its document (a min-hash of line heads); of three
+hashes the one that finds most counts, since under one hash a common line may be the least everywhere.  So
+boilerplate recurs, single lines as well as blocks, whereas the lines of a copied document, which always
+stand among the same lines, stay for the near-duplicate operator.  All lines that fit a recurring template
+are dropped, in every document.
 
 Null texts have no lines and stay null.  Lines of fewer than ``MIN_TOKENS`` tokens are never dropped.
 Rows that repeat a document are kept and treated alike.
@@ -21,49 +23,77 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import staged
+from fleetlake.llm.common import staged, unpacked, whole_row
 
 DEPTH = 3
 MIN_TOKENS = 3
 MIN_DOCS = 5
-MIN_SPREAD = 0.5
+MIN_SPREAD = 0.4
 SIMILARITY = 0.6
+#: Parts into which the lines of one template or leaf are dealt for a join.
+SALTS = 1
 
+#: The parts of a digest that serve as independent hashes, and the columns made of them.
+_PARTS = ((1, 8), (9, 8), (17, 8))
+_AROUND = tuple(f"around_{k}" for k in range(len(_PARTS)))
 _BLANK = r"[ \t\x0B\f\r]"
 
 
+def _bind(value: Column, body) -> Column:
+    """``body`` of ``value``, which is worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _parsed(line: Column) -> Column:
     masked = F.regexp_replace(line, r"[^ \t\x0B\f\r]*[0-9][^ \t\x0B\f\r]*", "<*>")
     tokens = F.filter(F.split(masked, _BLANK + "+"), lambda t: t != "")
-    return F.transform(
-        F.array(tokens),
+    return _bind(
+        tokens,
         lambda t: F.struct(
             F.array_join(t, " ").alias("masked"),
             F.size(t).alias("n"),
             F.xxhash64(F.size(t), F.slice(t, 1, DEPTH)).alias("leaf"),
+            F.when(F.size(t) > 0, F.md5(F.array_join(F.slice(t, 1, DEPTH), " "))).alias("head"),
         ),
-    )[0]
+    )
 
 
 def parsed_lines(docs: DataFrame) -> DataFrame:
     """One row per line: its document, number, masked form, leaf and surroundings."""
-    around = lambda every, x, i: F.struct(
+    placed = lambda lows, x, i: F.struct(
         i.alias("line_no"),
         x["masked"].alias("masked"),
         F.xxhash64(x["masked"]).alias("template"),
         x["n"].alias("n"),
         x["leaf"].alias("leaf"),
-        F.xxhash64(F.get(every, i - 1)["leaf"], F.get(every, i + 1)["leaf"]).alias("around"),
+        *(
+            F.when(F.substring(x["head"], *part) == lows[k][0], F.get(lows[k], F.lit(1))).otherwise(lows[k][0]).alias(f"around_{k}")
+            for k, part in enumerate(_PARTS)
+        ),
     )
+    heads = lambda every, part: F.array_compact(F.transform(every, lambda x: F.substring(x["head"], *part)))
+    two_least = lambda every: F.array(*(F.slice(F.array_sort(F.array_distinct(heads(every, p))), 1, 2) for p in _PARTS))
     lines = F.transform(F.split("text", "\n", -1), _parsed)
-    placed = F.transform(F.array(lines), lambda every: F.transform(every, lambda x, i: around(every, x, i)))[0]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.explode(placed).alias("line"))
+    every_line = _bind(lines, lambda every: _bind(two_least(every), lambda lows: F.transform(every, lambda x, i: placed(lows, x, i))))
+    has_token = docs.where(F.col("text").rlike(r"[^ \t-\r]"))
+    rows = has_token.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.explode(every_line).alias("line"))
     return rows.select("doc_id", "text_key", "line.*").where(F.col("n") >= MIN_TOKENS)
 
 
+def _spread(lines: DataFrame, chosen: DataFrame, key: str, how: str) -> DataFrame:
+    """A join on ``key`` in which one key's lines are dealt over ``SALTS`` tasks.  ``chosen`` has a row per key."""
+    dealt = lines.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "line_no"), F.lit(SALTS)).cast("int"))
+    copied = chosen.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(copied, [key, "_salt"], how).drop("_salt")
+
+
 def _recurring(lines: DataFrame, key: str) -> DataFrame:
-    found = lines.groupBy(key).agg(F.count_distinct("text_key").alias("docs"), F.count_distinct("around").alias("places"))
-    return found.where((F.col("docs") >= MIN_DOCS) & (F.col("places") >= F.greatest(F.lit(MIN_DOCS), MIN_SPREAD * F.col("docs")))).select(key)
+    by_text = lines.groupBy(key, "text_key").agg(*(F.min(a).alias(a) for a in _AROUND))
+    found = by_text.groupBy(key).agg(
+        F.count("*").alias("docs"), F.count(_AROUND[0]).alias("placed"), F.greatest(*map(F.count_distinct, _AROUND)).alias("places")
+    )
+    spread = F.greatest(F.lit(MIN_DOCS), MIN_SPREAD * F.col("placed"))
+    return found.where((F.col("docs") >= MIN_DOCS) & (F.col("places") >= spread)).select(key)
 
 
 def _general_templates(lines: DataFrame) -> DataFrame:
@@ -81,39 +111,46 @@ def recurring_lines(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``text_key`` and ``dropped``: the numbers of the lines that fit a recurring template."""
     lines = staged(parsed_lines(docs), "lines")
     ids = ("doc_id", "text_key", "line_no")
-    alike = lines.join(_recurring(lines, "template"), "template", "left_semi").select(*ids)
+    alike = _spread(lines, _recurring(lines, "template"), "template", "left_semi").select(*ids)
     leaves = lines.where(F.col("n") >= DEPTH + 3).groupBy("leaf").agg(
-        F.count_distinct("around").alias("places"), F.min("template").alias("least"), F.max("template").alias("most")
+        F.count_distinct("text_key").alias("docs"), F.min("template").alias("least"), F.max("template").alias("most")
     )
-    leaves = leaves.where((F.col("places") >= MIN_DOCS) & (F.col("least") != F.col("most"))).select("leaf")
-    mixed = staged(lines.join(leaves, "leaf", "left_semi"), "lines-mixed")
+    leaves = leaves.where((F.col("docs") >= MIN_DOCS) & (F.col("least") != F.col("most"))).select("leaf")
+    mixed = staged(_spread(lines, leaves, "leaf", "left_semi"), "lines-mixed")
     tokens = F.split("masked", " ")
     fitting = (
-        mixed.join(_general_templates(mixed), "leaf")
+        _spread(mixed, _general_templates(mixed), "leaf", "inner")
         .where(F.forall(F.map_entries("fixed"), lambda e: F.get(tokens, e["key"]) == e["value"]))
-        .select(*ids, "leaf", "around")
+        .select(*ids, "leaf", *_AROUND)
     )
     fitting = staged(fitting, "lines-fitting")
-    general = fitting.join(_recurring(fitting, "leaf"), "leaf", "left_semi").select(*ids)
+    general = _spread(fitting, _recurring(fitting, "leaf"), "leaf", "left_semi").select(*ids)
     # A document has no more of them than lines.
     return alike.union(general).groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("dropped"))
 
 
-def drop_recurring(docs: DataFrame) -> DataFrame:
-    """``docs`` without the lines that fit a recurring template, with ``n_lines`` and ``n_dropped``."""
-    found = recurring_lines(docs)
-    found = found.select(F.xxhash64("doc_id", "text_key").alias("_row"), "dropped")
-    lines = F.split("text", "\n", -1)
+def _cut(docs: DataFrame) -> DataFrame:
+    """Every row as a struct, with the text left over, ``n_lines`` and ``n_dropped``."""
+    found = recurring_lines(docs).select(F.xxhash64("doc_id", "text_key").alias("_key"), "dropped")
+    rows = docs.select(whole_row(docs), F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("_key"))
+    text = F.col("_row")["text"]
+    lines = F.split(text, "\n", -1)
     left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("dropped", i)), "\n")
-    joined = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text"))).join(found, "_row", "left")
-    return joined.select(
-        *(F.when(F.col("dropped").isNull(), F.col(c)).otherwise(left).alias(c) if c == "text" else F.col(c) for c in docs.columns),
+    return rows.join(found, "_key", "left").select(
+        "_row",
+        F.when(F.col("dropped").isNull(), text).otherwise(left).alias("left"),
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
     )
 
 
+def drop_recurring(docs: DataFrame) -> DataFrame:
+    """``docs`` without the lines that fit a recurring template, with ``n_lines`` and ``n_dropped``."""
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    return _cut(docs).select(*unpacked(columns, text=F.col("left")), "n_lines", "n_dropped")
+
+
 def without_recurring(docs: DataFrame) -> DataFrame:
     """``docs`` less its recurring lines, and less documents of which nothing but blanks is left."""
-    emptied = (F.col("n_dropped") > 0) & ~F.col("text").rlike(r"[^ \t-\r]")
-    return drop_recurring(docs).where(~F.coalesce(emptied, F.lit(False))).select(*docs.columns)
+    emptied = (F.col("n_dropped") > 0) & ~F.col("left").rlike(r"[^ \t-\r]")
+    return _cut(docs).where(~F.coalesce(emptied, F.lit(False))).select(*unpacked(docs.columns, text=F.col("left")))

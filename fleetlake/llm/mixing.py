@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import staged
+from fleetlake.llm.common import staged, unpacked, whole_row
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -159,5 +159,6 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
     ids = ("_id", "_text")
     nth = F.row_number().over(Window.partitionBy(*ids).orderBy(F.lit(0)))  # tells apart rows that are the same
     chosen = mix(docs, **parameters).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"), "copies").withColumn("_nth", nth)
-    rows = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_text": F.xxhash64("text")}).withColumn("_nth", nth)
-    return _on(rows, chosen.where("copies > 0"), (*ids, "_nth")).select(*docs.columns, "copies")
+    rows = docs.select(whole_row(docs), F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_text")).withColumn("_nth", nth)
+    taken = _on(rows, chosen.where("copies > 0"), (*ids, "_nth"))
+    return taken.select(*unpacked([c for c in docs.columns if c != "copies"]), "copies")

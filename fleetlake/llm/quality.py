@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import Tokens, bounded, bytes_of, mixed, staged, texts
+from fleetlake.llm.common import Tokens, bounded, bytes_of, mixed, staged, texts, unpacked, whole_row
 
 SAMPLE = 20_000
 SHARDS = 8
@@ -104,7 +104,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
     spark = docs.sparkSession
     marked = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("label"))
     drawn = marked.orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    rows = docs.join(F.broadcast(drawn), docs.doc_id == drawn._id).select("doc_id", bytes_of(), "label")  # ``sample`` rows at most
+    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("_id")).select("doc_id", bytes_of(), "label")  # ``sample`` rows at most
     rows = staged(rows, "quality-sample").repartition(SHARDS, "doc_id").sortWithinPartitions(F.xxhash64("doc_id"), "text")
     weights, squares = np.zeros((1 << BITS) + 1, np.float32), np.zeros((1 << BITS) + 1, np.float32)
     for _ in range(ROUNDS):
@@ -133,18 +133,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
 
 
 def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """The columns of ``docs`` and ``score``, the probability of label 1."""
-    given, columns = docs.sparkSession.sparkContext.broadcast(weights), docs.columns
+    """``row``, a struct of the columns of ``docs``, and ``score``, the probability of label 1."""
+    given = docs.sparkSession.sparkContext.broadcast(weights)
 
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches, "_bytes"):
-            found = 1 / (1 + np.exp(-np.clip(margins(texts(batch, "_bytes"), given.value), -30, 30)))
-            yield pa.RecordBatch.from_arrays([*map(batch.column, columns), pa.array(found, pa.float64())], [*columns, "score"])
+        for batch in bounded(batches):
+            found = 1 / (1 + np.exp(-np.clip(margins(texts(batch), given.value), -30, 30)))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, pa.float64())], ["row", "score"])
 
-    schema = docs.withColumn("score", F.lit(0.0)).schema
-    return docs.withColumn("_bytes", bytes_of()).mapInArrow(each, schema)
+    packed = docs.select(whole_row(docs, "row"), bytes_of())
+    return packed.mapInArrow(each, packed.select("row", F.lit(0.0).alias("score")).schema)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score ``threshold`` or more."""
-    return score(docs, train(docs, labels)).where(F.col("score") >= threshold).select(*docs.columns)
+    return score(docs, train(docs, labels)).where(F.col("score") >= threshold).select(*unpacked(docs.columns, "row"))

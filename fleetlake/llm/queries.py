@@ -83,17 +83,25 @@ WITH split AS (
   SELECT *, list_filter(regexp_split_to_array(regexp_replace(line, '[^ \t\x0B\f\r]*[0-9][^ \t\x0B\f\r]*', '<*>', 'g'), '[ \t\x0B\f\r]+'), lambda t: t <> '') AS w
   FROM numbered
 ), leaved AS (
-  SELECT *, len(w) AS n, array_to_string(w, ' ') AS template, concat(len(w), ':', array_to_string(w[1:3], ' ')) AS leaf FROM parsed
+  SELECT *, len(w) AS n, array_to_string(w, ' ') AS template, concat(len(w), ':', array_to_string(w[1:3], ' ')) AS leaf,
+    CASE WHEN len(w) > 0 THEN md5(array_to_string(w[1:3], ' ')) END AS head
+  FROM parsed
+), lows AS (
+  SELECT doc_id, list_sort(list(DISTINCT head[1:8])) AS low_0, list_sort(list(DISTINCT head[9:16])) AS low_1, list_sort(list(DISTINCT head[17:24])) AS low_2
+  FROM leaved WHERE head IS NOT NULL GROUP BY doc_id
 ), placed AS (
-  SELECT *, concat(lag(leaf) OVER o, ' | ', lead(leaf) OVER o) AS around FROM leaved WINDOW o AS (PARTITION BY doc_id ORDER BY line_no)
+  SELECT *, CASE WHEN head[1:8] = low_0[1] THEN low_0[2] ELSE low_0[1] END AS around_0,
+    CASE WHEN head[9:16] = low_1[1] THEN low_1[2] ELSE low_1[1] END AS around_1,
+    CASE WHEN head[17:24] = low_2[1] THEN low_2[2] ELSE low_2[1] END AS around_2
+  FROM leaved LEFT JOIN lows USING (doc_id)
 ), lines AS (
   SELECT * FROM placed WHERE n >= 3
 ), alike AS (
-  SELECT template FROM lines GROUP BY template
-  HAVING count(DISTINCT text) >= 5 AND count(DISTINCT around) >= greatest(5, 0.5 * count(DISTINCT text))
+  SELECT template FROM (SELECT template, text, min(around_0) AS a, min(around_1) AS b, min(around_2) AS c FROM lines GROUP BY template, text) GROUP BY template
+  HAVING count(*) >= 5 AND greatest(count(DISTINCT a), count(DISTINCT b), count(DISTINCT c)) >= greatest(5, 0.4 * count(a))
 ), mixed AS (
   SELECT * FROM lines WHERE n >= 6 AND leaf IN (
-    SELECT leaf FROM lines GROUP BY leaf HAVING count(DISTINCT around) >= 5 AND count(DISTINCT template) > 1)
+    SELECT leaf FROM lines WHERE n >= 6 GROUP BY leaf HAVING count(DISTINCT text) >= 5 AND count(DISTINCT template) > 1)
 ), counted AS (
   SELECT leaf, n, place, token, count(*) AS c FROM (SELECT leaf, n, unnest(range(1, n + 1)) AS place, unnest(w) AS token FROM mixed) GROUP BY ALL
 ), fixed AS (
@@ -101,11 +109,11 @@ WITH split AS (
 ), general AS (
   SELECT leaf, count(*) AS places FROM fixed GROUP BY leaf, n HAVING count(*) - 3 >= 0.6 * (n - 3)
 ), fitting AS (
-  SELECT m.doc_id, m.line_no, m.text, m.leaf, m.around FROM mixed m JOIN general g USING (leaf) JOIN fixed f USING (leaf)
-  GROUP BY m.doc_id, m.line_no, m.text, m.leaf, m.around, g.places HAVING count(*) FILTER (m.w[f.place] = f.token) = g.places
+  SELECT m.doc_id, m.line_no, m.text, m.leaf, m.around_0, m.around_1, m.around_2 FROM mixed m JOIN general g USING (leaf) JOIN fixed f USING (leaf)
+  GROUP BY m.doc_id, m.line_no, m.text, m.leaf, m.around_0, m.around_1, m.around_2, g.places HAVING count(*) FILTER (m.w[f.place] = f.token) = g.places
 ), general_recurring AS (
-  SELECT leaf FROM fitting GROUP BY leaf
-  HAVING count(DISTINCT text) >= 5 AND count(DISTINCT around) >= greatest(5, 0.5 * count(DISTINCT text))
+  SELECT leaf FROM (SELECT leaf, text, min(around_0) AS a, min(around_1) AS b, min(around_2) AS c FROM fitting GROUP BY leaf, text) GROUP BY leaf
+  HAVING count(*) >= 5 AND greatest(count(DISTINCT a), count(DISTINCT b), count(DISTINCT c)) >= greatest(5, 0.4 * count(a))
 ), dropped AS (
   SELECT doc_id, line_no FROM lines WHERE template IN (FROM alike)
   UNION SELECT doc_id, line_no FROM fitting WHERE leaf IN (FROM general_recurring)
@@ -129,7 +137,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     weights = quality.train(docs, labels.where(quality.fold() != 0))
-    scored = quality.score(docs.select("doc_id", "text"), weights)
+    scored = quality.score(docs.select("doc_id", "text"), weights).select("row.doc_id", "score")
     return scored.select(
         "doc_id", (quality.fold() == 0).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")
     )

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import bytes_of, staged, texts
+from fleetlake.llm.common import bytes_of, staged, texts, unpacked, whole_row
 from fleetlake.llm.components import components
 
 TILE_ROWS = 65_536
@@ -195,9 +195,10 @@ def keep_one(docs: DataFrame, radius: int = 3) -> DataFrame:
 
     Null ``doc_id``s come last.  Of rows with the same ``doc_id`` and text one stays.
     """
-    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_text": F.xxhash64("text")})
+    keyed = docs.select(whole_row(docs), F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_text"), "text")
     keyed = keyed.withColumn("_key", F.concat_ws(":", F.coalesce(F.col("_id").cast("string"), F.lit("none")), "_text"))
     marked = staged(fingerprints(keyed, ["_id", "_key"]), "simhash-fp")
-    best = F.min(F.struct(F.col("_id").isNull(), "_id", "_key"))
+    best = F.min(F.struct(F.col("_id").isNull().alias("unnamed"), "_id", "_key"))
     chosen = _classes(marked, best, radius).select(F.col("best._key").alias("_key")).distinct()
-    return keyed.join(chosen, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    kept = keyed.select("_row", "_key").join(chosen, "_key", "left_semi").dropDuplicates(["_key"])
+    return kept.select(*unpacked(docs.columns))

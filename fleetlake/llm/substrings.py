@@ -25,7 +25,19 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import BLANKS, Tokens, bounded, byte_classes, bytes_of, mixed, range_sums, span_hashes, texts
+from fleetlake.llm.common import (
+    BLANKS,
+    Tokens,
+    bounded,
+    byte_classes,
+    bytes_of,
+    mixed,
+    range_sums,
+    span_hashes,
+    texts,
+    unpacked,
+    whole_row,
+)
 
 WINDOW = 35
 RUN = 5
@@ -37,6 +49,7 @@ _WORDS = byte_classes(BLANKS)
 PACKED = "bucket int, packed binary, keys binary, starts binary, ends binary, many binary"
 _PACKED = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("packed", "keys", "starts", "ends", "many"))])
 SPANS = "key long, start int, stop int"
+ADDED = ("kept", "n_words", "n_removed")
 
 
 def _window_min(values: np.ndarray, length: int) -> np.ndarray:
@@ -212,14 +225,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> Dat
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> DataFrame:
     """``docs`` with ``kept``, its other words joined by one blank, ``n_words`` and ``n_removed``."""
-    columns = docs.columns
-    spans = repeated_spans(docs, window, run).withColumnsRenamed({"key": "_key", "spans": "_spans"})
-    joined = docs.withColumn("_key", _key()).join(spans, "_key", "left").select(*columns, bytes_of().alias("_bytes"), "_spans")
+    spans = repeated_spans(docs, window, run)
+    joined = docs.select(whole_row(docs), _key().alias("key"), bytes_of()).join(spans, "key", "left").select("_row", "text", "spans")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches, "_bytes"):
+        for batch in bounded(batches):
             kept, n_words, n_removed = [], [], []
-            for text, own in zip(texts(batch, "_bytes"), batch.column("_spans").to_pylist(), strict=True):
+            for text, own in zip(texts(batch), batch.column("spans").to_pylist(), strict=True):
                 words = text.split()
                 left = np.ones(len(words), bool)
                 for span in own or ():
@@ -227,8 +239,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> Da
                 n_words.append(len(words))
                 n_removed.append(len(words) - int(left.sum()))
                 kept.append(b" ".join([words[k] for k in np.flatnonzero(left).tolist()] if n_removed[-1] else words).decode())
-            more = [pa.array(kept, pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*map(batch.column, columns), *more], [*columns, "kept", "n_words", "n_removed"])
+            arrays = [batch.column("_row"), pa.array(kept, pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["_row", *ADDED])
 
-    schema = docs.withColumns({"kept": F.lit(""), "n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long")}).schema
-    return joined.mapInArrow(cut, schema)
+    zero = F.lit(0).cast("long")
+    shape = joined.select("_row", *(c.alias(n) for c, n in zip((F.lit(""), zero, zero), ADDED, strict=True))).schema
+    return joined.mapInArrow(cut, shape).select(*unpacked([c for c in docs.columns if c not in ADDED]), *ADDED)
