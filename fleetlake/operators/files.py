@@ -42,10 +42,16 @@ def group_by_type(files: DataFrame) -> DataFrame:
 
 
 def not_loaded(files: DataFrame, ledger: DataFrame, key: str = "file_path", retry_failed: bool = False) -> DataFrame:
-    """Files without a ledger row.  With ``retry_failed`` only processed files count as done.
+    """Files that the ledger does not know.  With ``retry_failed`` only processed files count as done.
 
-    The join carries no broadcast hint.  The ledger grows for ever, so Spark decides by its size
-    at run time.
+    Where both sides have ``length`` and ``modified_at``, a file delivered again under an old name is
+    a new file.  The join carries no broadcast hint.  The ledger grows for ever, so Spark decides by
+    its size at run time.
     """
-    done = ledger.where(F.col("state") == "processed") if retry_failed else ledger
-    return files.join(done.select(key), key, "left_anti")
+    done = ledger.where(F.col("state").isin("processed", *([] if retry_failed else ["failed"])))
+    marks = [c for c in ("length", "modified_at") if c in files.columns and c in ledger.columns]
+    known = done.select(F.col(key).alias("_key"), *(F.col(c).alias(f"_{c}") for c in marks))
+    same = F.col(key) == F.col("_key")
+    for c in marks:
+        same = same & (F.col(f"_{c}").isNull() | (F.col(c) == F.col(f"_{c}")))
+    return files.join(known, same, "left_anti")

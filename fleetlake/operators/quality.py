@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.functions import times
-from fleetlake.registry import FileType
+from fleetlake.registry import BATCH_ID, FUTURE_DAYS, FileType
 
 OK = "ok"
 
 # Reject reasons that say the data broke the schema, not the file or its name.
-SCHEMA_REASONS = ("missing_root_key", "null_required", "bad_timestamp")
+SCHEMA_REASONS = ("missing_root_key", "null_required", "bad_timestamp", "bad_record", "future_timestamp")
 
 
 class SchemaMismatch(ValueError):
@@ -61,29 +61,33 @@ def first_null(required: Sequence[str]) -> Column:
 def tag(records: DataFrame, file_type: FileType) -> DataFrame:
     """Parses the time and adds ``reason`` (``ok`` or why not) and ``detail``; drops nothing.
 
-    The raw record is kept as JSON, for rejects only.
+    A time more than ``FUTURE_DAYS`` after the file's arrival date is refused: one such event would
+    close every open day of a stream.  The raw text is kept for rejects only.
     """
     time = file_type.time_column
     facts = records.withColumns(
         {"parsed": times.parse_instant(F.col(time)), "missing": first_null(file_type.required)}
     )
     problem, missing, unreadable = F.col("file_problem"), F.col("missing"), F.col("parsed").isNull()
+    day = times.instant_to_utc(F.col("parsed")).cast("date")
+    future = day > F.date_add(F.col(file_type.partition_column), FUTURE_DAYS)
     reason = (
         F.when(problem.isNotNull(), problem)
         .when(missing.isNotNull(), "null_required")
         .when(unreadable, "bad_timestamp")
+        .when(future, "future_timestamp")
         .otherwise(OK)
     )
-    detail = F.when(problem.isNull(), F.coalesce(missing, F.when(unreadable, F.col(time))))
-    raw = F.to_json(F.struct(*file_type.record.names), {"ignoreNullFields": "false"})
-    refused_record = problem.isNull() & (missing.isNotNull() | unreadable)
+    detail = F.when(problem.isNull(), F.coalesce(missing, F.when(unreadable | future, F.col(time))))
     return facts.withColumns(
-        {"reason": reason, "detail": detail, "record": F.when(refused_record, raw), time: F.col("parsed")}
-    ).drop("file_problem", "parsed", "missing")
+        {"reason": reason, "detail": detail, "record": F.when(reason != OK, F.col("raw")), time: F.col("parsed")}
+    ).drop("file_problem", "raw", "parsed", "missing")
 
 
-def good(tagged: DataFrame, file_type: FileType) -> DataFrame:
-    return tagged.where(F.col("reason") == OK).select(*file_type.table.names)
+def good(tagged: DataFrame, file_type: FileType, batch_id: str | None = None) -> DataFrame:
+    """The good records as rows of the lake's table, stamped with their batch."""
+    stamped = tagged.where(F.col("reason") == OK).withColumn(BATCH_ID, F.lit(batch_id).cast("string"))
+    return stamped.select(*file_type.table.names)
 
 
 def rejected(tagged: DataFrame) -> DataFrame:

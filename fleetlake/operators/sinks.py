@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from collections.abc import Iterable, Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -21,14 +23,13 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def append_partitioned(
-    df: DataFrame, path: str, partition: str = "date", by_partition: bool = False
+    df: DataFrame, path: str, partition: str = "date", by_partition: bool = True
 ) -> int:
     """Appends to a table partitioned by ``partition``; returns the number of rows.
 
-    ``by_partition`` suits loads over many dates: without it every task would open a file per
-    date.  The rebalance splits a date that holds much of the data over several tasks and merges
-    small ones, so no date has to pass through a single task.  A load of one or two dates needs
-    no shuffle and should leave it off.
+    ``by_partition`` rebalances first: without it every task opens a file per date.  The rebalance
+    splits a date that holds much of the data over several tasks and merges small ones, so no date
+    has to pass through a single task.
     """
     laid_out = df.hint("rebalance", F.col(partition)) if by_partition else df
     rows, written = _counted(laid_out)
@@ -59,6 +60,22 @@ def stage(df: DataFrame, label: str, *partition: str) -> DataFrame:
     return read_table(df.sparkSession, path, df.schema)
 
 
+def replace_partitions(table: DataFrame, keep: Column, path: str, column: str, values: Sequence[str]) -> None:
+    """Rewrites partitions of the table at ``path`` with what ``keep`` keeps of them; emptied ones go."""
+    left = stage(table.where(keep), "kept-rows")
+    overwrite_days(left, path, column)
+    there = {str(r[0]) for r in left.select(F.col(column).cast("string")).distinct().collect()}  # partitions
+    drop_partitions(table.sparkSession, path, column, [v for v in values if v not in there])
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterable[str]) -> None:
+    """Removes whole partitions of a table; absent ones are no error."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for value in values:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def _append(df: DataFrame, path: str, schema: StructType) -> None:
     df.select(*schema.names).write.mode("append").partitionBy("file_type").parquet(path)
 

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from fleetlake.functions import names, times
-from fleetlake.registry import CORRUPT, SOURCE_FILE, FileType
+from fleetlake.registry import CORRUPT, SOURCE_FILE, UNKNOWN_TYPE, FileType
 
 
 def root_records(file_type: FileType) -> Column:
-    """The record array under whichever accepted key this envelope uses."""
-    return F.coalesce(*[F.col(k) for k in file_type.root_keys])
+    """The records under all accepted keys that this envelope uses, as JSON text; null without any key."""
+    keys = [F.col(k) for k in file_type.root_keys]
+    every = F.concat(*[F.coalesce(k, F.array().cast("array<string>")) for k in keys])
+    return F.when(F.coalesce(*keys).isNotNull(), every)
 
 
 def root_key_used(file_type: FileType) -> Column:
@@ -21,7 +24,8 @@ def root_key_used(file_type: FileType) -> Column:
 def file_problem(file_type: FileType) -> Column:
     """Why a whole file cannot be loaded, or null."""
     return (
-        F.when(F.col(CORRUPT).isNotNull(), "corrupt_json")
+        F.when(F.col("kind") == UNKNOWN_TYPE, "unknown_type")
+        .when(F.col(CORRUPT).isNotNull(), "corrupt_json")
         .when(root_records(file_type).isNull(), "missing_root_key")
         .when(~names.stamp_is_valid(F.col("stamp")), "bad_stamp")
     )
@@ -30,20 +34,29 @@ def file_problem(file_type: FileType) -> Column:
 def unnest(envelopes: DataFrame, file_type: FileType, ingest_date: Column | None = None) -> DataFrame:
     """One row per record, times still text, with the arrival date and the file of origin.
 
-    A file that cannot be loaded yields a single row whose ``file_problem`` says why.  An empty
+    A file that cannot be loaded yields a single row whose ``file_problem`` says why, a record that
+    is no object of the declared kind one with ``bad_record``; ``raw`` has the text.  An empty
     array yields no row.  Name and date are worked out once per file, before the records fan out.
     """
     today = times.utc_today() if ingest_date is None else ingest_date
+    if "kind" not in envelopes.columns:
+        envelopes = envelopes.withColumn("kind", F.lit(file_type.name))
     per_file = envelopes.withColumn("stamp", names.stamp_of(F.col("file_name"))).select(
         F.col("file_path").alias(SOURCE_FILE),
         names.partition_date(F.col("stamp"), today).alias(file_type.partition_column),
         file_problem(file_type).alias("file_problem"),
         root_records(file_type).alias("records"),
+        "shown",
     )
-    no_record = F.array(F.lit(None).cast(file_type.record))
-    usable = per_file.withColumn(
-        "records", F.when(F.col("file_problem").isNull(), F.col("records")).otherwise(no_record)
-    )
-    return usable.select(
-        SOURCE_FILE, file_type.partition_column, "file_problem", F.inline("records")
+    fine = F.col("file_problem").isNull()
+    rows = per_file.withColumn("raw", F.explode(F.when(fine, F.col("records")).otherwise(F.array("shown"))))
+    schema = StructType([*file_type.record.fields, StructField(CORRUPT, StringType())])
+    record = F.from_json(F.when(fine, F.col("raw")), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    odd = F.col("raw").isNotNull() & (F.col(f"record.{CORRUPT}").isNotNull() | F.startswith(F.ltrim("raw"), F.lit("[")))
+    return rows.withColumn("record", record).select(
+        SOURCE_FILE,
+        file_type.partition_column,
+        F.coalesce("file_problem", F.when(odd, "bad_record")).alias("file_problem"),
+        "raw",
+        *(F.col(f"record.{c}").alias(c) for c in file_type.record.names),
     )

@@ -7,17 +7,19 @@ with; *rejects* holds every record or file that was refused.  Nothing is moved.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from datetime import date, datetime
-from itertools import groupby, islice
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fleetlake.functions import times
 from fleetlake.operators import counters, files, quality, sinks
 from fleetlake.operators.unnest import unnest
 from fleetlake.registry import (
+    BATCH_ID,
     FILE_TYPES,
     LEDGER,
     REJECTS,
@@ -26,13 +28,15 @@ from fleetlake.registry import (
     FileType,
     Lake,
 )
-from fleetlake.sources.envelopes import read_envelopes
-from fleetlake.sources.listing import list_incoming
+from fleetlake.sources.envelopes import parse_envelopes, read_envelopes
+from fleetlake.sources.listing import list_incoming, overlooked
 from fleetlake.sources.tables import open_table
 
 FAIL_BATCH = "fail_batch"
 QUARANTINE = "quarantine"
-FILES_PER_BATCH = 20_000
+STARTED = "started"
+#: Paths given to one reader; nothing else depends on it.
+FILES_PER_READ = 20_000
 
 
 class BatchRejected(RuntimeError):
@@ -58,9 +62,9 @@ def tagged_records(
     return quality.tag(unnest(envelopes, file_type, ingest_date), file_type)
 
 
-def _reject_rows(tagged: DataFrame, file_type: str, batch_id: str) -> DataFrame:
+def reject_rows(tagged: DataFrame, file_type: str, batch_id: str | None) -> DataFrame:
     return quality.rejected(tagged).select(
-        F.lit(batch_id).alias("batch_id"),
+        F.lit(batch_id).cast("string").alias("batch_id"),
         F.col(SOURCE_FILE).alias("file_path"),
         "reason",
         "detail",
@@ -71,138 +75,127 @@ def _reject_rows(tagged: DataFrame, file_type: str, batch_id: str) -> DataFrame:
 
 
 def _file_counts(listed: DataFrame, tagged: DataFrame) -> DataFrame:
-    """Good and bad rows of every listed file, also of those without records."""
+    """Good and bad rows of every listed file, also of those without records, and why the first bad one is."""
+    bad = F.col("reason") != quality.OK
     counts = tagged.groupBy(F.col(SOURCE_FILE).alias("file_path")).agg(
-        F.count_if(F.col("reason") == quality.OK).alias("good"),
-        F.count_if(F.col("reason") != quality.OK).alias("bad"),
+        F.count_if(~bad).alias("good"),
+        F.count_if(bad).alias("bad"),
+        F.min(F.when(bad, F.col("reason"))).alias("first_reason"),
     )
     return listed.join(counts, "file_path", "left").fillna(0, ["good", "bad"])
 
 
 def _ledger_rows(counts: DataFrame, batch_id: str, loaded: bool) -> DataFrame:
+    """What becomes of each file.  A good file of a failed batch has the reason ``batch_failed``."""
     if loaded:
         nothing_good = (F.col("bad") > 0) & (F.col("good") == 0)
-        state, rows = F.when(nothing_good, "failed").otherwise("processed"), F.col("good")
+        state, rows, reason = F.when(nothing_good, "failed").otherwise("processed"), F.col("good"), F.col("first_reason")
     else:
-        state, rows = F.lit("failed"), F.lit(0)
+        state, rows, reason = F.lit("failed"), F.lit(0), F.coalesce("first_reason", F.lit("batch_failed"))
     return counts.select(
         "file_path",
         state.alias("state"),
         rows.cast("long").alias("rows"),
         F.lit(batch_id).alias("batch_id"),
         F.current_timestamp().alias("recorded_at"),
+        "length",
+        "modified_at",
+        "date",
+        reason.alias("reason"),
         "file_type",
     )
 
 
-def _in_batches(rows: Iterator[Row], size: int) -> Iterator[list[Row]]:
-    while batch := list(islice(rows, size)):
-        yield batch
+def _started(ledger_rows: DataFrame) -> DataFrame:
+    """The intent to load: the same rows before it happens, with what is to become of each file as reason."""
+    return ledger_rows.withColumns({"reason": F.col("state"), "state": F.lit(STARTED)})
 
 
-def _listed_files(spark: SparkSession, listed: Sequence[Row]) -> DataFrame:
-    rows = [(row.file_path, row.file_name, row.file_type) for row in listed]
-    return spark.createDataFrame(rows, "file_path string, file_name string, file_type string")
+def _write_rejects(lake: Lake, rejects: DataFrame) -> dict[str, int]:
+    seen = Observation()
+    broke_schema = F.col("reason").isin(*quality.SCHEMA_REASONS)
+    counted = rejects.observe(
+        seen, F.count(F.lit(1)).alias("rows_rejected"), F.count_if(broke_schema).alias("schema_errors")
+    )
+    sinks.append_rejects(counted, lake.rejects)
+    return seen.get
 
 
-def _record(
-    lake: Lake, batch_id: str, file_type: str, ledger: DataFrame, rejects: DataFrame | None
-) -> Row:
-    """Writes the batch's ledger and reject rows and counts them on the way."""
-    seen_files, seen_rejects = Observation(), Observation()
-    refused = {"rows_rejected": 0, "schema_errors": 0}
-    if rejects is not None:
-        broke_schema = F.col("reason").isin(*quality.SCHEMA_REASONS)
-        sinks.append_rejects(
-            rejects.observe(
-                seen_rejects,
-                F.count(F.lit(1)).alias("rows_rejected"),
-                F.count_if(broke_schema).alias("schema_errors"),
-            ),
-            lake.rejects,
-        )
-        refused = seen_rejects.get
-    sinks.append_ledger(
-        ledger.observe(
-            seen_files,
-            F.count_if(F.col("state") == "processed").alias("processed"),
-            F.count_if(F.col("state") == "failed").alias("failed"),
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows_loaded"),
-        ),
-        lake.ledger,
+def _write_ledger(lake: Lake, ledger: DataFrame) -> dict[str, int]:
+    seen = Observation()
+    counted = ledger.observe(
+        seen,
+        F.count_if(F.col("state") == "processed").alias("processed"),
+        F.count_if(F.col("state") == "failed").alias("failed"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows_loaded"),
     )
-    return Row(batch_id=batch_id, file_type=file_type, **seen_files.get, **refused)
+    sinks.append_ledger(counted, lake.ledger)
+    return seen.get
+
+
+def _read(spark: SparkSession, paths: Sequence[str], file_type: FileType, files_per_read: int) -> DataFrame | None:
+    """All the files as one frame; a reader gets so many paths at most."""
+    chunks = (paths[k : k + files_per_read] for k in range(0, len(paths), files_per_read))
+    return reduce(DataFrame.unionByName, (read_envelopes(spark, c, file_type) for c in chunks)) if paths else None
+
+
+def _empty_files(listed: DataFrame, shape: StructType) -> DataFrame:
+    """A tagged row for each file of zero bytes, which no reader shows."""
+    known = {SOURCE_FILE: F.col("file_path"), "reason": F.lit("empty_file"), "date": F.col("date")}
+    return listed.where("length = 0").select(*(known.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in shape))
 
 
 def load_batch(
     spark: SparkSession,
     lake: Lake,
-    listed: Sequence[Row],
+    listed: DataFrame,
     file_type: FileType,
     batch_id: str,
     policy: str = FAIL_BATCH,
     ingest_date: Column | None = None,
+    files_per_read: int = FILES_PER_READ,
 ) -> Row:
-    """Loads the listed files (``file_path, path, date``), parsing each once.
+    """Loads the listed files (``file_path, path, length, modified_at, date, file_type``), parsing each once.
 
-    The first pass counts good and bad rows per file and keeps the parsed records, in memory or on
-    disk as they fit; what a lost executor held is parsed again from its files.  The counts settle
-    the policy before the lake changes, and the load then takes the kept records.  Under
-    ``fail_batch`` one bad record keeps the whole batch out; under ``quarantine`` only what is bad
-    stays out.
+    The parsed records are staged, and counted from there.  The counts settle the policy for all
+    files at once, before the lake changes: under ``fail_batch`` one bad record keeps the whole batch
+    out; under ``quarantine`` only what is bad stays out.  The ledger says that the load starts before
+    it does, so that a crash on the way can be settled.
     """
-    envelopes = read_envelopes(spark, [row.path for row in listed], file_type)
-    tagged = tagged_records(envelopes, file_type, ingest_date).persist()
-    try:
-        counts = sinks.stage(_file_counts(_listed_files(spark, listed), tagged), "file-counts")
-        clean = not counts.where("bad > 0").limit(1).count()
-        loaded = clean or policy == QUARANTINE
-        if loaded:
-            many_dates = len({row.date for row in listed}) > 2
-            sinks.append_partitioned(
-                quality.good(tagged, file_type),
-                lake.raw(file_type.name),
-                file_type.partition_column,
-                by_partition=many_dates,
-            )
-        return _record(
-            lake,
-            batch_id,
-            file_type.name,
-            _ledger_rows(counts, batch_id, loaded),
-            None if clean else _reject_rows(tagged, file_type.name, batch_id),
-        )
-    finally:
-        tagged.unpersist()
-
-
-def refuse_unknown(spark: SparkSession, lake: Lake, listed: Sequence[Row], batch_id: str) -> Row:
+    paths = [row.path for row in listed.where("length > 0").select("path").toLocalIterator()]
+    envelopes = _read(spark, paths, file_type, files_per_read)
+    if envelopes is None:
+        envelopes = parse_envelopes(spark.createDataFrame([], "file_path string, content string"), file_type)
+    tagged = tagged_records(envelopes, file_type, ingest_date)
+    tagged = sinks.stage(tagged.unionByName(_empty_files(listed, tagged.schema)), "records")
+    counts = sinks.stage(_file_counts(listed, tagged), "file-counts")
+    clean = not counts.where("bad > 0").limit(1).count()
+    loaded = clean or policy == QUARANTINE
+    refused = {"rows_rejected": 0, "schema_errors": 0}
+    if not clean:
+        refused = _write_rejects(lake, reject_rows(tagged, file_type.name, batch_id))
+    rows = _ledger_rows(counts, batch_id, loaded)
+    if loaded:
+        sinks.append_ledger(_started(rows), lake.ledger)
+        good = quality.good(tagged, file_type, batch_id)
+        sinks.append_partitioned(good, lake.raw(file_type.name), file_type.partition_column)
+    return Row(batch_id=batch_id, file_type=file_type.name, **_write_ledger(lake, rows), **refused)
+
+
+def refuse_unknown(lake: Lake, listed: DataFrame, batch_id: str) -> Row:
     """Files of no supported type: a reject and a ledger row each."""
-    unknown = _listed_files(spark, listed).select(
-        "*", F.lit(batch_id).alias("batch_id"), F.current_timestamp().alias("now")
-    )
-    return _record(
-        lake,
-        batch_id,
-        UNKNOWN_TYPE,
-        unknown.select(
-            "file_path",
-            F.lit("failed").alias("state"),
-            F.lit(0).cast("long").alias("rows"),
-            "batch_id",
-            F.col("now").alias("recorded_at"),
-            "file_type",
-        ),
-        unknown.select(
-            "batch_id",
-            "file_path",
-            F.lit("unknown_type").alias("reason"),
-            F.col("file_name").alias("detail"),
-            F.lit(None).cast("string").alias("record"),
-            F.col("now").alias("rejected_at"),
-            "file_type",
-        ),
+    refused = listed.select(
+        F.lit(batch_id).alias("batch_id"),
+        "file_path",
+        F.lit("unknown_type").alias("reason"),
+        F.col("file_name").alias("detail"),
+        F.lit(None).cast("string").alias("record"),
+        F.current_timestamp().alias("rejected_at"),
+        "file_type",
     )
+    counts = listed.withColumns({"good": F.lit(0), "bad": F.lit(1), "first_reason": F.lit("unknown_type")})
+    rejects = _write_rejects(lake, refused)
+    return Row(batch_id=batch_id, file_type=UNKNOWN_TYPE, **_write_ledger(lake, _ledger_rows(counts, batch_id, True)), **rejects)
 
 
 def new_files(
@@ -214,10 +207,17 @@ def new_files(
     recursive: bool = False,
     modified_after: datetime | None = None,
 ) -> DataFrame:
-    """Incoming files that the ledger does not know, with type and arrival date."""
+    """Incoming files that the ledger does not know, with type and arrival date.
+
+    Hidden files are of no supported type, whatever the rest of their names.
+    """
     listing = list_incoming(spark, folder, recursive=recursive, modified_after=modified_after)
-    ledger = ledger_table(spark, lake)
-    return files.classify(files.not_loaded(listing, ledger, retry_failed=retry_failed), ingest_date)
+    more = overlooked(spark, folder, list_incoming(spark, folder, recursive=recursive), recursive=recursive)
+    if modified_after is not None:
+        more = more.where(F.col("modified_at") >= F.lit(times.as_utc(modified_after)))
+    every = listing.withColumn("hidden", F.lit(False)).unionByName(more)
+    found = files.classify(files.not_loaded(every, ledger_table(spark, lake), retry_failed=retry_failed), ingest_date)
+    return found.withColumn("file_type", F.when(F.col("hidden"), UNKNOWN_TYPE).otherwise(F.col("file_type"))).drop("hidden")
 
 
 def run_ingest(
@@ -226,7 +226,7 @@ def run_ingest(
     folder: str,
     policy: str = FAIL_BATCH,
     ingest_date: date | None = None,
-    files_per_batch: int = FILES_PER_BATCH,
+    files_per_read: int = FILES_PER_READ,
     retry_failed: bool = False,
     recursive: bool = False,
     modified_after: datetime | None = None,
@@ -234,31 +234,29 @@ def run_ingest(
 ) -> DataFrame:
     """Loads every new file under ``folder``; returns one row of counters for the run.
 
-    A file type with more than ``files_per_batch`` new files is loaded in several batches, oldest
-    dates first, each with its own all-or-nothing decision.  The driver holds the paths of one
-    batch at a time, however much has piled up.  Raises ``BatchRejected`` at the end if any file failed.
+    The new files of one type are one batch, whatever their number: ``files_per_read`` only says how
+    many paths one reader gets.  What an earlier run left half done is settled first.  Raises
+    ``BatchRejected`` at the end if any file failed.
     """
     if policy not in (FAIL_BATCH, QUARANTINE):
         raise ValueError(f"unknown policy {policy!r}")
     run_id = uuid.uuid4().hex
     today = F.lit(ingest_date) if ingest_date is not None else times.utc_today()
+    settle_open_batches(spark, lake)
     # Listed once: a file that arrives from here on belongs to the next run.
     found = sinks.stage(
         new_files(spark, lake, folder, today, retry_failed, recursive, modified_after),
         "incoming",
         "file_type",
     )
-    in_order = found.orderBy("file_type", "date", "file_path").toLocalIterator()
     results = []
-    for name, of_type in groupby(in_order, key=lambda row: row.file_type):
-        for number, listed in enumerate(_in_batches(of_type, files_per_batch)):
-            batch_id = f"{run_id}/{name}/{number}"
-            if name == UNKNOWN_TYPE:
-                results.append(refuse_unknown(spark, lake, listed, batch_id))
-            else:
-                results.append(
-                    load_batch(spark, lake, listed, FILE_TYPES[name], batch_id, policy, today)
-                )
+    for row in sorted(files.group_by_type(found).collect()):  # one row per type
+        name, batch_id = row.file_type, f"{run_id}/{row.file_type}"
+        listed = found.where(F.col("file_type") == name)
+        if name == UNKNOWN_TYPE:
+            results.append(refuse_unknown(lake, listed, batch_id))
+        else:
+            results.append(load_batch(spark, lake, listed, FILE_TYPES[name], batch_id, policy, today, files_per_read))
     counts = counters.run_counters(spark.createDataFrame(results, counters.BATCH_RESULTS))
     totals = counts.first().asDict()
     if raise_on_failure and totals["total_failed"]:
@@ -266,18 +264,47 @@ def run_ingest(
     return counts
 
 
+def settle_open_batches(spark: SparkSession, lake: Lake) -> list[str]:
+    """Settles batches that a crash interrupted between their start and their last ledger rows.
+
+    A batch whose rows are all in the lake is recorded as it was meant to be.  Of any other the rows
+    that got there are taken out again, and its files stay new.  Returns the batches settled.
+    """
+    ledger = ledger_table(spark, lake)
+    ended = ledger.where(F.col("state") != STARTED).select("batch_id").distinct()
+    begun = ledger.where(F.col("state") == STARTED).join(ended, "batch_id", "left_anti")
+    begun = sinks.stage(begun, "open-batches")
+    open_ = begun.groupBy("batch_id", "file_type").agg(F.sum("rows").alias("rows"), F.collect_set("date").alias("dates")).collect()
+    for batch in open_:  # a crash leaves one or two; a batch has as many dates as the calendar
+        file_type = FILE_TYPES[batch.file_type]
+        path, column = lake.raw(file_type.name), file_type.partition_column
+        table = open_table(spark, path, file_type.table, column).where(F.col(column).isin([F.lit(d) for d in batch.dates]))
+        own = F.col(BATCH_ID).eqNullSafe(F.lit(batch.batch_id))
+        arrived = table.where(own).count()
+        if arrived == batch.rows:
+            state, reason = F.col("reason"), F.lit(None).cast("string")
+        else:
+            state, reason = F.lit("abandoned"), F.lit("interrupted")
+            if arrived:
+                sinks.replace_partitions(table, ~own, path, column, [d.isoformat() for d in batch.dates])
+        rows = begun.where(F.col("batch_id") == batch.batch_id)
+        sinks.append_ledger(rows.withColumns({"state": state, "reason": reason, "recorded_at": F.current_timestamp()}), lake.ledger)
+    return [batch.batch_id for batch in open_]
+
+
 def past_batches(spark: SparkSession, lake: Lake) -> DataFrame:
-    """The results of all batches so far, from ledger and rejects."""
-    return counters.batch_results(ledger_table(spark, lake), rejects_table(spark, lake))
+    """The results of all batches that ended, from ledger and rejects."""
+    ended = ledger_table(spark, lake).where(F.col("state").isin("processed", "failed"))
+    return counters.batch_results(ended, rejects_table(spark, lake))
 
 
 def recover_ledger(
     spark: SparkSession, lake: Lake, file_type: FileType, arrival_days: Sequence[date]
 ) -> DataFrame:
-    """Ledger rows for files whose rows are in the lake but whose ledger entry was never written.
+    """Ledger rows for files whose rows are in the lake but which the ledger does not know.
 
-    A crash between the two appends leaves that gap.  Call it with the arrival days of the
-    interrupted run before running again; it returns what it added.
+    ``run_ingest`` settles its own crashes; this is for a lake whose ledger was lost.  Call it with the
+    arrival days concerned; it returns what it added.
     """
     table = open_table(spark, lake.raw(file_type.name), file_type.table, file_type.partition_column)
     loaded = table.where(F.col(file_type.partition_column).isin([F.lit(d) for d in arrival_days]))
@@ -290,6 +317,10 @@ def recover_ledger(
             "rows",
             F.lit("recovered").alias("batch_id"),
             F.current_timestamp().alias("recorded_at"),
+            F.lit(None).cast("long").alias("length"),
+            F.lit(None).cast("timestamp").alias("modified_at"),
+            F.lit(None).cast("date").alias("date"),
+            F.lit(None).cast("string").alias("reason"),
             F.lit(file_type.name).alias("file_type"),
         ),
         "recovered",

@@ -6,16 +6,18 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from fleetlake.functions import times
 from fleetlake.operators import latest, quality, sinks
 from fleetlake.registry import (
     LATENESS_HOURS,
     LOOKBACK_DAYS,
-    SUMMARY,
+    STORED_SUMMARY,
     SUMMARY_REQUIRED,
+    TIE,
     VEHICLE_EVENTS,
     Lake,
 )
@@ -28,10 +30,15 @@ class BadInput(ValueError):
 
 @dataclass(frozen=True)
 class SummaryResult:
+    """How a job went.  Without events ``reason`` says why, and ``sample`` shows the earliest of those
+    that arrived but lie outside the window."""
+
     status: str
     rows: int
     first_day: date
     last_day: date
+    reason: str | None = None
+    sample: tuple[Row, ...] = ()
 
 
 # --- what to compute ------------------------------------------------------------------------
@@ -123,13 +130,30 @@ def backfill(
     return summarize(backfill_events(events, first_day, last_day, lookback_days), tie_break)
 
 
-def merge_latest(stored: DataFrame, arrived: DataFrame) -> DataFrame:
-    """Stored and new summary rows together, the latest per (vehicle, day)."""
-    return latest.last_per_vehicle_day(
-        stored.unionByName(arrived), order_by="last_event_time", tie_break=("last_event_type",)
+def candidates(events: DataFrame, tie_break: Sequence[str] = latest.TIE_BREAK) -> DataFrame:
+    """Events in the shape of stored summary rows, each a candidate for its (vehicle, day)."""
+    return events.select(
+        "vehicle_id",
+        F.col("event_time").alias("last_event_time"),
+        F.col("event_type").alias("last_event_type"),
+        times.event_day(events, "event_time").alias("day"),
+        F.array(*[_sortable(events, c) for c in tie_break]).cast("array<string>").alias(TIE),
     )
 
 
+def _sortable(events: DataFrame, column: str) -> Column:
+    """The value as text that sorts as it does; whole numbers from zero on are padded."""
+    text = F.col(column).cast("string")
+    return F.lpad(text, 20, "0") if isinstance(events.schema[column].dataType, IntegralType) else text
+
+
+def merge_latest(stored: DataFrame, arrived: DataFrame) -> DataFrame:
+    """Stored rows and new ones or candidates together, the latest per (vehicle, day), ranked once."""
+    every = stored.unionByName(arrived, allowMissingColumns=True)
+    ties = (TIE, "last_event_type") if TIE in every.columns else ("last_event_type",)
+    return latest.last_per_vehicle_day(every, order_by="last_event_time", tie_break=ties)
+
+
 # --- jobs that write ------------------------------------------------------------------------
 
 
@@ -144,7 +168,7 @@ def events_arrived(spark: SparkSession, lake: Lake, days: Sequence[date]) -> Dat
 
 def stored_days(spark: SparkSession, path: str, days: Sequence[str]) -> DataFrame:
     """Stored summary rows of some days, of which none may exist yet."""
-    return open_table(spark, path, SUMMARY, "day").where(F.col("day").isin(list(days)))
+    return open_table(spark, path, STORED_SUMMARY, "day").where(F.col("day").isin(list(days)))
 
 
 def upsert(spark: SparkSession, arrived: DataFrame, path: str) -> DataFrame:
@@ -153,12 +177,14 @@ def upsert(spark: SparkSession, arrived: DataFrame, path: str) -> DataFrame:
     Days that no row of ``arrived`` belongs to are neither read nor written.  Running it again
     with the same rows changes nothing.
     """
-    new_rows = sinks.stage(arrived.select(*SUMMARY.names), "summary-new")
-    # One short text per touched partition: bounded by the calendar, like the file index itself.
-    days = [row.day for row in new_rows.select("day").distinct().collect()]
-    if not days:
+    kept = [c for c in STORED_SUMMARY.names if c in arrived.columns]
+    new_rows = sinks.stage(arrived.select(*kept), "summary-new")
+    if new_rows.isEmpty():
         return new_rows
-    merged = sinks.stage(merge_latest(stored_days(spark, path, days), new_rows), "summary-merged")
+    # The join on the partition column prunes what is read, without any list of days.
+    touched = new_rows.select("day").distinct()
+    stored = open_table(spark, path, STORED_SUMMARY, "day").join(touched, "day", "left_semi")
+    merged = sinks.stage(merge_latest(stored, new_rows), "summary-merged")
     sinks.overwrite_days(merged, path)
     return merged
 
@@ -178,6 +204,16 @@ def _raise_on_nulls(counts: dict[str, int]) -> None:
         raise BadInput(f"required fields hold nulls: {bad}")
 
 
+def _nothing(arrived: DataFrame, first_day: date, last_day: date) -> SummaryResult:
+    """No events in the window: nothing was there, or what was there lies outside it."""
+    sample = tuple(latest.event_time_sample(arrived.select("vehicle_id", "event_time", "date"), then=("vehicle_id",)).collect())
+    if sample:
+        reason = "outside_window"
+    else:
+        reason = "empty_partitions" if arrived.inputFiles() else "no_partitions"
+    return SummaryResult("no_events", 0, first_day, last_day, reason, sample)
+
+
 def run_daily_summary(
     spark: SparkSession,
     lake: Lake,
@@ -198,11 +234,11 @@ def run_daily_summary(
         window_events(events, target_date, as_of, lookback_days, lateness_hours), tie_break
     )
     stored = stored_days(spark, lake.summary, [day.isoformat()])
-    merged = sinks.stage(merge_latest(stored, summarize(window, tie_break)), "summary-day")
+    merged = sinks.stage(merge_latest(stored, candidates(window, tie_break)), "summary-day")
     counts = seen.get
     _raise_on_nulls(counts)
     if not counts["events"]:
-        return SummaryResult("no_events", 0, day, day)
+        return _nothing(events, day, day)
     return SummaryResult("success", sinks.overwrite_days(merged, lake.summary), day, day)
 
 
@@ -214,15 +250,22 @@ def run_backfill(
     lookback_days: int | None = None,
     tie_break: Sequence[str] = latest.TIE_BREAK,
 ) -> SummaryResult:
-    """Recomputes a range of days from the raw events in one job and replaces them."""
+    """Recomputes a range of days from the raw events in one job and replaces them.
+
+    A day without events is left without rows, whatever was stored for it.
+    """
     events = events_table(spark, lake)
     window, seen = _checked(backfill_events(events, first_day, last_day, lookback_days), tie_break)
-    rebuilt = sinks.stage(summarize(window, tie_break), "summary-backfill")
+    rebuilt = merge_latest(spark.createDataFrame([], STORED_SUMMARY), candidates(window, tie_break))
+    rebuilt = sinks.stage(rebuilt, "summary-backfill")
     counts = seen.get
     _raise_on_nulls(counts)
+    rows = sinks.overwrite_days(rebuilt, lake.summary) if counts["events"] else 0
+    there = {row.day for row in rebuilt.select("day").distinct().collect()}  # days of the range at most
+    days = (first_day + timedelta(days=n) for n in range((last_day - first_day).days + 1))
+    sinks.drop_partitions(spark, lake.summary, "day", [d.isoformat() for d in days if d.isoformat() not in there])
     if not counts["events"]:
-        return SummaryResult("no_events", 0, first_day, last_day)
-    rows = sinks.overwrite_days(rebuilt, lake.summary)
+        return _nothing(events, first_day, last_day)
     return SummaryResult("success", rows, first_day, last_day)
 
 
@@ -234,5 +277,6 @@ def revise_summary(
 ) -> DataFrame:
     """Folds everything that arrived on the given days into the summaries of whatever event days
     it belongs to, so that late events update earlier days."""
-    arrived = summarize(events_arrived(spark, lake, arrival_days), tie_break)
+    arrived = candidates(events_arrived(spark, lake, arrival_days), tie_break)
+    arrived = merge_latest(spark.createDataFrame([], STORED_SUMMARY), arrived)
     return upsert(spark, arrived, lake.summary)

@@ -24,10 +24,33 @@ SUMMARY_REQUIRED = ("vehicle_id", "event_time", "event_type")
 UNKNOWN_TYPE = "unknown"
 LATENESS_HOURS = 48
 LOOKBACK_DAYS = 2
+
+EVENTS_VIEW_ORDER = (
+    "vehicle_id",
+    "event_time",
+    "event_type",
+    "event_source",
+    "event_value",
+    "event_extra_data",
+    "date",
+)
+STATUS_VIEW_ORDER = ("vehicle_id", "report_time", "status", "status_source", "date")
+SUMMARY_VIEW_ORDER = ("vehicle_id", "day", "last_event_time", "last_event_type")
+# The columns of the extra data that the events view offers as typed fields.
+EXTRA_DATA_FIELDS = (
+    ("note", "string"),
+    ("boot_time", "int"),
+    ("emergency_call", "boolean"),
+    ("severity", "string"),
+)
 # -----------------------------------------------------------------------------------------
 
+#: An event may be dated this many days after its file's arrival date at most.
+FUTURE_DAYS = 1
+
 CORRUPT = "_corrupt_record"
 SOURCE_FILE = "_source_file"
+BATCH_ID = "_batch_id"
 
 
 @dataclass(frozen=True)
@@ -49,20 +72,22 @@ class FileType:
 
     @property
     def envelope(self) -> StructType:
-        """The whole JSON object: every accepted root key side by side."""
-        keys = [StructField(k, ArrayType(self.record)) for k in self.root_keys]
+        """The whole JSON object: every accepted root key side by side, its records still text,
+        so that an odd record can't spoil the others."""
+        keys = [StructField(k, ArrayType(StringType())) for k in self.root_keys]
         return StructType(keys + [StructField(CORRUPT, StringType())])
 
     @property
     def table(self) -> StructType:
-        """The stored table: times are instants, the file of origin is kept."""
+        """The stored table: times are instants, the file of origin and the batch are kept."""
         fields = [
             StructField(f.name, TimestampType() if f.name == self.time_column else f.dataType)
             for f in self.record
         ]
         return StructType(
             fields
-            + [StructField(SOURCE_FILE, StringType()), StructField(self.partition_column, DateType())]
+            + [StructField(SOURCE_FILE, StringType()), StructField(BATCH_ID, StringType())]
+            + [StructField(self.partition_column, DateType())]
         )
 
 
@@ -75,15 +100,7 @@ VEHICLE_EVENTS = FileType(
         StructField("event_extra_data", MapType(StringType(), StringType())),
     ),
     time_column="event_time",
-    view_order=(
-        "vehicle_id",
-        "event_time",
-        "event_type",
-        "event_source",
-        "event_value",
-        "event_extra_data",
-        "date",
-    ),
+    view_order=EVENTS_VIEW_ORDER,
 )
 
 VEHICLE_STATUS = FileType(
@@ -92,20 +109,12 @@ VEHICLE_STATUS = FileType(
     required=STATUS_REQUIRED,
     optional=(),
     time_column="report_time",
-    view_order=("vehicle_id", "report_time", "status", "status_source", "date"),
+    view_order=STATUS_VIEW_ORDER,
 )
 
 # Order matters: the fallback match on file names takes the first type that fits.
 FILE_TYPES: dict[str, FileType] = {t.name: t for t in (VEHICLE_EVENTS, VEHICLE_STATUS)}
 
-# The columns of the extra data that the events view offers as typed fields.
-EXTRA_DATA_FIELDS = (
-    ("note", "string"),
-    ("boot_time", "int"),
-    ("emergency_call", "boolean"),
-    ("severity", "string"),
-)
-
 SUMMARY = StructType(
     [
         StructField("vehicle_id", StringType()),
@@ -114,7 +123,9 @@ SUMMARY = StructType(
         StructField("day", StringType()),
     ]
 )
-SUMMARY_VIEW_ORDER = ("vehicle_id", "day", "last_event_time", "last_event_type")
+#: What is stored besides: the tie-break values of the row, by which later arrivals are ranked.
+TIE = "_tie"
+STORED_SUMMARY = StructType([*SUMMARY.fields, StructField(TIE, ArrayType(StringType()))])
 
 REJECTS = StructType(
     [
@@ -135,6 +146,10 @@ LEDGER = StructType(
         StructField("rows", LongType()),
         StructField("batch_id", StringType()),
         StructField("recorded_at", TimestampType()),
+        StructField("length", LongType()),
+        StructField("modified_at", TimestampType()),
+        StructField("date", DateType()),
+        StructField("reason", StringType()),
         StructField("file_type", StringType()),
     ]
 )
@@ -144,11 +159,12 @@ LEDGER = StructType(
 class Lake:
     """Table locations under a base URI (any scheme Spark can read).
 
-    Reports live under the same base unless ``reports`` names another.
+    Reports and the control tables live under the same base unless ``reports`` or ``control`` name another.
     """
 
     base: str
     reports: str | None = None
+    control: str | None = None
 
     def raw(self, file_type: str) -> str:
         return _under(self.base, "raw_data", file_type)
@@ -159,11 +175,11 @@ class Lake:
 
     @property
     def rejects(self) -> str:
-        return _under(self.base, "control", "rejects")
+        return _under(self.control or self.base, "control", "rejects")
 
     @property
     def ledger(self) -> str:
-        return _under(self.base, "control", "ledger")
+        return _under(self.control or self.base, "control", "ledger")
 
 
 def _under(base: str, *parts: str) -> str:

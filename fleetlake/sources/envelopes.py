@@ -1,6 +1,8 @@
-"""JSON envelopes: one object per file (or text value), one accepted root key, an array of records.
+"""JSON envelopes: one object per file (or text value), accepted root keys, arrays of records.
 
-The schema is always given, so no inference pass runs and no batch can change a column's type.
+A file is read as one text and parsed under a fixed schema, so no inference pass runs and no batch can
+change a column's type.  A top-level array holds several envelopes.  Whatever follows the first JSON value
+makes the file corrupt; nothing of it is passed over.
 """
 
 from __future__ import annotations
@@ -8,72 +10,76 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from fleetlake.functions.names import base_name, decoded
 from fleetlake.registry import CORRUPT, FileType
 
+ANY_JSON = "*.[jJ][sS][oO][nN]"
+#: Characters of a refused file that its reject row shows.
+SHOWN = 4096
 _JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
-def _with_origin(df: DataFrame, file_type: FileType, path: Column) -> DataFrame:
-    name = base_name(decoded(path))
-    return df.select(path.alias("file_path"), name.alias("file_name"), *file_type.root_keys, CORRUPT)
-
-
-def _literal(path: str) -> str:
+def literal_path(path: str) -> str:
     """A path that Spark must not expand as a pattern."""
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
+def _texts(df: DataFrame) -> DataFrame:
+    return df.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("content"))
+
+
 def read_envelopes(spark: SparkSession, paths: Sequence[str], file_type: FileType) -> DataFrame:
-    """Exactly the given files, one row each: ``file_path, file_name, <root keys>, _corrupt_record``.
+    """Exactly the given files: ``file_path, file_name, <root keys>, _corrupt_record``.
 
     Raises if a path does not exist.
     """
-    df = (
-        spark.read.schema(file_type.envelope)
-        .options(multiLine="true", **_JSON_OPTIONS)
-        .json([_literal(p) for p in paths])
-    )
-    return _with_origin(df, file_type, F.col("_metadata.file_path"))
+    files = spark.read.text([literal_path(p) for p in paths], wholetext=True)
+    return parse_envelopes(_texts(files), file_type)
 
 
 def read_envelope_folder(
-    spark: SparkSession, folder: str, file_type: FileType, pattern: str = "*.json", recursive: bool = False
+    spark: SparkSession, folder: str, file_type: FileType, pattern: str = ANY_JSON, recursive: bool = False
 ) -> DataFrame:
     """Every file under ``folder`` whose name fits ``pattern``."""
-    df = (
-        spark.read.schema(file_type.envelope)
-        .options(multiLine="true", pathGlobFilter=pattern, **_JSON_OPTIONS)
-        .option("recursiveFileLookup", str(recursive).lower())
-        .json(folder)
-    )
-    return _with_origin(df, file_type, F.col("_metadata.file_path"))
+    reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
+    files = reader.text(folder, wholetext=True, pathGlobFilter=pattern)
+    return parse_envelopes(_texts(files), file_type)
 
 
 def stream_envelopes(
     spark: SparkSession,
     folder: str,
     file_type: FileType,
-    pattern: str = "*.json",
+    pattern: str = ANY_JSON,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """New files of ``folder`` as a stream, each read once per checkpoint."""
-    reader = (
-        spark.readStream.schema(file_type.envelope)
-        .options(multiLine="true", pathGlobFilter=pattern, **_JSON_OPTIONS)
-    )
+    reader = spark.readStream
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.json(folder)
-    return _with_origin(df, file_type, F.col("_metadata.file_path"))
+    return parse_envelopes(_texts(reader.text(folder, wholetext=True, pathGlobFilter=pattern)), file_type)
 
 
 def parse_envelopes(texts: DataFrame, file_type: FileType, text: str = "content") -> DataFrame:
-    """Envelopes held as text in a column, with the same result as reading them from files."""
-    parsed = texts.select(
-        "file_path", F.from_json(F.col(text), file_type.envelope, _JSON_OPTIONS).alias("envelope")
-    ).select("file_path", "envelope.*")
-    return _with_origin(parsed, file_type, F.col("file_path"))
+    """Envelopes held as text in a column, one row each; ``_corrupt_record`` has the text of a corrupt file."""
+    content = F.col(text)
+    one = F.array(F.from_json(content, file_type.envelope, _JSON_OPTIONS))
+    several = F.from_json(content, ArrayType(file_type.envelope), _JSON_OPTIONS)
+    # One value and nothing after it; only tokens are looked at.
+    whole = F.json_array_length(F.concat(F.lit("["), content, F.lit("]"))).eqNullSafe(F.lit(1))
+    corrupt = F.array(F.lit(None).cast(file_type.envelope))
+    found = F.when(whole, F.coalesce(F.when(F.startswith(F.ltrim(content), F.lit("[")), several).otherwise(one), corrupt)).otherwise(corrupt)
+    parsed = texts.select("file_path", content.alias("content"), F.explode_outer(found).alias("envelope"))
+    name = base_name(decoded(F.col("file_path")))
+    broken = F.col("envelope").isNull() | F.col(f"envelope.{CORRUPT}").isNotNull()
+    return parsed.select(
+        "file_path",
+        name.alias("file_name"),
+        *(F.col(f"envelope.{k}").alias(k) for k in file_type.root_keys),
+        F.when(broken, F.col("content")).alias(CORRUPT),
+        F.left("content", F.lit(SHOWN)).alias("shown"),
+    )

@@ -9,19 +9,20 @@ from pyspark.sql import functions as F
 
 from fleetlake.functions import times
 from fleetlake.functions.names import base_name
+from fleetlake.sources.envelopes import ANY_JSON
 
 
 def list_incoming(
     spark: SparkSession,
     folder: str,
-    pattern: str = "*.[jJ][sS][oO][nN]",
+    pattern: str = ANY_JSON,
     recursive: bool = False,
     modified_after: datetime | None = None,
 ) -> DataFrame:
     """One row per file: ``file_path`` (its URI), ``path``, ``file_name, length, modified_at``.
 
-    ``modified_after`` keeps a listing short in a folder that is never emptied.  Spark leaves
-    files of zero bytes out of every listing and read.
+    ``modified_after`` keeps a listing short in a folder that is never emptied.  Spark's readers pass
+    over files of zero bytes and hidden ones; ``overlooked`` finds those.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     if recursive:
@@ -36,3 +37,30 @@ def list_incoming(
         "length",
         F.col("modificationTime").alias("modified_at"),
     )
+
+
+def overlooked(spark: SparkSession, folder: str, listed: DataFrame, pattern: str = ANY_JSON, recursive: bool = False) -> DataFrame:
+    """Files of zero bytes, and those whose names begin with ``_`` or ``.``, with the columns of ``listed``.
+
+    ``hidden`` tells them apart.  Looked up through the session's file system, in ``folder`` and, if
+    asked for, in every folder below that has other files.  Folders so named hold Spark's own files.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+    every = reader.option("recursiveFileLookup", str(recursive).lower()).load(folder).inputFiles()
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    base = jvm.org.apache.hadoop.fs.Path(folder)
+    system = base.getFileSystem(conf)
+    folders = {folder, *(path.rsplit("/", 1)[0] for path in every)} if recursive else {folder}
+    statuses = [(s, True) for f in sorted(folders) for s in system.globStatus(jvm.org.apache.hadoop.fs.Path(f, "[_.]" + pattern)) or () if s.isFile()]
+    if len(every) > listed.count():
+        names = listed.sparkSession.createDataFrame([(p,) for p in every], "file_path string")
+        empty = names.join(listed.select("file_path"), "file_path", "left_anti").collect()
+        for row in empty:
+            status = system.getFileStatus(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.file_path)))
+            statuses += [(status, False)] * (status.getLen() == 0)
+    rows = [
+        (s.getPath().toUri().toString(), s.getPath().toString(), s.getPath().getName(), s.getLen(), s.getModificationTime(), hidden)
+        for s, hidden in statuses
+    ]
+    found = spark.createDataFrame(rows, "file_path string, path string, file_name string, length long, ms long, hidden boolean")
+    return found.withColumn("modified_at", F.timestamp_millis("ms")).select(*listed.columns, "hidden")

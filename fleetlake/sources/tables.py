@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, TimestampType
 
+from fleetlake.sources.envelopes import literal_path
 from fleetlake.registry import (
     EXTRA_DATA_FIELDS,
     FILE_TYPES,
@@ -22,16 +23,33 @@ from fleetlake.registry import (
 DATABASES = ("raw_data", "reports")
 
 
+class ManagedTable(ValueError):
+    """A table stands where a view or an external table should, and dropping it would delete data."""
+
+
+class StreamedTable(ValueError):
+    """The catalog can't define a table that a stream writes."""
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A Parquet table under its declared schema."""
     return spark.read.schema(schema).parquet(path)
 
 
 def open_table(spark: SparkSession, path: str, schema: StructType, partition: str) -> DataFrame:
-    """The same for a table that may not exist yet: it is then created without rows."""
-    nothing = spark.createDataFrame([], schema)
-    nothing.write.mode("ignore").partitionBy(partition).parquet(path)
-    return read_table(spark, path, schema)
+    """The same for a table that may not exist yet: it then has no rows.  Nothing is written."""
+    try:
+        return read_table(spark, path, schema)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def is_streamed(spark: SparkSession, path: str) -> bool:
+    """Whether a stream's file sink writes the table: its commit log then says which files count."""
+    log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_spark_metadata")
+    return log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log)
 
 
 def scan_partitions(
@@ -39,9 +57,12 @@ def scan_partitions(
 ) -> DataFrame:
     """The given partitions of a table; absent ones, even all of them, contribute no rows.
 
-    Only their folders are listed, so the cost does not grow with the age of the table.
+    Only their folders are listed, so the cost does not grow with the age of the table.  A streamed
+    table is read by its commit log and then filtered: its folders may hold files that do not count.
     """
-    folders = f"{path}/{column}={{{','.join(values)}}}"
+    if is_streamed(spark, path):
+        return read_table(spark, path, schema).where(F.col(column).isin([F.lit(v).cast(schema[column].dataType) for v in values]))
+    folders = f"{literal_path(path)}/{column}={{{','.join(values)}}}"
     try:
         return spark.read.schema(schema).option("basePath", path).parquet(folders)
     except AnalysisException as error:
@@ -76,19 +97,24 @@ def create_databases(spark: SparkSession, lake: Lake, databases: tuple[str, str]
 
 
 def _drop_any(spark: SparkSession, name: str) -> None:
-    """Drop the catalog entry, whether view or table.  Both are external: no data goes with it."""
+    """Drops a view or an external table, with which no data goes.  Refuses a managed table."""
     if spark.catalog.tableExists(name):
-        kind = "VIEW" if spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
-        spark.sql(f"DROP {kind} IF EXISTS {name}")
+        kind = spark.catalog.getTable(name).tableType
+        if kind == "MANAGED":
+            raise ManagedTable(f"{name} is a managed table; dropping it would delete its data")
+        spark.sql(f"DROP {'VIEW' if kind == 'VIEW' else 'TABLE'} IF EXISTS {name}")
 
 
 def create_tables(spark: SparkSession, lake: Lake, databases: tuple[str, str] = DATABASES) -> None:
     """External partitioned tables with declared schemas, for a catalog shared by many readers.
 
-    New partitions need ``spark.catalog.recoverPartitions``; ``create_views`` needs nothing.
+    New partitions need ``spark.catalog.recoverPartitions``; ``create_views`` needs nothing.  A table
+    that a stream writes can't be defined so and is refused: the catalog would not keep its commit log.
     """
     create_databases(spark, lake, databases)
     for database, table, schema, partition, location in _layout(lake, databases):
+        if is_streamed(spark, location):
+            raise StreamedTable(f"{location} is written by a stream; use create_views")
         name = f"{database}.{table}"
         _drop_any(spark, name)
         columns = ", ".join(f"`{f.name}` {_sql_type(f)}" for f in schema)
@@ -110,27 +136,25 @@ def _extra_data_struct() -> str:
 
 def _view_columns(order: Sequence[str]) -> str:
     """Presentation columns.  ``day`` is text; Spark would read a date from the folder name."""
-    special = {"event_extra_data": _extra_data_struct(), "day": "CAST(day AS STRING) AS day"}
+    special = {"event_extra_data": _extra_data_struct(), "day": "CAST(day AS STRING) AS day", "date": "CAST(date AS DATE) AS date"}
     return ", ".join(special.get(c, c) for c in order)
 
 
 def create_views(spark: SparkSession, lake: Lake, databases: tuple[str, str] = DATABASES) -> None:
     """``raw_data.*`` and ``reports.*`` as views over the Parquet folders, columns in reading order.
 
-    A view lists its folder anew for each query, so new files and partitions show up unasked.  A
-    table without files gets an empty view; call again after its first load.
+    A view lists its folder anew for each query, so new files and partitions show up unasked.  A table
+    without files is given one without rows, so that its view is right before and after the first load.
     """
     create_databases(spark, lake, databases)
     orders = {t.name: t.view_order for t in FILE_TYPES.values()} | {"daily_summary": SUMMARY_VIEW_ORDER}
     for database, table, schema, partition, location in _layout(lake, databases):
-        if open_table(spark, location, schema, partition).head(1):
-            source = f"parquet.`{location}`"
-        else:
-            nulls = ", ".join(f"CAST(NULL AS {_sql_type(f)}) AS `{f.name}`" for f in schema)
-            source = f"(SELECT {nulls} WHERE false)"
+        if not open_table(spark, location, schema, partition).inputFiles():
+            bare = StructType([f for f in schema if f.name != partition])
+            spark.createDataFrame([], bare).write.parquet(f"{location}/{partition}=__HIVE_DEFAULT_PARTITION__")
         name = f"{database}.{table}"
         _drop_any(spark, name)
-        spark.sql(f"CREATE VIEW {name} AS SELECT {_view_columns(orders[table])} FROM {source}")
+        spark.sql(f"CREATE VIEW {name} AS SELECT {_view_columns(orders[table])} FROM parquet.`{location}`")
 
 
 def catalog_listing(spark: SparkSession, databases: tuple[str, str] = DATABASES) -> DataFrame:

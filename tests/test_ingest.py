@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import date, datetime
 
 import pytest
@@ -33,7 +34,7 @@ def reasons(spark, lake):
 
 def states(spark, lake):
     rows = ledger_table(spark, lake).collect()
-    return {r.file_path.rsplit("/", 1)[1]: (r.state, r.rows) for r in rows}
+    return {r.file_path.rsplit("/", 1)[1]: (r.state, r.rows) for r in rows if r.state != "started"}
 
 
 def test_both_types_land_by_arrival_date(spark, lake, incoming, zone):
@@ -152,9 +153,11 @@ def test_failed_files_wait_until_asked_for(spark, lake, incoming):
         run_ingest(spark, lake, str(incoming))
     incoming.events(S2, event("V2"))
     assert run_ingest(spark, lake, str(incoming)).first().rows_loaded == 1
-    incoming.put(bad.rsplit("/", 1)[1], {"vehicles_events": [event("V1")]})
-    assert run_ingest(spark, lake, str(incoming)).first().rows_loaded == 0
-    assert run_ingest(spark, lake, str(incoming), retry_failed=True).first().rows_loaded == 1
+    assert run_ingest(spark, lake, str(incoming)).first().total_failed == 0
+    with pytest.raises(BatchRejected):
+        run_ingest(spark, lake, str(incoming), retry_failed=True)
+    incoming.put(bad.rsplit("/", 1)[1], {"vehicles_events": [event("V1")]})  # delivered again
+    assert run_ingest(spark, lake, str(incoming)).first().rows_loaded == 1
     assert {r.vehicle_id for r in events_of(spark, lake).collect()} == {"V1", "V2"}
 
 
@@ -175,11 +178,20 @@ def test_one_type_failing_leaves_the_other_alone(spark, lake, incoming):
     assert (totals.batches_processed, totals.total_processed, totals.total_failed) == (1, 1, 1)
 
 
-def test_many_files_go_in_several_batches(spark, lake, incoming):
+@pytest.mark.parametrize("files_per_read", [2, 1000])
+@pytest.mark.parametrize("bad", [False, True])
+def test_readers_do_not_change_what_is_loaded(spark, lake, incoming, files_per_read, bad):
     for minute in range(7):
         incoming.events(f"202511081200{minute:02}", event(f"V{minute}"))
-    totals = run_ingest(spark, lake, str(incoming), files_per_batch=3).first()
-    assert (totals.batches_processed, totals.total_processed, totals.rows_loaded) == (3, 7, 7)
+    if bad:
+        incoming.events(S2, event(None))
+    totals = run_ingest(spark, lake, str(incoming), files_per_read=files_per_read, raise_on_failure=False).first()
+    loaded = (totals.batches_processed, totals.total_processed, totals.total_failed, totals.rows_loaded)
+    assert loaded == ((0, 0, 8, 0) if bad else (1, 7, 0, 7))
+    assert events_of(spark, lake).count() == totals.rows_loaded
+    if bad:
+        reason = {r.reason for r in ledger_table(spark, lake).collect()}
+        assert reason == {"batch_failed", "null_required"}
 
 
 def test_file_without_stamp_gets_the_ingest_date(spark, lake, incoming):
@@ -278,3 +290,52 @@ def test_quality_checks(spark):
 def test_unknown_policy(spark, lake, incoming):
     with pytest.raises(ValueError):
         run_ingest(spark, lake, str(incoming), policy="maybe")
+
+
+def test_nothing_vanishes(spark, lake, incoming):
+    """Both keys in one file, a second value, an odd record, an empty file, hidden files: loaded or refused."""
+    incoming.put(f"vehicles_events_{S1}.json", {"vehicles_events": [event()], "vehicle_events": [event("V2")]})
+    incoming.put(f"vehicles_events_{S2}.json", json.dumps({"vehicles_events": [event("V3")]}) * 2)
+    incoming.put("vehicles_events_20251108140000.json", {"vehicles_events": [event("V4"), event("V5", event_extra_data="text"), event("V6"), 7]})
+    incoming.put("vehicles_events_20251108150000.json", "")
+    incoming.put("_vehicles_events_20251108160000.json", {"vehicles_events": [event("V7")]})
+    incoming.put(".vehicles_events_20251108160000.json", "")
+    incoming.put("vehicles_events_20251108170000.json", [{"vehicles_events": [event("V8")]}, {"vehicle_events": [event("V9")]}])
+    totals = run_ingest(spark, lake, str(incoming), policy=ingest.QUARANTINE, raise_on_failure=False).first()
+    assert {r.vehicle_id for r in events_of(spark, lake).collect()} == {"V1", "V2", "V4", "V6", "V8", "V9"}
+    assert reasons(spark, lake) == {"corrupt_json": 1, "bad_record": 2, "empty_file": 1, "unknown_type": 2}
+    assert (totals.rows_loaded, totals.rows_rejected) == (6, 6)
+    shown = rejects_table(spark, lake).where("reason in ('corrupt_json', 'bad_record')").collect()
+    assert all(r.record for r in shown)
+    assert run_ingest(spark, lake, str(incoming), raise_on_failure=False).first().total_failed == 0
+
+
+def test_a_name_delivered_again_is_loaded(spark, lake, incoming):
+    incoming.put("backup_vehicle_events_final.json", {"vehicle_events": [event()]})
+    run_ingest(spark, lake, str(incoming), ingest_date=date(2025, 11, 9))
+    incoming.put("backup_vehicle_events_final.json", {"vehicle_events": [event("V2"), event("V3")]})
+    assert run_ingest(spark, lake, str(incoming), ingest_date=date(2025, 11, 9)).first().rows_loaded == 2
+    assert events_of(spark, lake).count() == 3
+
+
+class Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("partly", [False, True])
+def test_a_crash_before_the_last_ledger_rows_is_settled(spark, lake, incoming, monkeypatch, partly):
+    incoming.events(S1, event(), event("V2"))
+    incoming.events(S3, event("V3"))
+    append = sinks.append_partitioned
+
+    def crash(df, *more, **named):
+        append(df.where("vehicle_id = 'V1'") if partly else df, *more, **named)
+        raise Crash
+
+    with monkeypatch.context() as patched, pytest.raises(Crash):
+        patched.setattr(sinks, "append_partitioned", crash)
+        run_ingest(spark, lake, str(incoming))
+    totals = run_ingest(spark, lake, str(incoming)).first()
+    assert totals.rows_loaded == (3 if partly else 0)
+    assert sorted(r.vehicle_id for r in events_of(spark, lake).collect()) == ["V1", "V2", "V3"]
+    assert run_ingest(spark, lake, str(incoming)).first().total_processed == 0

@@ -29,7 +29,6 @@ def test_views_show_new_files(spark, lake):
     assert spark.table("raw_data.vehicle_events").count() == 0
     store(spark, lake, EXAMPLE[:2])
     summary.run_daily_summary(spark, lake, TARGET, AS_OF)
-    tables.create_views(spark, lake)
     view = spark.sql("SELECT * FROM raw_data.vehicle_events")
     assert view.columns == list(VEHICLE_EVENTS.view_order)
     assert spark.sql("SELECT * FROM raw_data.vehicle_events LIMIT 10").count() == 2
@@ -144,3 +143,18 @@ def test_lake_paths():
     lake = Lake("s3://bucket/lake/")
     assert lake.raw("vehicle_events") == "s3://bucket/lake/raw_data/vehicle_events"
     assert lake.summary == "s3://bucket/lake/reports/daily_summary"
+
+
+def test_a_managed_table_is_not_dropped(spark, lake):
+    spark.sql("CREATE DATABASE IF NOT EXISTS kept_raw")
+    spark.sql("CREATE TABLE kept_raw.vehicle_events USING parquet AS SELECT 1 AS x")
+    for make in (tables.create_views, tables.create_tables):
+        with pytest.raises(tables.ManagedTable):
+            make(spark, lake, ("kept_raw", "kept_reports"))
+    assert spark.table("kept_raw.vehicle_events").count() == 1
+    spark.sql("DROP TABLE kept_raw.vehicle_events")
+
+
+def test_reading_writes_nothing(spark, lake, tmp_path):
+    assert tables.open_table(spark, lake.ledger, VEHICLE_EVENTS.table, "date").count() == 0
+    assert not (tmp_path / "lake").exists()

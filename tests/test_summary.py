@@ -11,7 +11,7 @@ from fleetlake.functions import times
 from fleetlake.operators import latest, sinks
 from fleetlake.plans import summary
 from fleetlake.registry import SUMMARY, VEHICLE_EVENTS
-from fleetlake.sources.tables import read_table
+from fleetlake.sources.tables import open_table, read_table
 
 COLUMNS = "vehicle_id string, time string, event_type string, event_source string, date string"
 
@@ -36,7 +36,7 @@ def store(spark, lake, rows):
 
 
 def stored(spark, lake):
-    df = read_table(spark, lake.summary, SUMMARY)
+    df = open_table(spark, lake.summary, SUMMARY, "day")
     return {
         (r.vehicle_id, r.day): (r.t, r.last_event_type)
         for r in df.withColumn("t", times.utc_reading(df, "last_event_time")).collect()
@@ -89,10 +89,12 @@ def test_longer_lookback_takes_later_arrivals(spark):
 
 
 def test_no_events(spark, lake):
-    assert summary.run_daily_summary(spark, lake, TARGET, AS_OF).status == "no_events"
+    result = summary.run_daily_summary(spark, lake, TARGET, AS_OF)
+    assert (result.status, result.reason, result.sample) == ("no_events", "no_partitions", ())
     store(spark, lake, [("V3", "2025-11-09T00:00:00Z", "next", "2025-11-09")])
     result = summary.run_daily_summary(spark, lake, TARGET, AS_OF)
-    assert (result.status, result.rows) == ("no_events", 0)
+    assert (result.status, result.rows, result.reason) == ("no_events", 0, "outside_window")
+    assert [r.vehicle_id for r in result.sample] == ["V3"]
     assert stored(spark, lake) == {}
 
 
@@ -208,4 +210,25 @@ def test_sample(spark):
     df = events(spark, EXAMPLE)
     sample = latest.event_time_sample(df, 2)
     assert [r.event_type for r in sample.collect()] == ["old", "park"]
-    assert set(VEHICLE_EVENTS.table.names) == set(df.columns)
+    assert set(VEHICLE_EVENTS.table.names) == {*df.columns, "_batch_id"}
+
+
+def test_backfill_leaves_no_stale_days(spark, lake):
+    store(spark, lake, EXAMPLE)
+    stale = spark.createDataFrame([("V7", None, "old", d) for d in ("2025-11-07", "2025-11-08", "2025-11-20")], SUMMARY)
+    sinks.overwrite_days(stale, lake.summary)
+    summary.run_backfill(spark, lake, date(2025, 11, 7), date(2025, 11, 8))
+    days = {(r.day, r.vehicle_id) for r in read_table(spark, lake.summary, SUMMARY).collect()}
+    assert ("2025-11-20", "V7") in days and ("2025-11-07", "V7") not in days and ("2025-11-08", "V7") not in days
+    result = summary.run_backfill(spark, lake, date(2025, 11, 20), date(2025, 11, 20))
+    assert result.status == "no_events" and "2025-11-20" not in {d for d, _ in stored(spark, lake)}
+
+
+def test_the_merge_keeps_to_the_tie_break(spark, lake):
+    rows = [("V1", "2025-11-08T10:00:00Z", kind, "2025-11-08") for kind in ("zzz", "aaa")]
+    sources = dict(zip(("zzz", "aaa"), ("device", "sensor")))
+    for kind in ("aaa", "zzz"):
+        df = events(spark, [r for r in rows if r[2] == kind]).withColumn("event_source", F.lit(sources[kind]))
+        summary.upsert(spark, summary.candidates(df, ("event_source",)), lake.summary)
+    (row,) = read_table(spark, lake.summary, SUMMARY).collect()
+    assert row.last_event_type == "aaa"

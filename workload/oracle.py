@@ -211,3 +211,7 @@ ORACLE: dict[str, str] = {
     "stream_rejects": _REJECT_REASONS,
     "stream_daily_summary": _ALL_SUMMARIES,
 }
+ORACLE["fail_batch_any_size"] = ORACLE["fail_batch_counters"]
+ORACLE["ingest_after_crash"] = ORACLE["view_before_first_load"] = ORACLE["append_partitioned_events"]
+ORACLE["backfill_job"] = ORACLE["backfill_daily_summary"]
+ORACLE["summary_over_streamed_table"] = ORACLE["daily_summary_job"]

@@ -105,6 +105,31 @@ def daily_summary_job(spark, sf_dir):
     return _utc(tables.read_table(spark, lake.summary, SUMMARY), "last_event_time")
 
 
+def backfill_job(spark, sf_dir):
+    """The writing job over a range of days; a stale row of one of them goes."""
+    events = given.events_lake(spark, sf_dir)
+    lake = Lake(events.base, reports=workspace.work_dir(spark, "backfill-job"))
+    stale = given.vehicle_events(spark, sf_dir).select(
+        "vehicle_id", F.lit(None).cast("timestamp").alias("last_event_time"), F.lit("stale").alias("last_event_type"), F.lit("2024-01-06").alias("day")
+    )
+    sinks.overwrite_days(stale.distinct(), lake.summary)
+    summary.run_backfill(spark, lake, date(2024, 1, 5), date(2024, 1, 12))
+    return _utc(tables.read_table(spark, lake.summary, SUMMARY), "last_event_time")
+
+
+def summary_over_streamed_table(spark, sf_dir):
+    """The daily job over a table that a stream wrote, with files in it that no commit names."""
+    base = workspace.work_dir(spark, "streamed")
+    lake = Lake(base)
+    path = lake.raw("vehicle_events")
+    stream_in.ingest_stream(_tagged_stream(spark, sf_dir), VEHICLE_EVENTS, path, f"{base}/checkpoint").awaitTermination()
+    day = F.col("date").cast("string") == "2024-01-15"
+    stray = _stored_events(spark, lake).where(day).withColumn("event_type", F.lit("zzz"))
+    stray.drop("date").write.mode("append").parquet(f"{path}/date=2024-01-15")
+    summary.run_daily_summary(spark, lake, TARGET, AS_OF)
+    return _utc(tables.read_table(spark, lake.summary, SUMMARY), "last_event_time")
+
+
 # --- files -----------------------------------------------------------------------------------
 
 
@@ -204,7 +229,7 @@ def quarantine_records(spark, sf_dir):
     return quality.reason_counts(tagged)
 
 
-def _ingest_defective(spark, sf_dir, lake, policy):
+def _ingest_defective(spark, sf_dir, lake, policy, **more):
     return ingest.run_ingest(
         spark,
         lake,
@@ -213,6 +238,7 @@ def _ingest_defective(spark, sf_dir, lake, policy):
         ingest_date=given.INGEST_DATE,
         recursive=True,
         raise_on_failure=False,
+        **more,
     )
 
 
@@ -228,6 +254,12 @@ def fail_batch_counters(spark, sf_dir):
     return _ingest_defective(spark, sf_dir, lake, ingest.FAIL_BATCH)
 
 
+def fail_batch_any_size(spark, sf_dir):
+    """The same with several files to a reader instead of all: the decision is still one."""
+    lake = Lake(workspace.work_dir(spark, "fail-batch-chunks"))
+    return _ingest_defective(spark, sf_dir, lake, ingest.FAIL_BATCH, files_per_read=7)
+
+
 def reject_reasons(spark, sf_dir):
     """What the rejects table holds after such an ingest."""
     lake = Lake(workspace.work_dir(spark, "rejects"))
@@ -264,6 +296,28 @@ def ingest_files(spark, sf_dir):
     )
 
 
+def ingest_after_crash(spark, sf_dir):
+    """An ingest whose last ledger rows are lost, and a second one: nothing twice, nothing missing."""
+    lake = Lake(workspace.work_dir(spark, "crash"))
+    folder = f"{given.landed(spark, sf_dir)}/events"
+    ingest.run_ingest(spark, lake, folder, ingest_date=given.INGEST_DATE, recursive=True)
+    started = ingest.ledger_table(spark, lake).where(F.col("state") == ingest.STARTED)
+    crashed = Lake(lake.base, control=workspace.work_dir(spark, "crash-control"))
+    sinks.append_ledger(started, crashed.ledger)
+    ingest.run_ingest(spark, crashed, folder, ingest_date=given.INGEST_DATE, recursive=True)
+    return _rows_per_date(_stored_events(spark, crashed))
+
+
+def view_before_first_load(spark, sf_dir):
+    """Views made over a lake that holds nothing yet show what is ingested afterwards."""
+    lake = Lake(workspace.work_dir(spark, "view-first"))
+    databases = ("early_raw", "early_reports")
+    tables.create_views(spark, lake, databases)
+    folder = f"{given.landed(spark, sf_dir)}/events"
+    ingest.run_ingest(spark, lake, folder, ingest_date=given.INGEST_DATE, recursive=True)
+    return _rows_per_date(spark.table("early_raw.vehicle_events"))
+
+
 def scan_date_partitions(spark, sf_dir):
     lake = given.events_lake(spark, sf_dir)
     days = ["2024-01-15", "2024-01-16", "2024-03-01"]
@@ -351,7 +405,7 @@ def stream_rejects(spark, sf_dir):
     """The refused records of defective files, found by a stream."""
     folder = workspace.work_dir(spark, "stream-rejects")
     tagged = stream_in.tagged_stream(spark, f"{given.landed_defective(spark, sf_dir)}/*", VEHICLE_EVENTS)
-    stream_in.reject_stream(tagged, f"{folder}/rejects", f"{folder}/checkpoint").awaitTermination()
+    stream_in.reject_stream(tagged, VEHICLE_EVENTS, f"{folder}/rejects", f"{folder}/checkpoint").awaitTermination()
     return _by_reason(spark.read.parquet(f"{folder}/rejects"))
 
 
@@ -393,6 +447,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         event_time_sample,
         run_counters,
         fail_batch_counters,
+        fail_batch_any_size,
+        ingest_after_crash,
+        view_before_first_load,
+        backfill_job,
+        summary_over_streamed_table,
         vehicle_events_view,
         vehicle_status_view,
         daily_summary_for_day,

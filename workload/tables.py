@@ -16,7 +16,7 @@ from fleetlake import workspace
 from fleetlake.functions import times
 from fleetlake.operators import sinks
 from fleetlake.plans import ingest, summary
-from fleetlake.registry import SOURCE_FILE, VEHICLE_EVENTS, VEHICLE_STATUS, FileType, Lake
+from fleetlake.registry import BATCH_ID, SOURCE_FILE, VEHICLE_EVENTS, VEHICLE_STATUS, FileType, Lake
 from fleetlake.sources.tables import create_views, read_table
 
 INGEST_DATE = date(2024, 1, 31)
@@ -237,9 +237,8 @@ def as_table(records: DataFrame, file_type: FileType) -> DataFrame:
     instants = records.withColumn(
         file_type.time_column, times.utc_to_instant(F.col(file_type.time_column))
     )
-    return instants.withColumn(SOURCE_FILE, F.concat(F.lit("given/"), "vehicle_id")).select(
-        *file_type.table.names
-    )
+    given = {SOURCE_FILE: F.concat(F.lit("given/"), "vehicle_id"), BATCH_ID: F.lit("given")}
+    return instants.withColumns(given).select(*file_type.table.names)
 
 
 @cache
