@@ -105,7 +105,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
     marked = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("label"))
     drawn = marked.orderBy(F.xxhash64("_id"), "_id").limit(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("_id")).select("doc_id", bytes_of(), "label")  # ``sample`` rows at most
-    rows = staged(rows, "quality-sample").repartition(SHARDS, "doc_id").sortWithinPartitions(F.xxhash64("doc_id"), "text")
+    rows = staged(rows, "quality-sample").repartition(SHARDS).sortWithinPartitions(F.xxhash64("doc_id"), "text")
     weights, squares = np.zeros((1 << BITS) + 1, np.float32), np.zeros((1 << BITS) + 1, np.float32)
     for _ in range(ROUNDS):
         state = spark.sparkContext.broadcast((weights, squares))
