@@ -1,4 +1,8 @@
-"""Validation.  Each check is an expression or one aggregate: a single pass, however many fields."""
+"""Validation.  Each check is an expression or one aggregate: a single pass, however many fields.
+
+``null_counts``, ``required_columns`` and ``reason_counts`` are for users who look at a table; the jobs
+take the same facts on the pass that they make anyway.
+"""
 
 from __future__ import annotations
 
