@@ -257,7 +257,7 @@ def fail_batch_counters(spark, sf_dir):
 def fail_batch_any_size(spark, sf_dir):
     """The same with several files to a reader instead of all: the decision is still one."""
     lake = Lake(workspace.work_dir(spark, "fail-batch-chunks"))
-    return _ingest_defective(spark, sf_dir, lake, ingest.FAIL_BATCH, files_per_read=7)
+    return _ingest_defective(spark, sf_dir, lake, ingest.FAIL_BATCH, files_per_read=15)
 
 
 def reject_reasons(spark, sf_dir):
