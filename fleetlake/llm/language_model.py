@@ -22,7 +22,7 @@ import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -100,16 +100,17 @@ class Vocabulary:
 
 def histories(docs: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
     """For every token, ends included: its document, its head number or -1, its buckets, and the words by document."""
-    words = [d.lower().split() for d in docs]
+    lowered = [d.lower() for d in docs]
+    words = [d.split() for d in lowered]
     n = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
     last = np.cumsum(n) - 1
     number = np.empty(int(n.sum()), np.int64)
     h = np.zeros(len(number), np.uint64)
     is_word = np.ones(len(number), bool)
     is_word[last] = False
-    h[is_word] = Tokens([d.lower() for d in docs], _WORDS).hashes()
+    h[is_word] = Tokens(lowered, _WORDS).hashes()
     get = vocabulary.number.get
-    number[is_word] = np.fromiter((k for w in words for k in map(get, w, repeat(-1))), np.int64, int(is_word.sum()))
+    number[is_word] = np.fromiter(map(get, chain.from_iterable(words), repeat(-1)), np.int64, int(is_word.sum()))
     number[last] = get(END, -1)
     doc = np.repeat(np.arange(len(docs)), n)
     within = np.arange(len(number)) - np.repeat(last + 1 - n, n)
@@ -125,12 +126,53 @@ def histories(docs: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np
     return doc, number, buckets, words
 
 
-def _log_softmax(weights: np.ndarray, bias: np.ndarray, buckets: np.ndarray) -> np.ndarray:
-    s = weights[buckets[0]] + bias
+#: Tokens whose class scores are worked out at once, so that they stay in a processor's cache.
+_CACHED = 1024
+
+
+def _scores(weights: np.ndarray, bias: np.ndarray, buckets: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """Class scores less their largest."""
+    np.take(weights, buckets[0], axis=0, out=out, mode="clip")
+    out += bias
     for b in buckets[1:]:
-        s += weights[b]
-    s -= s.max(axis=1, keepdims=True)
-    return s - np.log(np.exp(s).sum(axis=1, keepdims=True))
+        out += weights[b]
+    out -= out.max(axis=1, keepdims=True)
+    return out
+
+
+def _softmax(weights: np.ndarray, bias: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    """Class probabilities."""
+    whole = np.empty((buckets.shape[1], len(bias)), np.float32)
+    for at in range(0, len(whole), _CACHED):
+        out = _scores(weights, bias, buckets[:, at : at + _CACHED], whole[at : at + _CACHED])
+        np.exp(out, out=out)
+        out /= out.sum(axis=1, keepdims=True)
+    return whole
+
+
+def _log_probability(weights: np.ndarray, bias: np.ndarray, buckets: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Natural log of the probability of each token's own class."""
+    found = np.empty(len(classes))
+    for at in range(0, len(classes), _CACHED):
+        some = slice(at, at + _CACHED)
+        s = _scores(weights, bias, buckets[:, some], np.empty((len(classes[some]), len(bias)), np.float32))
+        own = s[np.arange(len(s)), classes[some]]
+        found[some] = own - np.log(np.exp(s, out=s).sum(axis=1))
+    return found
+
+
+def _summed(buckets: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct buckets and the sums of their rows of ``off``; most buckets have one row, which is just taken."""
+    order = np.argsort(buckets.astype(np.uint16), kind="stable")  # a bucket has ``BITS`` bits; so short, numpy sorts by radix
+    there = buckets[order]
+    begin = np.flatnonzero(np.concatenate([[True], there[1:] != there[:-1]]))
+    counts = np.diff(begin, append=len(order))
+    g = np.take(off, order[begin], axis=0)
+    many = np.flatnonzero(counts > 1)
+    if len(many):
+        rest = np.take(off, order[np.repeat(counts > 1, counts)], axis=0)
+        g[many] = np.add.reduceat(rest, np.cumsum(counts[many]) - counts[many], axis=0)
+    return there[begin], g
 
 
 class Trainer:
@@ -140,14 +182,13 @@ class Trainer:
         self.weights, self.squares, self.bias, self.seen = weights.copy(), squares.copy(), bias, 0
 
     def update(self, buckets: np.ndarray, classes: np.ndarray) -> None:
-        off = np.exp(_log_softmax(self.weights, self.bias, buckets))
+        off = _softmax(self.weights, self.bias, buckets)
         off[np.arange(len(classes)), classes] -= 1
         for b in buckets:
-            order = np.argsort(b, kind="stable")
-            rows, begin = np.unique(b[order], return_index=True)
-            g = np.add.reduceat(off[order], begin, axis=0)
+            rows, g = _summed(b, off)
             self.squares[rows] += np.einsum("ij,ij->i", g, g) / CLASSES
-            self.weights[rows] -= STEP * g / np.sqrt(self.squares[rows] + 1e-6)[:, None]
+            g *= (STEP / np.sqrt(self.squares[rows] + 1e-6))[:, None]
+            self.weights[rows] -= g
         self.seen += len(classes)
 
 
@@ -203,12 +244,7 @@ def score(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, counts:
         within, base = np.append(v.within, 0), np.append(v.base, 0)
         for batch in bounded(batches, limit=BATCH_BYTES):
             doc, number, buckets, words = histories(texts(batch), v)
-            classes, gained = v.classes[number], np.empty(len(number))
-            for at in range(0, len(number), MINI_BATCH):
-                some = slice(at, at + MINI_BATCH)
-                s = _log_softmax(w, bias, buckets[:, some])
-                gained[some] = s[np.arange(len(s)), classes[some]]
-            gained = gained / math.log(10) + within[number]
+            gained = _log_probability(w, bias, buckets, v.classes[number]) / math.log(10) + within[number]
             sums = lambda x: np.bincount(doc, x, minlength=batch.num_rows)  # noqa: B023, E731
             get = v.number
             tails = [Counter([x for x in own if x not in get]) for own in words]
