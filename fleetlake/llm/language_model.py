@@ -1,8 +1,8 @@
 """Language-model scores from a hashed maximum-entropy model with a class-factored softmax.
 
 Tokens are lower-cased (A-Z) runs of non-blanks and one end of text.  Words are counted over all training
-texts.  The ``HEAD`` most frequent words fall into classes of about equal mass by frequency; all others
-are the tail class.  P(word | history) = P(class | history) * P(word | class).  The class softmax has
+texts.  The most frequent words, up to ``HEAD``, fall into classes of about equal mass by frequency; all
+others are the tail class.  P(word | history) = P(class | history) * P(word | class).  The class softmax has
 hashed features of the history: the last word, the last two, the word before the last, and the words two
 and three back.  Within a class the word itself is the only feature, whose maximum-entropy weight is its
 log count; tail words and unknown ones are smoothed by one half.
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.llm.common import BLANKS, Tokens, bounded, byte_classes, bytes_of, mixed, staged, texts
 
-#: Words with a class of their own kind, classes in all (the last is the tail's), and rows of weights.
+#: Words in classes by frequency at most, classes in all (the last is the tail's), and rows of weights.
 HEAD, CLASSES, BITS = 65_536, 64, 14
 ROUNDS, STEP, MINI_BATCH = 4, 0.25, 8_192
 COUNT_BYTES, BATCH_BYTES, BLOCKS = 12 << 20, 1 << 20, 16
@@ -62,6 +62,19 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select(bytes_of()).mapInArrow(each, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
+def _most_frequent(counts: DataFrame) -> DataFrame:
+    """The words in the upper classes of a fine histogram of counts, as many classes as have ``HEAD`` words at most."""
+    step = F.floor(F.log2("c") * 16).cast("int")
+    least = math.inf
+    left = HEAD
+    for row in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):  # 16 rows for each doubling
+        left -= row["count"]
+        if left < 0:
+            break
+        least = row.step
+    return counts.where(step >= least) if least < math.inf else counts.where("false")
+
+
 @dataclass
 class Vocabulary:
     """Head words in order of frequency: number, class, and logs (base 10) of both probabilities."""
@@ -82,7 +95,8 @@ class Vocabulary:
     @classmethod
     def of(cls, counts: DataFrame) -> Vocabulary:
         total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-        top = counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()
+        top = _most_frequent(counts).collect()  # ``HEAD`` rows at most
+        top.sort(key=lambda r: (-r.c, bytes(r.word)))
         c = np.array([r.c for r in top], np.float64)
         share = np.cumsum(c**0.75)
         classes = np.minimum((share / max(share[-1], 1) * (CLASSES - 1)).astype(int), CLASSES - 2) if len(c) else np.zeros(0, int)
