@@ -31,7 +31,7 @@ MIN_DOCS = 5
 MIN_SPREAD = 0.4
 SIMILARITY = 0.6
 #: Parts into which the lines of one template or leaf are dealt for a join.
-SALTS = 1
+SALTS = 16
 
 #: The parts of a digest that serve as independent hashes, and the columns made of them.
 _PARTS = ((1, 8), (9, 8), (17, 8))
