@@ -32,6 +32,8 @@ MIN_SPREAD = 0.4
 SIMILARITY = 0.6
 #: Parts into which the lines of one template or leaf are dealt for a join.
 SALTS = 16
+#: Hash classes of leaves by which lines are sifted before a join.
+FLAGS = 65_536
 
 #: The parts of a digest that serve as independent hashes, and the columns made of them.
 _PARTS = ((1, 8), (9, 8), (17, 8))
@@ -87,6 +89,17 @@ def _spread(lines: DataFrame, chosen: DataFrame, key: str, how: str) -> DataFram
     return dealt.join(copied, [key, "_salt"], how).drop("_salt")
 
 
+def _perhaps_in(lines: DataFrame, leaves: DataFrame) -> DataFrame:
+    """Lines of the leaves and a few others: most lines need not be moved for the join that follows.
+
+    The driver holds one flag for each of ``FLAGS`` hash classes of leaves, however many leaves there are.
+    """
+    place = F.pmod("leaf", F.lit(FLAGS)).cast("int")
+    there = {row[0] for row in leaves.select(place).distinct().collect()}
+    flags = F.split(F.lit(",".join("1" if k in there else "0" for k in range(FLAGS))), ",").cast("array<tinyint>")
+    return lines.where(F.get(flags, place) == 1)
+
+
 def _recurring(lines: DataFrame, key: str) -> DataFrame:
     by_text = lines.groupBy(key, "text_key").agg(*(F.min(a).alias(a) for a in _AROUND))
     found = by_text.groupBy(key).agg(
@@ -116,7 +129,8 @@ def recurring_lines(docs: DataFrame) -> DataFrame:
         F.count_distinct("text_key").alias("docs"), F.min("template").alias("least"), F.max("template").alias("most")
     )
     leaves = leaves.where((F.col("docs") >= MIN_DOCS) & (F.col("least") != F.col("most"))).select("leaf")
-    mixed = staged(_spread(lines, leaves, "leaf", "left_semi"), "lines-mixed")
+    leaves = staged(leaves, "line-leaves")
+    mixed = staged(_spread(_perhaps_in(lines, leaves), leaves, "leaf", "left_semi"), "lines-mixed")
     tokens = F.split("masked", " ")
     fitting = (
         _spread(mixed, _general_templates(mixed), "leaf", "inner")
