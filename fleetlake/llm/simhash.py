@@ -14,6 +14,7 @@ that repeat a ``doc_id`` are kept.  Null ``doc_id``s never name a component unle
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,8 @@ def fingerprint(text: bytes, words_per_shingle: int = 3, seed: int = 42) -> int:
     else:
         shingles = map(b" ".join, zip(*(words[k:] for k in range(words_per_shingle)), strict=False))
     total, counts, digest = max(1, len(words) - words_per_shingle + 1), np.zeros(64, np.int64), xxhash.xxh64_digest
-    for begin in range(0, total, _SHINGLES_AT_ONCE):
-        some = b"".join([digest(s, seed) for s, _ in zip(shingles, range(begin, min(total, begin + _SHINGLES_AT_ONCE)), strict=False)])
+    for _ in range(0, total, _SHINGLES_AT_ONCE):
+        some = b"".join([digest(s, seed) for s in islice(shingles, _SHINGLES_AT_ONCE)])
         bits = np.unpackbits(np.frombuffer(some, np.uint8).reshape(-1, 8), axis=1)
         counts += np.add.reduce(bits, axis=0, dtype=np.int32)
     return int.from_bytes(np.packbits(counts * 2 > total).tobytes(), "big")

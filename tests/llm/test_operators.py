@@ -166,6 +166,14 @@ def test_fingerprints_and_components(odd, nothing):
     assert {r._key for r in kept.collect()} == {"k"}
 
 
+@pytest.mark.parametrize("at_once", [1, 4, 97])
+def test_fingerprints_of_texts_longer_than_a_chunk(monkeypatch, at_once):
+    monkeypatch.setattr(simhash, "_SHINGLES_AT_ONCE", at_once)
+    for n in (1, 3, 6, 7, 99, 100, 500):
+        text = " ".join(words(n, n, 5000))
+        assert simhash.fingerprint(text.encode()) == plain_fingerprint(text)
+
+
 @pytest.mark.parametrize("tile_rows", [4, 65_536])
 def test_links_are_exact(spark, tile_rows):
     rng = np.random.default_rng(5)
