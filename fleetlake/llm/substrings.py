@@ -6,6 +6,10 @@ minimiser's bucket.  All copies of a window meet there, since the minimiser depe
 A bucket sorts its windows by hash, compares neighbours of equal hash word for word, and returns the spans
 of words whose windows occur more than once.
 
+Minimisers are counted first, in cells.  A cell of more than ``HOT_WINDOWS`` windows holds a minimiser that
+stands among many different words.  Its windows travel one by one to the bucket of their own hash, where
+all copies of a window meet as well, so no bucket grows with such a minimiser.
+
 Before the shuffle a task merges equal super-k-mers: their windows are known to repeat, so their spans are
 settled at once and one string goes on for all of them.  A passage with any number of copies therefore
 sends a bucket no more than one string per batch.  Strings of one bucket are compressed together.
@@ -44,6 +48,8 @@ RUN = 5
 #: Bytes of text whose super-k-mers a task merges at once, and bytes of strings that a reducing task gets on average.
 MERGE_BYTES, TASK_BYTES = 12 << 20, 24 << 20
 BUCKETS_PER_TASK = 8
+#: Cells of minimisers for each bucket, of some 40,000 windows on average, and windows beyond which a cell is dealt anew.
+CELLS_PER_BUCKET, HOT_WINDOWS = 4, 250_000
 
 _WORDS = byte_classes(BLANKS)
 PACKED = "bucket int, packed binary, keys binary, starts binary, ends binary, many binary"
@@ -77,42 +83,102 @@ def super_kmers(tokens: Tokens, window: int, run: int) -> tuple[np.ndarray, np.n
     return first, stops - first + 1, least[first]
 
 
-def _pack(batches: Iterable[pa.RecordBatch], buckets: int, window: int, run: int) -> Iterator[pa.RecordBatch]:
-    squeeze = zstandard.ZstdCompressor(level=1).compress
+def _cells(least: np.ndarray, buckets: int) -> np.ndarray:
+    return (mixed(least) % np.uint64(buckets * CELLS_PER_BUCKET)).astype(np.int64)
+
+
+def _load(batches: Iterable[pa.RecordBatch], buckets: int, window: int, run: int) -> Iterator[pa.RecordBatch]:
+    """The windows that each cell gets from each batch, equal super-k-mers counted once."""
+    for batch in bounded(batches, limit=MERGE_BYTES):
+        parts = []
+        for part in bounded([batch]):
+            t = Tokens(texts(part), _WORDS)
+            first, count, least = super_kmers(t, window, run)
+            parts.append((range_sums(t.hashes(), first, first + count + window - 1), _cells(least, buckets), count))
+        if parts:
+            string, cell, count = (np.concatenate(c) for c in zip(*parts, strict=True))
+            once = np.unique(string, return_index=True)[1]
+            found, at = np.unique(cell[once], return_inverse=True)
+            n = np.bincount(at.reshape(-1), count[once], minlength=len(found)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["cell", "n"])
+
+
+def hot_cells(docs: DataFrame, buckets: int, window: int = WINDOW, run: int = RUN) -> np.ndarray:
+    """The cells whose windows are dealt one by one, in order: at most one for ``HOT_WINDOWS`` windows of all texts."""
+    loads = docs.select(bytes_of()).mapInArrow(lambda b: _load(b, buckets, window, run), "cell long, n long")
+    hot = loads.groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") > HOT_WINDOWS)
+    return np.array(sorted(r.cell for r in hot.select("cell").collect()), np.int64)
+
+
+def _dealt(t: Tokens, buckets: int, hot: np.ndarray, window: int, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word and number of windows of what travels as one string, and its bucket."""
+    first, count, least = super_kmers(t, window, run)
+    cell = _cells(least, buckets)
+    bucket, alone = cell % buckets, np.isin(cell, hot)
+    if not alone.any():
+        return first, count, bucket
+    n = count[alone]
+    single = np.repeat(first[alone] - np.cumsum(n) + n, n) + np.arange(n.sum())
+    own = (range_sums(t.hashes(), single, single + window) % np.uint64(buckets)).astype(np.int64)
+    rest = ~alone
+    return (
+        np.concatenate([first[rest], single]),
+        np.concatenate([count[rest], np.ones(len(single), np.int64)]),
+        np.concatenate([bucket[rest], own]),
+    )
+
+
+def _pack(batches: Iterable[pa.RecordBatch], buckets: int, window: int, run: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in bounded(batches, limit=MERGE_BYTES):
-        seen: dict[bytes, int] = {}
-        at: list[tuple[int, int, int]] = []
-        many: list[bool] = []
-        bucket_of: list[int] = []
-        spans: list[tuple[int, int, int]] = []
+        merged, size = _Merged(buckets), 0
         for part in bounded([batch]):
+            if size > 4 * MERGE_BYTES:  # more than all super-k-mers of a batch: windows dealt one by one
+                yield from merged.rows()
+                merged, size = _Merged(buckets), 0
             docs = [b" ".join(t.split()) for t in texts(part)]
             t = Tokens(docs, _WORDS)
             first_word = np.searchsorted(t.doc, np.arange(len(docs)))
-            first, count, least = super_kmers(t, window, run)
-            doc, buffer = t.doc[first], t.buffer
-            own = part.column("key").to_numpy()[doc].tolist()
-            begin = (first - first_word[doc]).tolist()
-            bucket = (mixed(least) % np.uint64(buckets)).astype(np.int64).tolist()
-            for a, z, key, start, n, b in zip(
-                t.start[first].tolist(), t.end[first + count + window - 2].tolist(), own, begin, count.tolist(), bucket, strict=True
-            ):
-                k = seen.setdefault(buffer[a:z], len(at))
-                if k == len(at):
-                    at.append((key, start, n))
-                    many.append(False)
-                    bucket_of.append(b)
-                else:
-                    if not many[k]:
-                        many[k] = True
-                        spans.append((at[k][0], at[k][1], at[k][1] + at[k][2] + window - 1))
-                    spans.append((key, start, start + n + window - 1))
-        strings = list(seen)
-        order = np.argsort(np.array(bucket_of, np.int64), kind="stable")
-        sorted_buckets = np.array(bucket_of, np.int64)[order]
+            first, count, bucket = _dealt(t, buckets, hot, window, run)
+            doc = t.doc[first]
+            begin, stop = t.start[first], t.end[first + count + window - 2]
+            merged.add(t.buffer, begin, stop, part.column("key").to_numpy()[doc], first - first_word[doc], count, bucket, window)
+            size += int((stop - begin).sum())
+        yield from merged.rows()
+
+
+class _Merged:
+    """The strings of some texts, equal ones once, and the spans that this settles."""
+
+    def __init__(self, buckets: int):
+        self.buckets = buckets
+        self.seen: dict[bytes, int] = {}
+        self.at: list[tuple[int, int, int]] = []
+        self.many: list[bool] = []
+        self.bucket_of: list[int] = []
+        self.spans: list[tuple[int, int, int]] = []
+
+    def add(self, buffer: bytes, begin, stop, key, start, count, bucket, window: int) -> None:
+        seen, at, many, bucket_of, spans = self.seen, self.at, self.many, self.bucket_of, self.spans
+        for a, z, own, s, n, b in zip(*(c.tolist() for c in (begin, stop, key, start, count, bucket)), strict=True):
+            k = seen.setdefault(buffer[a:z], len(at))
+            if k == len(at):
+                at.append((own, s, n))
+                many.append(False)
+                bucket_of.append(b)
+            else:
+                if not many[k]:
+                    many[k] = True
+                    spans.append((at[k][0], at[k][1], at[k][1] + at[k][2] + window - 1))
+                spans.append((own, s, s + n + window - 1))
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        strings = list(self.seen)
+        order = np.argsort(np.array(self.bucket_of, np.int64), kind="stable")
+        sorted_buckets = np.array(self.bucket_of, np.int64)[order]
         cuts = [0, *(np.flatnonzero(sorted_buckets[1:] != sorted_buckets[:-1]) + 1).tolist(), len(order)] if len(order) else [0]
-        info = np.array(at, np.int64).reshape(-1, 3)
-        flags = np.array(many, np.uint8)
+        info = np.array(self.at, np.int64).reshape(-1, 3)
+        flags = np.array(self.many, np.uint8)
         rows: list[tuple] = []
         for a, z in zip(cuts, cuts[1:], strict=False):
             some = order[a:z]
@@ -126,9 +192,10 @@ def _pack(batches: Iterable[pa.RecordBatch], buckets: int, window: int, run: int
                     flags[some].tobytes(),
                 )
             )
-        if spans:
-            s = np.array(spans, np.int64)
-            rows.append((int(s[0, 0] % buckets), None, s[:, 0].tobytes(), s[:, 1].astype(np.int32).tobytes(), s[:, 2].astype(np.int32).tobytes(), None))
+        if self.spans:
+            s = np.array(self.spans, np.int64)
+            ends = (s[:, 1].astype(np.int32).tobytes(), s[:, 2].astype(np.int32).tobytes())
+            rows.append((int(s[0, 0] % self.buckets), None, s[:, 0].tobytes(), *ends, None))
         for at_row in range(0, len(rows), 64):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*rows[at_row : at_row + 64], strict=True), _PACKED, strict=True)], schema=_PACKED
@@ -217,7 +284,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> Dat
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(size * 3.2 / TASK_BYTES))
     buckets = tasks * BUCKETS_PER_TASK
-    packed = docs.select(_key().alias("key"), bytes_of()).mapInArrow(lambda b: _pack(b, buckets, window, run), PACKED)
+    hot = hot_cells(docs, buckets, window, run)
+    packed = docs.select(_key().alias("key"), bytes_of()).mapInArrow(lambda b: _pack(b, buckets, window, run, hot), PACKED)
     spans = packed.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda b: _count(b, window), SPANS)
     # A document has no more spans than words.
     return spans.distinct().groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))

@@ -120,6 +120,24 @@ def test_substrings_with_small_windows_and_buckets(spark):
     assert got == sorted(plain_removal(texts, 6))
 
 
+def test_windows_of_a_hot_minimiser_are_spread(spark, monkeypatch):
+    runs = [words(5, 9_000 + s, 5000) for s in range(3000)]
+    t = substrings.Tokens([" ".join(r).encode() for r in runs], substrings._WORDS)
+    at = np.arange(0, 15_000, 5)
+    common = runs[int(np.argmin(substrings.range_sums(t.hashes(), at, at + 5)))]  # the minimiser of every window that holds it
+    texts = [" ".join(words(40, s, 5000) + common + words(40, 500 + s, 5000)) for s in range(60)]
+    texts += [texts[7], "x " + texts[8] + " y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(substrings, "HOT_WINDOWS", 200)
+    hot = substrings.hot_cells(docs, 64)
+    assert len(hot)
+    t = substrings.Tokens([x.encode() for x in texts], substrings._WORDS)
+    most = lambda hot: max(np.bincount(*substrings._dealt(t, 64, hot, 35, 5)[:0:-1]))
+    assert most(np.zeros(0, np.int64)) > 31 * 60 and most(hot) < 200
+    got = sorted((r.n_words, r.n_removed, r.kept) for r in substrings.without_repeats(docs).collect())
+    assert got == sorted(plain_removal(texts, 35))
+
+
 def test_windows_of_equal_hash_are_told_apart(monkeypatch):
     monkeypatch.setattr(substrings, "span_hashes", lambda raw, a, z: np.zeros(len(a), np.uint64))
     bucket = substrings.Bucket(2)
