@@ -1,11 +1,13 @@
 """License scan by an exact set-similarity join of text blocks with license templates.
 
-A block is a line.  It meets a template if it holds at least ``THRESHOLD`` of the template's distinct words.
-Words are numbered by their frequency in the blocks of all texts, rarest first.  A block can only meet a
-template if it has enough of the templates' words (length filter), if its prefix and the template's share
-a word (prefix filter), and if what follows that word on both sides is long enough (positional filter).
-What is left is verified.  Words outside all templates can't add to an overlap, so blocks are kept without
-them.  The templates are a small table of at most ``MAX_TEMPLATE_WORDS`` words, hence broadcast.
+A block is a run of consecutive words, over line breaks, that is ``SLACK`` words longer than the template.  It
+meets the template if it holds at least ``THRESHOLD`` of the template's distinct words; of all blocks of a
+text the best one counts.  A text's template words are numbered by the number of texts that hold them, rarest
+first.  A text can only meet a template if it has enough of the templates' words (length filter), if its prefix
+and the template's share a word (prefix filter), and if what follows that word on both sides is long enough
+(positional filter).  What is left is verified at every block that starts with a template word.  Words
+outside all templates can't add to an overlap, so texts are kept as the places of the others.  The templates
+are a small table of at most ``MAX_TEMPLATE_WORDS`` words, hence broadcast.
 
 Apart from that, fixed phrases are found at their exact places.  All is done with DataFrame functions.
 Null and empty texts have no words.  Rows that repeat a document are kept and treated alike.
@@ -22,6 +24,8 @@ from pyspark.sql import functions as F
 from fleetlake.llm.common import staged
 
 THRESHOLD = 0.8
+#: Words by which a block is longer than the template: other words may stand in between.
+SLACK = 8
 MAX_TEMPLATE_WORDS = 20_000
 
 #: Phrases and their labels.
@@ -69,46 +73,63 @@ def phrase_places(text: Column, phrases: Sequence[tuple[str, str]]) -> Column:
     return F.when(may, found).otherwise(F.array().cast("array<struct<start:bigint,label:string>>"))
 
 
-def _blocks(docs: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
-    """Per line with a template word: the document and the line's distinct template words."""
-    known = F.array(*map(F.lit, vocabulary))
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.explode(F.split(F.lower("text"), "\n", -1)).alias("line"))
-    held = F.array_intersect(F.regexp_extract_all("line", F.lit(_WORD), F.lit(0)), known)
-    return lines.select("doc_id", "text_key", held.alias("held")).where(F.size("held") > 0)
+def _texts(docs: DataFrame, vocabulary: Sequence[str], least: int) -> DataFrame:
+    """Per text with ``least`` template words: the document, those words and the place of each of them, in order."""
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), words(F.lower("text")).alias("w"))
+    placed = F.array_compact(F.transform("w", lambda x, i: F.when(x.isin(*vocabulary), F.struct(i.alias("at"), x.alias("word")))))
+    held = read.select("doc_id", "text_key", placed.alias("hits")).withColumn("held", F.array_distinct("hits.word"))
+    return held.where(F.size("held") >= least)
+
+
+def _best(hits: Column, template: Column, n_words: Column) -> Column:
+    """The most distinct words of the template that a block of the text holds."""
+
+    def held(own: Column) -> Column:
+        length = n_words + SLACK
+        block = lambda h, i: F.filter(F.slice(own, i + 1, length), lambda x: x["at"] < h["at"] + length)
+        return F.array_max(F.transform(own, lambda h, i: F.size(F.array_distinct(F.transform(block(h, i), lambda x: x["word"])))))
+
+    return _bind(F.filter(hits, lambda h: F.array_contains(template, h["word"])), held)
 
 
 def matches(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id``, ``text_key``, ``label`` and ``containment`` of every block and template that meet, once each."""
+    """``doc_id``, ``text_key``, ``label`` and ``containment`` of every text and template that meet, once each."""
     sets = [(sorted(set(t.split())), label) for t, label in templates]
     vocabulary = sorted({w for s, _ in sets for w in s})
     if len(vocabulary) > MAX_TEMPLATE_WORDS:
         raise ValueError(f"templates have more than {MAX_TEMPLATE_WORDS} words")
-    blocks = staged(_blocks(docs, vocabulary), "license-blocks")
-    counted = blocks.select(F.explode("held").alias("word")).groupBy("word").count().collect()  # the vocabulary at most
+    need = [math.ceil(threshold * len(s) - 1e-9) for s, _ in sets]
+    least = min(need)
+    held = staged(_texts(docs, vocabulary, least), "license-texts")
+    counted = held.select(F.explode("held").alias("word")).groupBy("word").count().collect()  # the vocabulary at most
     frequency = {r.word: r["count"] for r in counted}
     order = sorted(vocabulary, key=lambda w: (frequency.get(w, 0), w))
     rank = {w: k for k, w in enumerate(order)}
-    need = [math.ceil(threshold * len(s) - 1e-9) for s, _ in sets]
     rows = [
-        (rank[w], i, n, sorted(rank[x] for x in s), label)
-        for (s, label), n in zip(sets, need, strict=True)
+        (rank[w], i, n, sorted(rank[x] for x in s), s, len(t.split()), label)
+        for (s, label), (t, _), n in zip(sets, templates, need, strict=True)
         for i, w in enumerate(sorted(s, key=rank.__getitem__)[: len(s) - n + 1])
     ]
-    prefixes = docs.sparkSession.createDataFrame(rows, "word int, i int, need int, template array<int>, label string")
-    least, ordered = min(need), F.array(*map(F.lit, order))
-    numbered = blocks.where(F.size("held") >= least).select(
-        "doc_id", "text_key", F.sort_array(F.transform("held", lambda w: F.array_position(ordered, w).cast("int") - 1)).alias("block")
+    prefixes = docs.sparkSession.createDataFrame(
+        rows, "word int, i int, need int, template array<int>, template_words array<string>, template_length int, label string"
+    )
+    ordered = F.array(*map(F.lit, order))
+    numbered = held.select(
+        "doc_id", "text_key", "hits", F.sort_array(F.transform("held", lambda w: F.array_position(ordered, w).cast("int") - 1)).alias("block")
     )
     size = F.size("block")
-    first_words = F.array(*(F.lit(r) for r in sorted({r[0] for r in rows})))
-    numbered = numbered.where(F.arrays_overlap("block", first_words))
-    prefix = numbered.select("doc_id", "text_key", "block", F.posexplode(F.slice("block", F.lit(1), size - least + 1)).alias("j", "word"))
+    first_words = sorted({r[0] for r in rows})
+    prefix_words = F.transform(F.slice("block", F.lit(1), size - least + 1), lambda w, j: F.struct(j.alias("j"), w.alias("word")))
+    prefix = numbered.select("doc_id", "text_key", "hits", "block", F.explode(F.filter(prefix_words, lambda p: p["word"].isin(*first_words))).alias("p"))
+    prefix = prefix.select("doc_id", "text_key", "hits", "block", "p.j", "p.word")
     met = prefix.join(F.broadcast(prefixes), "word").where(
         (size >= F.col("need")) & (F.lit(1) + F.least(F.size("template") - F.col("i"), size - F.col("j")) - 1 >= F.col("need"))
     )
     common = F.array_intersect("block", "template")
     met = met.where((common[0] == F.col("word")) & (F.size(common) >= F.col("need")))  # the first common word stands for the pair
-    return met.select("doc_id", "text_key", "label", (F.size(common) / F.size("template")).alias("containment"))
+    best = _best(F.col("hits"), F.col("template_words"), F.col("template_length"))
+    met = met.select("doc_id", "text_key", "label", "need", F.size("template").alias("all"), best.alias("best"))
+    return met.where(F.col("best") >= F.col("need")).select("doc_id", "text_key", "label", (F.col("best") / F.col("all")).alias("containment"))
 
 
 def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, phrases: Sequence[tuple[str, str]] = PHRASES) -> DataFrame:
@@ -116,7 +137,7 @@ def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, phra
     found = matches(docs, templates).groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text")).agg(
         F.collect_set("label").alias("template_labels"),  # as many as there are labels
         F.max("containment").alias("containment"),
-        F.count("*").alias("n_blocks"),
+        F.count("*").alias("n_templates"),
     )
     read = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),

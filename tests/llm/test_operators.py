@@ -69,6 +69,17 @@ def test_license_join_finds_every_pair(spark):
     assert found == sorted(wanted)
 
 
+def test_license_blocks_cross_lines_and_are_short(spark):
+    wrapped = "Copyright\n# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that"
+    narrow = "\n".join(licenses.TEMPLATES[1][0].split())
+    apart = " ".join(["all", *words(40, 1), "rights", *words(40, 2), "reserved"])
+    long_line = " ".join([*words(3000, 3), "released under", "the", "mit license", *words(3000, 4)])
+    texts = [wrapped, narrow, apart, long_line, apart + " all rights reserved " + apart]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = sorted((r.doc_id, r.label, r.containment) for r in licenses.matches(docs).collect())
+    assert found == [(0, "bsd", 1.0), (1, "mit", 1.0), (3, "mit", 1.0), (4, "all-rights-reserved", 1.0)]
+
+
 # --- URLs -------------------------------------------------------------------------------------
 
 
