@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import decontaminate, language_model, licenses, lines, mixing, quality, rules, simhash, substrings, urls
+from fleetlake.llm import decontaminate, language_model, licenses, lines, mixing, quality, rules, runs, simhash, substrings, urls
 from fleetlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,3 +204,36 @@ def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judged(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """The texts that operator 12 is asked about: of some documents the words from one on repeat a cycle."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = docs.select("doc_id", "text", h.alias("h")).withColumn(
+        "w", F.when(F.col("h") % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    )
+    cut = chosen.withColumns({"n": F.size("w").cast("long"), "g": F.floor(F.col("h") / 10)}).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    cut = cut.withColumn("tail", F.col("n") - F.col("a")).withColumn("p", F.floor(F.col("tail") / (3 + F.col("g") % 8)) + 1)
+    whole = lambda c: F.col(c).cast("int")
+    cycle = F.slice("w", whole("a") + 1, whole("p"))
+    repeated = F.slice(F.flatten(F.array_repeat(cycle, F.ceil(F.col("tail") / F.col("p")).cast("int"))), F.lit(1), whole("tail"))
+    words = F.concat(F.slice("w", F.lit(1), whole("a")), repeated)
+    return cut.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(_with_repeats(table(spark, sf_dir, "documents")))
+    rank = lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p"))
+    best = F.array_min(F.transform("runs", rank))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.s").alias("start"),
+        (-F.col("best.l")).alias("length"),
+        F.col("best.p").alias("period"),
+        F.floor(F.lit(-1000) * F.col("best.l") / F.col("best.p")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
