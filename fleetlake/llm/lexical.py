@@ -328,11 +328,14 @@ def _best_first(trees: list[Tree], weights: np.ndarray, query: np.ndarray, k: in
 
 
 _FOUND = "ask long, score long, doc_id long, row long"
+_ARROW_FOUND = pa.schema([(f.split()[0], pa.int64()) for f in _FOUND.split(", ")])
 
 
 def _searched(corpus: Corpus, k: int):
     def visit(asking: pa.Table, asked: pa.Table) -> pa.Table:
-        queries = [q for block in asking.to_pylist() for q in block["queries"]]
+        queries = [q for block in asking.to_pylist() for q in block["queries"]] if asked.num_rows else []
+        if not queries:  # no query was dealt to this group
+            return pa.Table.from_pylist([], schema=_ARROW_FOUND)
         terms = np.unique(np.array([t["term"] for q in queries for t in q["terms"]], np.int64))
         stretch, trees = corpus.stretched(terms), [Tree(row, terms) for row in asked.to_pylist()]
         out: list[tuple] = []
@@ -342,7 +345,7 @@ def _searched(corpus: Corpus, k: int):
             for score, doc, unnamed, row in _best_first(trees, weights, weights / stretch, k):
                 out.append((q["ask"], -score, None if unnamed else doc, row))
         columns = list(zip(*out, strict=True)) if out else [()] * 4
-        return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], ["ask", "score", "doc_id", "row"])
+        return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_ARROW_FOUND)
 
     return visit
 

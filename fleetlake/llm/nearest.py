@@ -8,7 +8,7 @@ their pivot come within the radius of the query's own can hold more.  Those are
 radius shrinks on the way, and the search stops at the first annulus beyond it.
 
 Distances only rule out, with room for rounding; scores are exact while the largest squared length is under
-2**62.  Beyond that they are doubles, held to the range of a long.
+2**62.  Beyond that they are doubles held to the range of a long, and rank as such.
 
 The index covers every row.  Pivots come from a sample of ``SAMPLE`` rows; they decide how much is skipped,
 never what is found.  Vectors that are null or hold null or non-finite components take no part; shorter
@@ -139,9 +139,12 @@ class Space:
             return np.where(np.isfinite(squared), np.sqrt(np.maximum(0.0, squared)) + 2 * self.slack, np.inf) if self.prunes else np.full(len(q), np.inf)
 
     def scores(self, q: np.ndarray, v: np.ndarray) -> np.ndarray:
-        if self.longest < 2.0**53 or self.longest >= 2.0**62:
+        if self.longest < 2.0**53:
             return q @ v.T  # no partial sum is greater than the product of the lengths
-        return q.astype(np.int64) @ v.astype(np.int64).T
+        if self.longest < 2.0**62:
+            return q.astype(np.int64) @ v.astype(np.int64).T
+        with np.errstate(all="ignore"):
+            return np.clip(np.nan_to_num(q @ v.T), -(2.0**63), np.nextafter(2.0**63, 0))
 
 
 class Best:
@@ -328,8 +331,8 @@ def _searched(space: Space, k: int):
                     if len(numbers):
                         blocks[b].search(space, q[numbers], own[numbers], numbers, apart[numbers, pivot[b]], best)
             if best.score is not None:
-                score = np.clip(best.score, -(2.0**63), np.nextafter(2.0**63, 0)) if best.score.dtype == float else best.score
-                out.append((own[best.owner], pa.array(ids[best.owner], mask=~named[best.owner]), pa.array(best.id, mask=~best.named), best.row, score.astype(np.int64)))
+                asker, found = pa.array(ids[best.owner], mask=~named[best.owner]), pa.array(best.id, mask=~best.named)
+                out.append((own[best.owner], asker, found, best.row, best.score.astype(np.int64)))
         names = ["own", "query_id", "id", "row", "score"]
         columns = [pa.chunked_array([pa.array(o[c], pa.int64()) for o in out], pa.int64()) for c in range(len(names))]
         return pa.Table.from_arrays(columns, names)

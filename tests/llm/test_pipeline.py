@@ -106,14 +106,14 @@ def test_stages_over_odd_rows(spark, odd):
 
 def test_contract_has_every_operator(spark):
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in contract.queries() and set(ORACLE) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", list(ORACLE))
 def test_queries_match_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "labels"):
+    for t in ("documents", "benchmark", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
     df = QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)
