@@ -36,6 +36,20 @@ def classify(files: DataFrame, ingest_date: Column | None = None, name: str = "f
     ).drop("strict_type", "contained_type", "stamp")
 
 
+def file_day(name: str = "file_name", modified_at: str = "modified_at") -> Column:
+    """The day under which the ledger keeps a file: that of its stamp, else of its modification.
+
+    Unlike the arrival date of a file without a stamp it does not depend on when the file is listed.
+    """
+    modified = times.instant_to_utc(F.col(modified_at)).cast("date")
+    return F.coalesce(stamp_day(F.col(name)), modified)
+
+
+def stamp_day(name: Column) -> Column:
+    """The date in a file name's stamp, null without a valid one."""
+    return names.partition_date(names.stamp_of(name), F.lit(None).cast("date"))
+
+
 def group_by_type(files: DataFrame) -> DataFrame:
     """Files per type.  The files themselves stay rows, so no list grows without bound."""
     return files.groupBy("file_type").agg(F.count("*").alias("files"))
@@ -45,11 +59,11 @@ def not_loaded(files: DataFrame, ledger: DataFrame, key: str = "file_path", retr
     """Files that the ledger does not know.  With ``retry_failed`` only processed files count as done.
 
     Where both sides have ``length`` and ``modified_at``, a file delivered again under an old name is
-    a new file.  The join carries no broadcast hint.  The ledger grows for ever, so Spark decides by
-    its size at run time.
+    a new file.  The join carries no broadcast hint: Spark decides by the ledger's size at run time.
     """
     done = ledger.where(F.col("state").isin("processed", *([] if retry_failed else ["failed"])))
-    marks = [c for c in ("length", "modified_at") if c in files.columns and c in ledger.columns]
+    both = {*files.columns} & {*ledger.columns}
+    marks = [c for c in ("length", "modified_at") if c in both]
     known = done.select(F.col(key).alias("_key"), *(F.col(c).alias(f"_{c}") for c in marks))
     same = F.col(key) == F.col("_key")
     for c in marks:

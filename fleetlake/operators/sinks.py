@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fleetlake import workspace
-from fleetlake.registry import LEDGER, REJECTS
-from fleetlake.sources.tables import read_table
+from fleetlake.registry import FILE_DAY, LEDGER, MARKS, REJECTS, STORED_SUMMARY, changes_of
+from fleetlake.sources.tables import NO_VALUE, read_table
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -49,6 +49,31 @@ def overwrite_days(df: DataFrame, path: str, partition: str = "day") -> int:
     return written.get["rows"]
 
 
+def append_changes(df: DataFrame, path: str) -> int:
+    """Appends changed summary rows beside the stored summary at ``path``; returns their number.
+
+    Nothing stored is read or written again: the cost follows the rows that changed.
+    """
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in STORED_SUMMARY if f.name not in df.columns}
+    rows = df.withColumns(missing).select(*STORED_SUMMARY.names)
+    return append_partitioned(rows, changes_of(path), "day")
+
+
+def has_files(spark: SparkSession, path: str, column: str, value: str) -> bool:
+    return len(_matching(spark, f"{path}/{column}={value}/*.parquet")) > 0
+
+
+def partitions(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The partition values of a table that have files, by a listing of its folders."""
+    names = (s.getPath().getName().split("=", 1)[1] for s in _matching(spark, f"{path}/{column}=*"))
+    return sorted(v for v in names if v != NO_VALUE and has_files(spark, path, column, v))
+
+
+def _matching(spark: SparkSession, pattern: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or ()
+
+
 def stage(df: DataFrame, label: str, *partition: str) -> DataFrame:
     """Writes ``df`` to a fresh table in the shared folder and reads it back.
 
@@ -60,6 +85,13 @@ def stage(df: DataFrame, label: str, *partition: str) -> DataFrame:
     return read_table(df.sparkSession, path, df.schema)
 
 
+def stage_counted(df: DataFrame, label: str, **facts: Column) -> tuple[DataFrame, dict]:
+    """The same with the number of ``rows`` and other aggregates, taken as they are written."""
+    written = Observation()
+    rows = df.observe(written, F.count(F.lit(1)).alias("rows"), *(c.alias(name) for name, c in facts.items()))
+    return stage(rows, label), written.get
+
+
 def replace_partitions(table: DataFrame, keep: Column, path: str, column: str, values: Sequence[str]) -> None:
     """Rewrites partitions of the table at ``path`` with what ``keep`` keeps of them; emptied ones go."""
     left = stage(table.where(keep), "kept-rows")
@@ -76,13 +108,54 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterabl
         folder.getFileSystem(conf).delete(folder, True)
 
 
-def _append(df: DataFrame, path: str, schema: StructType) -> None:
-    df.select(*schema.names).write.mode("append").partitionBy("file_type").parquet(path)
+def _append(df: DataFrame, path: str, schema: StructType, partition: str) -> None:
+    df.select(*schema.names).hint("rebalance", F.col(partition)).write.mode("append").partitionBy(partition).parquet(path)
 
 
 def append_rejects(df: DataFrame, path: str) -> None:
-    _append(df, path, REJECTS)
+    _append(df, path, REJECTS, "file_type")
 
 
 def append_ledger(df: DataFrame, path: str) -> None:
-    _append(df, path, LEDGER)
+    _append(df, path, LEDGER, FILE_DAY)
+
+
+def append_open_batch(df: DataFrame, path: str) -> None:
+    _append(df, path, LEDGER, "batch_id")
+
+
+def write_mark(df: DataFrame, path: str) -> None:
+    """Replaces the mark of the folder that ``df`` is about; those of other folders stay."""
+    overwrite_days(df.select(*MARKS.names), path, "folder_key")
+
+
+def partition_files(spark: SparkSession, path: str, column: str, value: str) -> list[str]:
+    """The data files of one partition of a table, by a listing of its folder alone."""
+    return [s.getPath().toString() for s in _matching(spark, f"{path}/{column}={value}/*.parquet")]
+
+
+def delete_files(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Removes data files that hold nothing that other files do not hold as well."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        file = jvm.org.apache.hadoop.fs.Path(path)
+        file.getFileSystem(conf).delete(file, False)
+
+
+def compact_partitions(spark: SparkSession, path: str, schema: StructType, column: str, values: Iterable[str], max_files: int) -> list[str]:
+    """Gathers the rows of partitions with more than ``max_files`` files into new files; returns those partitions.
+
+    The new files are there before the old ones go, so a crash leaves rows twice and never loses one: for
+    tables whose readers don't mind a row that is there twice.  Repeated rows are written once.
+    """
+    values = list(values)
+    if len(_matching(spark, f"{path}/{column}={{{','.join(values)}}}/*.parquet")) < len(values) + max_files:
+        return []  # not even if all but one had a single file
+    old = {v: f for v in values if len(f := partition_files(spark, path, column, v)) > max_files}
+    if old:
+        rows = read_table(spark, path, schema).where(F.col(column).isin([F.lit(v).cast(schema[column].dataType) for v in old]))
+        gathered = stage(rows.distinct(), "compacted")
+        gathered.hint("rebalance", F.col(column)).write.mode("append").partitionBy(column).parquet(path)
+        for files in old.values():
+            delete_files(spark, files)
+    return list(old)

@@ -8,17 +8,33 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from fleetlake.functions import names, times
 from fleetlake.registry import CORRUPT, SOURCE_FILE, UNKNOWN_TYPE, FileType
+from fleetlake.sources.envelopes import SHOWN
+
+
+def _by_key(columns: list[Column], element: str) -> Column:
+    """All arrays one after the other; null if there is none."""
+    every = F.concat(*[F.coalesce(c, F.array().cast(f"array<{element}>")) for c in columns])
+    return F.when(F.coalesce(*columns).isNotNull(), every)
+
+
+def clean_records(file_type: FileType) -> Column:
+    """The records of an envelope in which all have the declared shape, under all keys that it uses."""
+    return _by_key([F.col("clean")[k] for k in file_type.root_keys], file_type.record.simpleString())
+
+
+def text_records(file_type: FileType) -> Column:
+    """The records of any other envelope, as JSON text."""
+    return _by_key([F.col(k) for k in file_type.root_keys], "string")
 
 
 def root_records(file_type: FileType) -> Column:
-    """The records under all accepted keys that this envelope uses, as JSON text; null without any key."""
-    keys = [F.col(k) for k in file_type.root_keys]
-    every = F.concat(*[F.coalesce(k, F.array().cast("array<string>")) for k in keys])
-    return F.when(F.coalesce(*keys).isNotNull(), every)
+    """How many records an envelope has under all accepted keys; null without any key."""
+    size = lambda c: F.when(c.isNotNull(), F.size(c))
+    return F.coalesce(size(clean_records(file_type)), size(text_records(file_type)))
 
 
 def root_key_used(file_type: FileType) -> Column:
-    return F.coalesce(*[F.when(F.col(k).isNotNull(), F.lit(k)) for k in file_type.root_keys])
+    return F.coalesce(*[F.when(F.coalesce(F.col("clean")[k].isNotNull(), F.lit(False)) | F.col(k).isNotNull(), F.lit(k)) for k in file_type.root_keys])
 
 
 def file_problem(file_type: FileType) -> Column:
@@ -35,28 +51,33 @@ def unnest(envelopes: DataFrame, file_type: FileType, ingest_date: Column | None
     """One row per record, times still text, with the arrival date and the file of origin.
 
     A file that cannot be loaded yields a single row whose ``file_problem`` says why, a record that
-    is no object of the declared kind one with ``bad_record``; ``raw`` has the text.  An empty
-    array yields no row.  Name and date are worked out once per file, before the records fan out.
+    is no object of the declared kind one with ``bad_record``.  An empty array yields no row.  ``raw`` has
+    the text; a record of a file in which all have the declared shape is written out from its fields.
+    Name and date are worked out once per file, before the records fan out.
     """
     today = times.utc_today() if ingest_date is None else ingest_date
     if "kind" not in envelopes.columns:
         envelopes = envelopes.withColumn("kind", F.lit(file_type.name))
-    per_file = envelopes.withColumn("stamp", names.stamp_of(F.col("file_name"))).select(
+    date, named = file_type.partition_column, envelopes.withColumn("stamp", names.stamp_of(F.col("file_name")))
+    per_file = named.withColumn("file_problem", file_problem(file_type)).select(
         F.col("file_path").alias(SOURCE_FILE),
-        names.partition_date(F.col("stamp"), today).alias(file_type.partition_column),
-        file_problem(file_type).alias("file_problem"),
-        root_records(file_type).alias("records"),
-        "shown",
+        names.partition_date(F.col("stamp"), today).alias(date),
+        "file_problem",
+        F.when(F.col("file_problem").isNull(), clean_records(file_type)).alias("records"),
+        F.when(F.col("file_problem").isNull(), text_records(file_type)).otherwise(F.array(F.left("content", F.lit(SHOWN)))).alias("texts"),
     )
-    fine = F.col("file_problem").isNull()
-    rows = per_file.withColumn("raw", F.explode(F.when(fine, F.col("records")).otherwise(F.array("shown"))))
+    # A file has either records or texts; outer, since what an inner one infers would parse everything again.
+    kept = [SOURCE_FILE, date, "file_problem"]
+    rows = per_file.select(*kept, "texts", F.posexplode_outer("records").alias("n", "given"))
+    rows = rows.select(*kept, "n", "given", F.posexplode_outer("texts").alias("m", "text")).where("n IS NOT NULL OR m IS NOT NULL")
+    fine, text = F.col("file_problem").isNull(), F.col("text")
     schema = StructType([*file_type.record.fields, StructField(CORRUPT, StringType())])
-    record = F.from_json(F.when(fine, F.col("raw")), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    odd = F.col("raw").isNotNull() & (F.col(f"record.{CORRUPT}").isNotNull() | F.startswith(F.ltrim("raw"), F.lit("[")))
-    return rows.withColumn("record", record).select(
+    patient = F.from_json(F.when(fine, text), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    odd = text.isNotNull() & (F.col(f"patient.{CORRUPT}").isNotNull() | F.startswith(F.ltrim(text), F.lit("[")))
+    return rows.withColumn("patient", patient).select(
         SOURCE_FILE,
-        file_type.partition_column,
+        date,
         F.coalesce("file_problem", F.when(odd, "bad_record")).alias("file_problem"),
-        "raw",
-        *(F.col(f"record.{c}").alias(c) for c in file_type.record.names),
+        F.coalesce(text, F.to_json("given")).alias("raw"),
+        *(F.coalesce(F.col("given")[c], F.col("patient")[c]).alias(c) for c in file_type.record.names),
     )

@@ -1,14 +1,18 @@
 """Ingest: land envelope files in the lake, once each, bad ones set aside with a reason.
 
-State lives in two tables, not in folders.  The *ledger* holds one row per file that was dealt
-with; *rejects* holds every record or file that was refused.  Nothing is moved.
+State lives in tables, not in folders.  The *ledger* holds one row per file that was dealt with, by a
+day that the file keeps; *rejects* holds every record or file that was refused; *open batches* holds
+the files of batches that are being loaded, and is empty between runs.  A *mark* per incoming folder says
+up to which modification time it was listed.  Nothing is moved.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from collections.abc import Sequence
-from datetime import date, datetime
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
+from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
@@ -16,12 +20,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fleetlake.functions import times
+from fleetlake.functions.names import base_name, decoded
 from fleetlake.operators import counters, files, quality, sinks
 from fleetlake.operators.unnest import unnest
 from fleetlake.registry import (
     BATCH_ID,
+    FILE_DAY,
     FILE_TYPES,
     LEDGER,
+    MARKS,
     REJECTS,
     SOURCE_FILE,
     UNKNOWN_TYPE,
@@ -29,14 +36,18 @@ from fleetlake.registry import (
     Lake,
 )
 from fleetlake.sources.envelopes import parse_envelopes, read_envelopes
-from fleetlake.sources.listing import list_incoming, overlooked
-from fleetlake.sources.tables import open_table
+from fleetlake.sources.listing import dated_folders, list_everything
+from fleetlake.sources.tables import NO_VALUE, open_table, scan_partitions
 
 FAIL_BATCH = "fail_batch"
 QUARANTINE = "quarantine"
 STARTED = "started"
 #: Paths given to one reader; nothing else depends on it.
 FILES_PER_READ = 20_000
+#: How far behind the mark an incremental run still looks, for clocks that differ and slow uploads.
+OVERLAP = timedelta(days=1)
+#: Files that a day of the ledger may consist of before they are gathered.
+LEDGER_FILES = 16
 
 
 class BatchRejected(RuntimeError):
@@ -48,7 +59,20 @@ class BatchRejected(RuntimeError):
 
 
 def ledger_table(spark: SparkSession, lake: Lake) -> DataFrame:
-    return open_table(spark, lake.ledger, LEDGER, "file_type")
+    """A row may be there twice after a crash in a compaction."""
+    return open_table(spark, lake.ledger, LEDGER, FILE_DAY)
+
+
+def ledger_of_days(spark: SparkSession, lake: Lake, days: Iterable[date]) -> DataFrame:
+    """The ledger's partitions of some days, and that of no day.
+
+    Only their folders are listed, so that neither the listing nor the join grows with the ledger's age.
+    """
+    return scan_partitions(spark, lake.ledger, LEDGER, [NO_VALUE, *sorted(d.isoformat() for d in days)], FILE_DAY)
+
+
+def open_batch_rows(spark: SparkSession, lake: Lake) -> DataFrame:
+    return open_table(spark, lake.open_batches, LEDGER, "batch_id")
 
 
 def rejects_table(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -103,6 +127,7 @@ def _ledger_rows(counts: DataFrame, batch_id: str, loaded: bool) -> DataFrame:
         "date",
         reason.alias("reason"),
         "file_type",
+        FILE_DAY,
     )
 
 
@@ -155,31 +180,33 @@ def load_batch(
     ingest_date: Column | None = None,
     files_per_read: int = FILES_PER_READ,
 ) -> Row:
-    """Loads the listed files (``file_path, path, length, modified_at, date, file_type``), parsing each once.
+    """Loads the listed files (``file_path, path, length, modified_at, date, file_type, file_day``), parsing each once.
 
     The parsed records are staged, and counted from there.  The counts settle the policy for all
     files at once, before the lake changes: under ``fail_batch`` one bad record keeps the whole batch
-    out; under ``quarantine`` only what is bad stays out.  The ledger says that the load starts before
-    it does, so that a crash on the way can be settled.
+    out; under ``quarantine`` only what is bad stays out.  The batch is open before the load starts and
+    until the ledger has its files, so that a crash on the way can be settled.
     """
-    paths = [row.path for row in listed.where("length > 0").select("path").toLocalIterator()]
+    paths = [row.path for row in listed.where("length > 0").select("path").collect()]
     envelopes = _read(spark, paths, file_type, files_per_read)
     if envelopes is None:
         envelopes = parse_envelopes(spark.createDataFrame([], "file_path string, content string"), file_type)
     tagged = tagged_records(envelopes, file_type, ingest_date)
     tagged = sinks.stage(tagged.unionByName(_empty_files(listed, tagged.schema)), "records")
-    counts = sinks.stage(_file_counts(listed, tagged), "file-counts")
-    clean = not counts.where("bad > 0").limit(1).count()
+    counts, seen = sinks.stage_counted(_file_counts(listed, tagged), "file-counts", bad=F.sum("bad"))
+    clean = not seen["bad"]
     loaded = clean or policy == QUARANTINE
     refused = {"rows_rejected": 0, "schema_errors": 0}
     if not clean:
         refused = _write_rejects(lake, reject_rows(tagged, file_type.name, batch_id))
     rows = _ledger_rows(counts, batch_id, loaded)
     if loaded:
-        sinks.append_ledger(_started(rows), lake.ledger)
+        sinks.append_open_batch(_started(rows), lake.open_batches)
         good = quality.good(tagged, file_type, batch_id)
         sinks.append_partitioned(good, lake.raw(file_type.name), file_type.partition_column)
-    return Row(batch_id=batch_id, file_type=file_type.name, **_write_ledger(lake, rows), **refused)
+    result = Row(batch_id=batch_id, file_type=file_type.name, **_write_ledger(lake, rows), **refused)
+    sinks.drop_partitions(spark, lake.open_batches, "batch_id", [batch_id])
+    return result
 
 
 def refuse_unknown(lake: Lake, listed: DataFrame, batch_id: str) -> Row:
@@ -198,28 +225,103 @@ def refuse_unknown(lake: Lake, listed: DataFrame, batch_id: str) -> Row:
     return Row(batch_id=batch_id, file_type=UNKNOWN_TYPE, **_write_ledger(lake, _ledger_rows(counts, batch_id, True)), **rejects)
 
 
-def new_files(
+def _folder_key(folder: str) -> str:
+    return hashlib.sha256(folder.rstrip("/").encode()).hexdigest()[:16]
+
+
+def listing_mark(spark: SparkSession, lake: Lake, folder: str) -> Row | None:
+    """``mark`` and ``depth`` of the last run over ``folder`` that ended, if there was one."""
+    marks = open_table(spark, lake.marks, MARKS, "folder_key").where(F.col("folder_key") == _folder_key(folder))
+    return marks.orderBy(F.desc("recorded_at")).first()
+
+
+@dataclass(frozen=True)
+class Listing:
+    """Files by name, length and time, the days the ledger keeps them under, and where and when they were last made."""
+
+    files: DataFrame
+    days: list[date]
+    newest: datetime | None
+    depth: int
+
+
+def list_new(
     spark: SparkSession,
     lake: Lake,
     folder: str,
-    ingest_date: Column | None = None,
     retry_failed: bool = False,
     recursive: bool = False,
     modified_after: datetime | None = None,
+    incremental: bool = False,
+    dated: str | None = None,
+    overlap: timedelta = OVERLAP,
+) -> Listing:
+    """What a run has to look at, listed once, with ``file_day``.
+
+    ``incremental`` goes back to ``overlap`` before the folder's mark; what was seen before is for the
+    ledger to settle.  ``dated`` is the date format of folders below ``folder`` that files are delivered to, in
+    UTC: then only those from that day on are listed.  Without a mark, and with ``retry_failed``, all is listed.
+    """
+    mark = listing_mark(spark, lake, folder) if incremental and not retry_failed else None
+    since = None if modified_after is None else times.as_utc(modified_after)
+    folders, depth = folder, 0
+    if mark is not None:
+        depth = mark.depth
+        behind = datetime.fromtimestamp(mark.mark.timestamp(), timezone.utc) - overlap
+        since = behind if since is None else max(since, behind)
+        if dated is not None:
+            folders = dated_folders(folder, dated, behind.date(), times.utc_now().date() + timedelta(days=1))
+            depth = max(0, depth - dated.count("/") - 1)
+    elif dated is not None:
+        recursive = True  # all dated folders, whichever there are
+    facts: dict = {}
+
+    def staged(shown: DataFrame) -> tuple[DataFrame, int]:
+        kept = shown.withColumns({"hidden": F.lit(False), FILE_DAY: files.file_day()})
+        table, seen = sinks.stage_counted(kept, "listing", days=F.collect_set(FILE_DAY), newest=F.max("modified_at"))
+        facts.update(seen)
+        return table, seen["rows"]
+
+    listed, others, deep = list_everything(spark, folders, recursive=recursive, modified_after=since, depth=depth, staged=staged)
+    days, newest = {*facts["days"]}, [facts["newest"]]
+    if others is not None:
+        others, seen = sinks.stage_counted(
+            others.withColumn(FILE_DAY, files.file_day()), "listing-others", days=F.collect_set(FILE_DAY), newest=F.max("modified_at")
+        )
+        listed = listed.unionByName(others)
+        days, newest = days | {*seen["days"]}, [*newest, seen["newest"]]
+    if mark is not None and dated is not None:
+        deep += dated.count("/") + 1
+    return Listing(listed, sorted(days), max((m for m in newest if m is not None), default=None), deep)
+
+
+def new_files(
+    spark: SparkSession,
+    lake: Lake,
+    listing: Listing,
+    ingest_date: Column | None = None,
+    retry_failed: bool = False,
 ) -> DataFrame:
-    """Incoming files that the ledger does not know, with type and arrival date.
+    """Listed files that the ledger does not know, with type and arrival date.
 
-    Hidden files are of no supported type, whatever the rest of their names.
+    Hidden files are of no supported type, whatever the rest of their names.  Of the ledger only the days
+    are read that listed files belong to.
     """
-    listing = list_incoming(spark, folder, recursive=recursive, modified_after=modified_after)
-    more = overlooked(spark, folder, list_incoming(spark, folder, recursive=recursive), recursive=recursive)
-    if modified_after is not None:
-        more = more.where(F.col("modified_at") >= F.lit(times.as_utc(modified_after)))
-    every = listing.withColumn("hidden", F.lit(False)).unionByName(more)
-    found = files.classify(files.not_loaded(every, ledger_table(spark, lake), retry_failed=retry_failed), ingest_date)
+    known = ledger_of_days(spark, lake, listing.days)
+    found = files.classify(files.not_loaded(listing.files, known, retry_failed=retry_failed), ingest_date)
     return found.withColumn("file_type", F.when(F.col("hidden"), UNKNOWN_TYPE).otherwise(F.col("file_type"))).drop("hidden")
 
 
+def set_mark(spark: SparkSession, lake: Lake, folder: str, listing: Listing, started: datetime) -> None:
+    """Records that everything listed was dealt with.  A mark never moves back, nor beyond the run's start."""
+    before = listing_mark(spark, lake, folder)
+    marks = [m.timestamp() for m in (listing.newest, before and before.mark) if m is not None]
+    if marks:
+        at = datetime.fromtimestamp(min(max(marks), started.timestamp()), timezone.utc)
+        row = (folder, at, max(listing.depth, before.depth if before else 0), times.utc_now(), _folder_key(folder))
+        sinks.write_mark(spark.createDataFrame([row], MARKS), lake.marks)
+
+
 def run_ingest(
     spark: SparkSession,
     lake: Lake,
@@ -231,32 +333,37 @@ def run_ingest(
     recursive: bool = False,
     modified_after: datetime | None = None,
     raise_on_failure: bool = True,
+    incremental: bool = False,
+    dated: str | None = None,
 ) -> DataFrame:
     """Loads every new file under ``folder``; returns one row of counters for the run.
 
     The new files of one type are one batch, whatever their number: ``files_per_read`` only says how
     many paths one reader gets.  What an earlier run left half done is settled first.  Raises
-    ``BatchRejected`` at the end if any file failed.
+    ``BatchRejected`` at the end if any file failed.  ``incremental`` and ``dated``: see ``list_new``.
     """
     if policy not in (FAIL_BATCH, QUARANTINE):
         raise ValueError(f"unknown policy {policy!r}")
-    run_id = uuid.uuid4().hex
+    run_id, started = uuid.uuid4().hex, times.utc_now()
     today = F.lit(ingest_date) if ingest_date is not None else times.utc_today()
     settle_open_batches(spark, lake)
     # Listed once: a file that arrives from here on belongs to the next run.
-    found = sinks.stage(
-        new_files(spark, lake, folder, today, retry_failed, recursive, modified_after),
-        "incoming",
-        "file_type",
+    listing = list_new(spark, lake, folder, retry_failed, recursive, modified_after, incremental, dated)
+    found, facts = sinks.stage_counted(
+        new_files(spark, lake, listing, today, retry_failed), "incoming", types=F.collect_set("file_type"), days=F.collect_set(FILE_DAY)
     )
     results = []
-    for row in sorted(files.group_by_type(found).collect()):  # one row per type
-        name, batch_id = row.file_type, f"{run_id}/{row.file_type}"
+    for name in sorted(facts["types"]):
+        batch_id = f"{run_id}-{name}"
         listed = found.where(F.col("file_type") == name)
         if name == UNKNOWN_TYPE:
             results.append(refuse_unknown(lake, listed, batch_id))
         else:
             results.append(load_batch(spark, lake, listed, FILE_TYPES[name], batch_id, policy, today, files_per_read))
+    if results:
+        compact_ledger(spark, lake, facts["days"])
+    if incremental and modified_after is None:
+        set_mark(spark, lake, folder, listing, started)
     counts = counters.run_counters(spark.createDataFrame(results, counters.BATCH_RESULTS))
     totals = counts.first().asDict()
     if raise_on_failure and totals["total_failed"]:
@@ -264,37 +371,47 @@ def run_ingest(
     return counts
 
 
+def compact_ledger(spark: SparkSession, lake: Lake, days: Sequence[date], max_files: int = LEDGER_FILES) -> list[str]:
+    """Gathers the files of days of the ledger that many runs have added to; returns those days."""
+    return sinks.compact_partitions(spark, lake.ledger, LEDGER, FILE_DAY, sorted(d.isoformat() for d in days), max_files)
+
+
 def settle_open_batches(spark: SparkSession, lake: Lake) -> list[str]:
     """Settles batches that a crash interrupted between their start and their last ledger rows.
 
     A batch whose rows are all in the lake is recorded as it was meant to be.  Of any other the rows
-    that got there are taken out again, and its files stay new.  Returns the batches settled.
+    that got there are taken out again, and its files stay new.  Returns the batches settled.  Only the open
+    batches are read, and what ledger and lake have of their days.
     """
-    ledger = ledger_table(spark, lake)
-    ended = ledger.where(F.col("state") != STARTED).select("batch_id").distinct()
-    begun = ledger.where(F.col("state") == STARTED).join(ended, "batch_id", "left_anti")
-    begun = sinks.stage(begun, "open-batches")
-    open_ = begun.groupBy("batch_id", "file_type").agg(F.sum("rows").alias("rows"), F.collect_set("date").alias("dates")).collect()
-    for batch in open_:  # a crash leaves one or two; a batch has as many dates as the calendar
-        file_type = FILE_TYPES[batch.file_type]
-        path, column = lake.raw(file_type.name), file_type.partition_column
-        table = open_table(spark, path, file_type.table, column).where(F.col(column).isin([F.lit(d) for d in batch.dates]))
-        own = F.col(BATCH_ID).eqNullSafe(F.lit(batch.batch_id))
-        arrived = table.where(own).count()
-        if arrived == batch.rows:
-            state, reason = F.col("reason"), F.lit(None).cast("string")
-        else:
-            state, reason = F.lit("abandoned"), F.lit("interrupted")
-            if arrived:
-                sinks.replace_partitions(table, ~own, path, column, [d.isoformat() for d in batch.dates])
-        rows = begun.where(F.col("batch_id") == batch.batch_id)
-        sinks.append_ledger(rows.withColumns({"state": state, "reason": reason, "recorded_at": F.current_timestamp()}), lake.ledger)
-    return [batch.batch_id for batch in open_]
+    begun = open_batch_rows(spark, lake)
+    facts = begun.groupBy("batch_id", "file_type").agg(
+        F.sum("rows").alias("rows"), F.collect_set("date").alias("dates"), F.collect_set(FILE_DAY).alias("days")
+    )
+    settled = []
+    for batch in facts.collect():  # a crash leaves one or two; a batch has as many dates as the calendar
+        own_rows = begun.where(F.col("batch_id") == batch.batch_id)
+        ended = ledger_of_days(spark, lake, batch.days).where(F.col("batch_id") == batch.batch_id)
+        if ended.isEmpty():
+            file_type = FILE_TYPES[batch.file_type]
+            path, column = lake.raw(file_type.name), file_type.partition_column
+            table = open_table(spark, path, file_type.table, column).where(F.col(column).isin([F.lit(d) for d in batch.dates]))
+            own = F.col(BATCH_ID).eqNullSafe(F.lit(batch.batch_id))
+            arrived = table.where(own).count()
+            if arrived == batch.rows:
+                state, reason = F.col("reason"), F.lit(None).cast("string")
+            else:
+                state, reason = F.lit("abandoned"), F.lit("interrupted")
+                if arrived:
+                    sinks.replace_partitions(table, ~own, path, column, [d.isoformat() for d in batch.dates])
+            sinks.append_ledger(own_rows.withColumns({"state": state, "reason": reason, "recorded_at": F.current_timestamp()}), lake.ledger)
+            settled.append(batch.batch_id)
+        sinks.drop_partitions(spark, lake.open_batches, "batch_id", [batch.batch_id])
+    return settled
 
 
 def past_batches(spark: SparkSession, lake: Lake) -> DataFrame:
     """The results of all batches that ended, from ledger and rejects."""
-    ended = ledger_table(spark, lake).where(F.col("state").isin("processed", "failed"))
+    ended = ledger_table(spark, lake).where(F.col("state").isin("processed", "failed")).distinct()
     return counters.batch_results(ended, rejects_table(spark, lake))
 
 
@@ -309,6 +426,7 @@ def recover_ledger(
     table = open_table(spark, lake.raw(file_type.name), file_type.table, file_type.partition_column)
     loaded = table.where(F.col(file_type.partition_column).isin([F.lit(d) for d in arrival_days]))
     per_file = loaded.groupBy(F.col(SOURCE_FILE).alias("file_path")).agg(F.count("*").alias("rows"))
+    per_file = per_file.withColumn(FILE_DAY, files.stamp_day(base_name(decoded(F.col("file_path")))))
     missing = files.not_loaded(per_file, ledger_table(spark, lake), retry_failed=True)
     rows = sinks.stage(
         missing.select(
@@ -322,6 +440,7 @@ def recover_ledger(
             F.lit(None).cast("date").alias("date"),
             F.lit(None).cast("string").alias("reason"),
             F.lit(file_type.name).alias("file_type"),
+            FILE_DAY,
         ),
         "recovered",
     )

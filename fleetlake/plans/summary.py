@@ -3,12 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DecimalType,
+    IntegralType,
+    LongType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from fleetlake.functions import times
 from fleetlake.operators import latest, quality, sinks
@@ -20,8 +30,9 @@ from fleetlake.registry import (
     TIE,
     VEHICLE_EVENTS,
     Lake,
+    changes_of,
 )
-from fleetlake.sources.tables import in_partitions, open_table, scan_partitions
+from fleetlake.sources.tables import in_partitions, is_streamed, open_table, scan_partitions
 
 
 class BadInput(ValueError):
@@ -31,7 +42,7 @@ class BadInput(ValueError):
 @dataclass(frozen=True)
 class SummaryResult:
     """How a job went.  Without events ``reason`` says why, and ``sample`` shows the earliest of those
-    that arrived but lie outside the window."""
+    that arrived but lie outside the window.  ``kept_days`` are days that a backfill did not replace."""
 
     status: str
     rows: int
@@ -39,6 +50,7 @@ class SummaryResult:
     last_day: date
     reason: str | None = None
     sample: tuple[Row, ...] = ()
+    kept_days: tuple[str, ...] = ()
 
 
 # --- what to compute ------------------------------------------------------------------------
@@ -137,14 +149,33 @@ def candidates(events: DataFrame, tie_break: Sequence[str] = latest.TIE_BREAK) -
         F.col("event_time").alias("last_event_time"),
         F.col("event_type").alias("last_event_type"),
         times.event_day(events, "event_time").alias("day"),
-        F.array(*[_sortable(events, c) for c in tie_break]).cast("array<string>").alias(TIE),
+        tie_values(events, tie_break).alias(TIE),
     )
 
 
+def tie_values(events: DataFrame, tie_break: Sequence[str]) -> Column:
+    """What is stored of the tie-break columns: texts that rank as the columns do, nulls last."""
+    return F.array(*[_sortable(events, c) for c in tie_break]).cast("array<string>")
+
+
 def _sortable(events: DataFrame, column: str) -> Column:
-    """The value as text that sorts as it does; whole numbers from zero on are padded."""
-    text = F.col(column).cast("string")
-    return F.lpad(text, 20, "0") if isinstance(events.schema[column].dataType, IntegralType) else text
+    """The value as text that sorts as the value does."""
+    kind, value = events.schema[column].dataType, F.col(column)
+    if isinstance(kind, DateType):
+        kind, value = LongType(), F.unix_date(value)
+    elif isinstance(kind, TimestampType):
+        kind, value = LongType(), F.unix_micros(value)
+    elif isinstance(kind, BooleanType):
+        kind, value = LongType(), value.cast("long")
+    if isinstance(kind, IntegralType):
+        kind, value = DecimalType(19, 0), value.cast(DecimalType(19, 0))
+    if isinstance(kind, DecimalType) and kind.precision <= 36:
+        # Moved up until no value is negative, then all of one width.
+        offset = F.lit(Decimal(10) ** (kind.precision - kind.scale)).cast(DecimalType(kind.precision + 1, kind.scale))
+        return F.lpad((value + offset).cast("string"), kind.precision + 3, "0")
+    if isinstance(kind, (StringType, TimestampNTZType)):
+        return value.cast("string")
+    raise TypeError(f"{column} is {kind.simpleString()}, which cannot be stored as a tie-break")
 
 
 def merge_latest(stored: DataFrame, arrived: DataFrame) -> DataFrame:
@@ -166,27 +197,48 @@ def events_arrived(spark: SparkSession, lake: Lake, days: Sequence[date]) -> Dat
     return scan_partitions(spark, lake.raw(VEHICLE_EVENTS.name), VEHICLE_EVENTS.table, texts)
 
 
-def stored_days(spark: SparkSession, path: str, days: Sequence[str]) -> DataFrame:
-    """Stored summary rows of some days, of which none may exist yet."""
-    return open_table(spark, path, STORED_SUMMARY, "day").where(F.col("day").isin(list(days)))
+def stored_summary(spark: SparkSession, path: str, days: Sequence[str] | None = None) -> DataFrame:
+    """The stored summary as it stands, ``days`` of it or all: on days with changes the latest row of each vehicle.
 
+    Days without changes are read as they are.  Which days have changes is seen from folder names, so both
+    halves read their own partitions only.
+    """
+    base = open_table(spark, path, STORED_SUMMARY, "day")
+    changes = open_table(spark, changes_of(path), STORED_SUMMARY, "day")
+    changed = sinks.partitions(spark, changes_of(path), "day")
+    if days is not None:
+        base, changes = (t.where(F.col("day").isin(list(days))) for t in (base, changes))
+        changed = sorted({*changed} & {*days})
+    if not changed:
+        return base
+    open_ = F.col("day").isin(changed)
+    return base.where(~open_).unionByName(merge_latest(base.where(open_), changes.where(open_)))
+
+
+def upsert(spark: SparkSession, arrived: DataFrame, path: str) -> int:
+    """Adds summary rows of any days to the changes of the stored summary; returns how many.
+
+    Readers take the latest row per vehicle and day, so an older one changes nothing, and neither does adding
+    the same rows again.  ``compact_summary`` folds the changes in.
+    """
+    return sinks.append_changes(arrived.select(*(c for c in STORED_SUMMARY.names if c in arrived.columns)), path)
 
-def upsert(spark: SparkSession, arrived: DataFrame, path: str) -> DataFrame:
-    """Merges summary rows of any days into the stored summary; returns the touched days' rows.
 
-    Days that no row of ``arrived`` belongs to are neither read nor written.  Running it again
-    with the same rows changes nothing.
+def compact_summary(spark: SparkSession, path: str, before: date | None = None) -> list[str]:
+    """Folds the changes of days before ``before``, or of all days, into the stored summary; returns the days.
+
+    The folded rows are stored before the old files go, changes last.  Until then the day counts as changed
+    and is read by rank, so that after a crash nothing is missing or seen twice.  Changes that arrive
+    meanwhile stay changes.
     """
-    kept = [c for c in STORED_SUMMARY.names if c in arrived.columns]
-    new_rows = sinks.stage(arrived.select(*kept), "summary-new")
-    if new_rows.isEmpty():
-        return new_rows
-    # The join on the partition column prunes what is read, without any list of days.
-    touched = new_rows.select("day").distinct()
-    stored = open_table(spark, path, STORED_SUMMARY, "day").join(touched, "day", "left_semi")
-    merged = sinks.stage(merge_latest(stored, new_rows), "summary-merged")
-    sinks.overwrite_days(merged, path)
-    return merged
+    changes = changes_of(path)
+    days = [d for d in sinks.partitions(spark, changes, "day") if before is None or d < before.isoformat()]
+    if days:
+        old = [f for d in days for place in (path, changes) for f in sinks.partition_files(spark, place, "day", d)]
+        folded = sinks.stage(stored_summary(spark, path, days), "summary-folded")
+        sinks.append_partitioned(folded, path, "day")
+        sinks.delete_files(spark, old)
+    return days
 
 
 def _checked(window: DataFrame, tie_break: Sequence[str]) -> tuple[DataFrame, Observation]:
@@ -233,7 +285,7 @@ def run_daily_summary(
     window, seen = _checked(
         window_events(events, target_date, as_of, lookback_days, lateness_hours), tie_break
     )
-    stored = stored_days(spark, lake.summary, [day.isoformat()])
+    stored = stored_summary(spark, lake.summary, [day.isoformat()])
     merged = sinks.stage(merge_latest(stored, candidates(window, tie_break)), "summary-day")
     counts = seen.get
     _raise_on_nulls(counts)
@@ -249,10 +301,13 @@ def run_backfill(
     last_day: date,
     lookback_days: int | None = None,
     tie_break: Sequence[str] = latest.TIE_BREAK,
+    replace_all: bool = False,
 ) -> SummaryResult:
     """Recomputes a range of days from the raw events in one job and replaces them.
 
-    A day without events is left without rows, whatever was stored for it.
+    A day whose own arrival partition is there is replaced, and left without rows if it has no events.  Of
+    any other day the raw events may be gone, so what is stored is kept and only added to; the result names
+    these days in ``kept_days``.  ``replace_all`` replaces them as well.
     """
     events = events_table(spark, lake)
     window, seen = _checked(backfill_events(events, first_day, last_day, lookback_days), tie_break)
@@ -260,13 +315,28 @@ def run_backfill(
     rebuilt = sinks.stage(rebuilt, "summary-backfill")
     counts = seen.get
     _raise_on_nulls(counts)
-    rows = sinks.overwrite_days(rebuilt, lake.summary) if counts["events"] else 0
-    there = {row.day for row in rebuilt.select("day").distinct().collect()}  # days of the range at most
-    days = (first_day + timedelta(days=n) for n in range((last_day - first_day).days + 1))
-    sinks.drop_partitions(spark, lake.summary, "day", [d.isoformat() for d in days if d.isoformat() not in there])
+    days = [(first_day + timedelta(days=n)).isoformat() for n in range((last_day - first_day).days + 1)]
+    there = set(days) if replace_all else _arrived(spark, events, lake, days)
+    with_rows = {row.day for row in rebuilt.select("day").distinct().collect()}  # days of the range at most
+    replaced, kept = [d for d in days if d in there], [d for d in days if d not in there]
+    rows = 0
+    if counts["events"]:
+        rows = sinks.overwrite_days(rebuilt.where(F.col("day").isin(replaced)), lake.summary) if with_rows & there else 0
+        rows += upsert(spark, rebuilt.where(F.col("day").isin(kept)), lake.summary) if with_rows - there else 0
+    sinks.drop_partitions(spark, lake.summary_changes, "day", replaced)
+    sinks.drop_partitions(spark, lake.summary, "day", [d for d in replaced if d not in with_rows])
     if not counts["events"]:
-        return _nothing(events, first_day, last_day)
-    return SummaryResult("success", rows, first_day, last_day)
+        return replace(_nothing(events, first_day, last_day), kept_days=tuple(kept))
+    return SummaryResult("success", rows, first_day, last_day, kept_days=tuple(kept))
+
+
+def _arrived(spark: SparkSession, events: DataFrame, lake: Lake, days: Sequence[str]) -> set[str]:
+    """Those of the days whose arrival partitions hold files; a streamed table is asked for its rows."""
+    path = lake.raw(VEHICLE_EVENTS.name)
+    if is_streamed(spark, path):
+        found = events.where(F.col("date").between(F.lit(days[0]).cast("date"), F.lit(days[-1]).cast("date")))
+        return {row[0].isoformat() for row in found.select("date").distinct().collect()}
+    return {d for d in days if sinks.has_files(spark, path, "date", d)}
 
 
 def revise_summary(
@@ -274,9 +344,9 @@ def revise_summary(
     lake: Lake,
     arrival_days: Sequence[date],
     tie_break: Sequence[str] = latest.TIE_BREAK,
-) -> DataFrame:
+) -> int:
     """Folds everything that arrived on the given days into the summaries of whatever event days
-    it belongs to, so that late events update earlier days."""
+    it belongs to, so that late events update earlier days; returns the rows that may change something."""
     arrived = candidates(events_arrived(spark, lake, arrival_days), tie_break)
     arrived = merge_latest(spark.createDataFrame([], STORED_SUMMARY), arrived)
     return upsert(spark, arrived, lake.summary)

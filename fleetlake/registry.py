@@ -77,6 +77,12 @@ class FileType:
         keys = [StructField(k, ArrayType(StringType())) for k in self.root_keys]
         return StructType(keys + [StructField(CORRUPT, StringType())])
 
+    @property
+    def clean_envelope(self) -> StructType:
+        """A list of envelopes whose records all have the declared shape."""
+        keys = StructType([StructField(k, ArrayType(self.record)) for k in self.root_keys])
+        return StructType([StructField("envelopes", ArrayType(keys)), StructField(CORRUPT, StringType())])
+
     @property
     def table(self) -> StructType:
         """The stored table: times are instants, the file of origin and the batch are kept."""
@@ -151,6 +157,19 @@ LEDGER = StructType(
         StructField("date", DateType()),
         StructField("reason", StringType()),
         StructField("file_type", StringType()),
+        StructField("file_day", DateType()),
+    ]
+)
+#: The ledger's partition column: a day that a file keeps, whenever it is listed.
+FILE_DAY = "file_day"
+
+MARKS = StructType(
+    [
+        StructField("folder", StringType()),
+        StructField("mark", TimestampType()),
+        StructField("depth", LongType()),
+        StructField("recorded_at", TimestampType()),
+        StructField("folder_key", StringType()),
     ]
 )
 
@@ -173,6 +192,10 @@ class Lake:
     def summary(self) -> str:
         return _under(self.reports or self.base, "reports", "daily_summary")
 
+    @property
+    def summary_changes(self) -> str:
+        return changes_of(self.summary)
+
     @property
     def rejects(self) -> str:
         return _under(self.control or self.base, "control", "rejects")
@@ -181,6 +204,19 @@ class Lake:
     def ledger(self) -> str:
         return _under(self.control or self.base, "control", "ledger")
 
+    @property
+    def open_batches(self) -> str:
+        return _under(self.control or self.base, "control", "open_batches")
+
+    @property
+    def marks(self) -> str:
+        return _under(self.control or self.base, "control", "listing_marks")
+
+
+def changes_of(path: str) -> str:
+    """Where the changes to a stored summary are that were not folded into it yet."""
+    return f"{path.rstrip('/')}_changes"
+
 
 def _under(base: str, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts])

@@ -14,13 +14,18 @@ from fleetlake.sources.envelopes import literal_path
 from fleetlake.registry import (
     EXTRA_DATA_FIELDS,
     FILE_TYPES,
+    STORED_SUMMARY,
     SUMMARY,
     SUMMARY_VIEW_ORDER,
+    TIE,
     Lake,
+    changes_of,
 )
 
 # The two namespaces of the lake, raw tables first.
 DATABASES = ("raw_data", "reports")
+#: The folder name of a partition without a value, as Spark writes it.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 class ManagedTable(ValueError):
@@ -38,18 +43,17 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 def open_table(spark: SparkSession, path: str, schema: StructType, partition: str) -> DataFrame:
     """The same for a table that may not exist yet: it then has no rows.  Nothing is written."""
-    try:
-        return read_table(spark, path, schema)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return read_table(spark, path, schema) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def is_streamed(spark: SparkSession, path: str) -> bool:
     """Whether a stream's file sink writes the table: its commit log then says which files count."""
-    log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_spark_metadata")
-    return log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log)
+    return exists(spark, f"{path}/_spark_metadata")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
 
 def scan_partitions(
@@ -63,6 +67,8 @@ def scan_partitions(
     if is_streamed(spark, path):
         return read_table(spark, path, schema).where(F.col(column).isin([F.lit(v).cast(schema[column].dataType) for v in values]))
     folders = f"{literal_path(path)}/{column}={{{','.join(values)}}}"
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
     try:
         return spark.read.schema(schema).option("basePath", path).parquet(folders)
     except AnalysisException as error:
@@ -108,7 +114,8 @@ def _drop_any(spark: SparkSession, name: str) -> None:
 def create_tables(spark: SparkSession, lake: Lake, databases: tuple[str, str] = DATABASES) -> None:
     """External partitioned tables with declared schemas, for a catalog shared by many readers.
 
-    New partitions need ``spark.catalog.recoverPartitions``; ``create_views`` needs nothing.  A table
+    New partitions need ``spark.catalog.recoverPartitions``; ``create_views`` needs nothing.  The summary's table
+    shows what ``compact_summary`` has folded in.  A table
     that a stream writes can't be defined so and is refused: the catalog would not keep its commit log.
     """
     create_databases(spark, lake, databases)
@@ -140,21 +147,50 @@ def _view_columns(order: Sequence[str]) -> str:
     return ", ".join(special.get(c, c) for c in order)
 
 
+def _latest_rows(columns: str, location: str, with_ties: bool) -> str:
+    """The stored summary and its changes, as ``plans.summary.stored_summary`` reads them."""
+    stored = "vehicle_id, last_event_time, last_event_type, CAST(day AS STRING) AS day"
+    ties = TIE if with_ties else f"CAST(NULL AS array<string>) AS {TIE}"
+    return f"""
+        WITH base AS (SELECT {stored}, {ties} FROM parquet.`{location}`),
+        changes AS (SELECT {stored}, {TIE} FROM parquet.`{changes_of(location)}`),
+        changed AS (SELECT DISTINCT day FROM changes WHERE day IS NOT NULL),
+        candidates AS (SELECT * FROM base WHERE day IN (SELECT day FROM changed) UNION ALL SELECT * FROM changes),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY vehicle_id, day ORDER BY last_event_time DESC, {TIE} DESC, last_event_type DESC) AS rn
+          FROM candidates
+        )
+        SELECT {columns} FROM base LEFT ANTI JOIN changed USING (day)
+        UNION ALL SELECT {columns} FROM ranked WHERE rn = 1"""
+
+
+def _make_readable(spark: SparkSession, location: str, schema: StructType, partition: str) -> None:
+    """Gives a table without files one without rows, from which Spark can tell its columns."""
+    if not open_table(spark, location, schema, partition).inputFiles():
+        bare = StructType([f for f in schema if f.name != partition])
+        spark.createDataFrame([], bare).write.mode("append").parquet(f"{location}/{partition}={NO_VALUE}")
+
+
 def create_views(spark: SparkSession, lake: Lake, databases: tuple[str, str] = DATABASES) -> None:
     """``raw_data.*`` and ``reports.*`` as views over the Parquet folders, columns in reading order.
 
     A view lists its folder anew for each query, so new files and partitions show up unasked.  A table
     without files is given one without rows, so that its view is right before and after the first load.
+    The summary's view shows changes that are not folded in yet.
     """
     create_databases(spark, lake, databases)
-    orders = {t.name: t.view_order for t in FILE_TYPES.values()} | {"daily_summary": SUMMARY_VIEW_ORDER}
     for database, table, schema, partition, location in _layout(lake, databases):
-        if not open_table(spark, location, schema, partition).inputFiles():
-            bare = StructType([f for f in schema if f.name != partition])
-            spark.createDataFrame([], bare).write.parquet(f"{location}/{partition}=__HIVE_DEFAULT_PARTITION__")
         name = f"{database}.{table}"
         _drop_any(spark, name)
-        spark.sql(f"CREATE VIEW {name} AS SELECT {_view_columns(orders[table])} FROM parquet.`{location}`")
+        if table == "daily_summary":
+            for place in (location, lake.summary_changes):
+                _make_readable(spark, place, STORED_SUMMARY, partition)
+            with_ties = TIE in spark.read.parquet(location).columns
+            body = _latest_rows(", ".join(SUMMARY_VIEW_ORDER), location, with_ties)
+        else:
+            _make_readable(spark, location, schema, partition)
+            body = f"SELECT {_view_columns(FILE_TYPES[table].view_order)} FROM parquet.`{location}`"
+        spark.sql(f"CREATE VIEW {name} AS {body}")
 
 
 def catalog_listing(spark: SparkSession, databases: tuple[str, str] = DATABASES) -> DataFrame:

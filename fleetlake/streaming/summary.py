@@ -14,8 +14,8 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from fleetlake.functions import times
 from fleetlake.operators.latest import TIE_BREAK
-from fleetlake.plans.summary import upsert
-from fleetlake.registry import LATENESS_HOURS
+from fleetlake.plans.summary import tie_values, upsert
+from fleetlake.registry import LATENESS_HOURS, TIE
 
 
 def last_per_vehicle_day_stream(
@@ -23,7 +23,7 @@ def last_per_vehicle_day_stream(
     lateness: str = f"{LATENESS_HOURS} hours",
     tie_break: Sequence[str] = TIE_BREAK,
 ) -> DataFrame:
-    """Summary rows of a stream of events.
+    """Summary rows of a stream of events, with their tie-break values.
 
     Day windows start at the epoch, hence at UTC midnight in every session zone.  Each task
     combines its rows per key before the shuffle, so no vehicle is too busy.
@@ -32,7 +32,7 @@ def last_per_vehicle_day_stream(
     last = (
         events.withWatermark("event_time", lateness)
         .groupBy("vehicle_id", F.window("event_time", "1 day"))
-        .agg(F.max_by(F.struct("event_time", "event_type"), rank).alias("last"))
+        .agg(F.max_by(F.struct("event_time", "event_type", tie_values(events, tie_break).alias(TIE)), rank).alias("last"))
     )
     day = times.instant_to_utc(F.col("window.start")).cast("date").cast("string")
     return last.select(
@@ -40,14 +40,15 @@ def last_per_vehicle_day_stream(
         F.col("last.event_time").alias("last_event_time"),
         F.col("last.event_type").alias("last_event_type"),
         day.alias("day"),
+        F.col(f"last.{TIE}").alias(TIE),
     )
 
 
 def summary_stream(summary: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Upserts each micro-batch's changed rows into the stored summary.
+    """Adds each micro-batch's changed rows to the changes of the stored summary.
 
-    A micro-batch holds only vehicles that moved, so it is merged with the stored day and never
-    replaces it.  The merge gives the same result when a micro-batch runs twice.
+    A micro-batch holds only vehicles that moved, and writes nothing else.  Readers take the latest row, so
+    nothing changes when a micro-batch runs twice.  ``compact_summary`` folds in the days that are closed.
     """
 
     def publish(rows: DataFrame, _batch_id: int) -> None:

@@ -11,7 +11,8 @@ from tests.conftest import event
 def test_from_files_to_report(spark, lake, incoming, capsys):
     incoming.events("20251108120000", event(), event("V2", "2025-11-08T23:00:00Z"))
     for command in (
-        ["ingest", str(incoming)],
+        ["ingest", str(incoming), "--incremental"],
+        ["compact", "--before", "2025-11-09"],
         ["backfill", "--start-date", "2025-11-01", "--end-date", "2025-11-08"],
         ["views"],
         ["summary", "2025-11-09"],

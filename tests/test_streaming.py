@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.operators import quality
 from fleetlake.plans import summary
-from fleetlake.registry import REJECTS, SUMMARY, VEHICLE_EVENTS
+from fleetlake.registry import REJECTS, VEHICLE_EVENTS
 from fleetlake.sources.envelopes import read_envelope_folder
 from fleetlake.sources.tables import StreamedTable, create_tables, read_table, scan_partitions
 from fleetlake.plans.ingest import tagged_records
@@ -51,7 +51,7 @@ def run_summary_stream(spark, incoming, lake):
     stream_out.summary_stream(changes, lake.summary, f"{lake.base}/checkpoint").awaitTermination()
     return {
         (r.vehicle_id, r.day, r.last_event_type)
-        for r in read_table(spark, lake.summary, SUMMARY).collect()
+        for r in summary.stored_summary(spark, lake.summary).collect()
     }
 
 

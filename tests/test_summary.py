@@ -11,7 +11,7 @@ from fleetlake.functions import times
 from fleetlake.operators import latest, sinks
 from fleetlake.plans import summary
 from fleetlake.registry import SUMMARY, VEHICLE_EVENTS
-from fleetlake.sources.tables import open_table, read_table
+from fleetlake.sources.tables import read_table
 
 COLUMNS = "vehicle_id string, time string, event_type string, event_source string, date string"
 
@@ -36,7 +36,7 @@ def store(spark, lake, rows):
 
 
 def stored(spark, lake):
-    df = open_table(spark, lake.summary, SUMMARY, "day")
+    df = summary.stored_summary(spark, lake.summary)
     return {
         (r.vehicle_id, r.day): (r.t, r.last_event_type)
         for r in df.withColumn("t", times.utc_reading(df, "last_event_time")).collect()
@@ -140,7 +140,7 @@ def test_upsert_never_goes_back_in_time(spark, lake):
     summary.upsert(spark, summary.summarize(newer), lake.summary)
     summary.upsert(spark, summary.summarize(older), lake.summary)
     assert [v[1] for v in stored(spark, lake).values()] == ["newer"]
-    assert summary.upsert(spark, summary.summarize(older.where("false")), lake.summary).count() == 0
+    assert summary.upsert(spark, summary.summarize(older.where("false")), lake.summary) == 0
 
 
 def many_days(spark):
@@ -217,10 +217,10 @@ def test_backfill_leaves_no_stale_days(spark, lake):
     store(spark, lake, EXAMPLE)
     stale = spark.createDataFrame([("V7", None, "old", d) for d in ("2025-11-07", "2025-11-08", "2025-11-20")], SUMMARY)
     sinks.overwrite_days(stale, lake.summary)
-    summary.run_backfill(spark, lake, date(2025, 11, 7), date(2025, 11, 8))
+    summary.run_backfill(spark, lake, date(2025, 11, 7), date(2025, 11, 8), replace_all=True)
     days = {(r.day, r.vehicle_id) for r in read_table(spark, lake.summary, SUMMARY).collect()}
     assert ("2025-11-20", "V7") in days and ("2025-11-07", "V7") not in days and ("2025-11-08", "V7") not in days
-    result = summary.run_backfill(spark, lake, date(2025, 11, 20), date(2025, 11, 20))
+    result = summary.run_backfill(spark, lake, date(2025, 11, 20), date(2025, 11, 20), replace_all=True)
     assert result.status == "no_events" and "2025-11-20" not in {d for d, _ in stored(spark, lake)}
 
 
@@ -230,5 +230,5 @@ def test_the_merge_keeps_to_the_tie_break(spark, lake):
     for kind in ("aaa", "zzz"):
         df = events(spark, [r for r in rows if r[2] == kind]).withColumn("event_source", F.lit(sources[kind]))
         summary.upsert(spark, summary.candidates(df, ("event_source",)), lake.summary)
-    (row,) = read_table(spark, lake.summary, SUMMARY).collect()
+    (row,) = summary.stored_summary(spark, lake.summary).collect()
     assert row.last_event_type == "aaa"

@@ -210,6 +210,26 @@ ORACLE: dict[str, str] = {
     "stream_ingest": f"WITH {_VE} {_ROWS_PER_DATE}",
     "stream_rejects": _REJECT_REASONS,
     "stream_daily_summary": _ALL_SUMMARIES,
+    "ingest_redelivered_name": f"WITH {_VE} SELECT date, 2 * rows AS rows FROM ({_ROWS_PER_DATE})",
+    "list_incoming_incremental": f"""WITH {_VE} SELECT 'vehicle_events' AS file_type, CAST(arrived AS VARCHAR) AS date,
+        count(DISTINCT event_id // 2000) AS files FROM ve WHERE arrived > DATE '2024-01-15' GROUP BY 2""",
+    "records_accounted_for": f"""WITH {_VE}, {_TAGGED} SELECT
+        (SELECT count(*) FROM events) - (SELECT count(*) FROM tagged WHERE file_reason IS NOT NULL)
+          - count(*) FILTER (detail IS NOT NULL) AS records_loaded,
+        count(*) FILTER (detail IS NOT NULL) AS records_refused,
+        count(*) FILTER (detail IS NULL) AS files_refused FROM refused WHERE reason <> 'ok'""",
+    "unknown_file_rejects": f"""WITH {_VE} SELECT 'unknown_type' AS reason, 'failed' AS state,
+        count(DISTINCT (arrived, event_id // 2000)) AS files FROM ve""",
+    "no_events_reasons": f"""WITH {_VE} SELECT 'no table' AS "case", 'no_events' AS status, 'no_partitions' AS reason, 0 AS sample
+        UNION ALL SELECT 'before all', 'no_events', CASE WHEN count(*) = 0 THEN 'no_partitions' ELSE 'outside_window' END, least(5, count(*))
+          FROM ve WHERE arrived IN (DATE '2023-01-15', DATE '2023-01-16')
+        UNION ALL SELECT 'after all', 'no_events', CASE WHEN count(*) = 0 THEN 'no_partitions' ELSE 'outside_window' END, least(5, count(*))
+          FROM ve WHERE arrived IN (DATE '2024-02-02', DATE '2024-02-03')""",
+    "stream_tie_break": f"""WITH {_VE} SELECT vehicle_id, day, hour AS last_event_time, event_type AS last_event_type FROM (
+        SELECT *, row_number() OVER (PARTITION BY vehicle_id, day ORDER BY hour DESC, event_source DESC, event_type DESC) AS rn
+        FROM (SELECT *, CAST(date_trunc('hour', event_time) AS TIMESTAMP) AS hour FROM ve)) WHERE rn = 1""",
+    "stream_ingest_mixed_folder": f"WITH {_VE} {_ROWS_PER_DATE}",
+    "envelope_encodings": f"WITH {_VE} {_ROWS_PER_DATE}",
 }
 ORACLE["fail_batch_any_size"] = ORACLE["fail_batch_counters"]
 ORACLE["ingest_after_crash"] = ORACLE["view_before_first_load"] = ORACLE["append_partitioned_events"]

@@ -33,6 +33,10 @@ def _stored_events(spark: SparkSession, lake: Lake) -> DataFrame:
     return tables.read_table(spark, lake.raw("vehicle_events"), VEHICLE_EVENTS.table)
 
 
+def _stored_summary(spark: SparkSession, path: str) -> DataFrame:
+    return _utc(summary.stored_summary(spark, path).select(*SUMMARY.names), "last_event_time")
+
+
 def _utc(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, times.utc_reading(df, column))
 
@@ -93,8 +97,7 @@ def summary_upsert(spark, sf_dir):
     sinks.overwrite_days(summary.summarize(first), lake.summary)
     late = given.as_table(events.where(~on_time), VEHICLE_EVENTS)
     summary.upsert(spark, summary.summarize(late), lake.summary)
-    stored = tables.read_table(spark, lake.summary, SUMMARY)
-    return _utc(stored, "last_event_time")
+    return _stored_summary(spark, lake.summary)
 
 
 def daily_summary_job(spark, sf_dir):
@@ -102,7 +105,7 @@ def daily_summary_job(spark, sf_dir):
     events = given.events_lake(spark, sf_dir)
     lake = Lake(events.base, reports=workspace.work_dir(spark, "daily-job"))
     summary.run_daily_summary(spark, lake, TARGET, AS_OF)
-    return _utc(tables.read_table(spark, lake.summary, SUMMARY), "last_event_time")
+    return _stored_summary(spark, lake.summary)
 
 
 def backfill_job(spark, sf_dir):
@@ -114,7 +117,7 @@ def backfill_job(spark, sf_dir):
     )
     sinks.overwrite_days(stale.distinct(), lake.summary)
     summary.run_backfill(spark, lake, date(2024, 1, 5), date(2024, 1, 12))
-    return _utc(tables.read_table(spark, lake.summary, SUMMARY), "last_event_time")
+    return _stored_summary(spark, lake.summary)
 
 
 def summary_over_streamed_table(spark, sf_dir):
@@ -127,7 +130,7 @@ def summary_over_streamed_table(spark, sf_dir):
     stray = _stored_events(spark, lake).where(day).withColumn("event_type", F.lit("zzz"))
     stray.drop("date").write.mode("append").parquet(f"{path}/date=2024-01-15")
     summary.run_daily_summary(spark, lake, TARGET, AS_OF)
-    return _utc(tables.read_table(spark, lake.summary, SUMMARY), "last_event_time")
+    return _stored_summary(spark, lake.summary)
 
 
 # --- files -----------------------------------------------------------------------------------
@@ -201,7 +204,7 @@ def envelope_root_key_alias(spark, sf_dir):
     )
     used = read.select(
         unnest.root_key_used(VEHICLE_EVENTS).alias("root_key"),
-        F.size(unnest.root_records(VEHICLE_EVENTS)).alias("records"),
+        unnest.root_records(VEHICLE_EVENTS).alias("records"),
     )
     return used.groupBy("root_key").agg(F.sum("records").alias("records"))
 
@@ -301,13 +304,85 @@ def ingest_after_crash(spark, sf_dir):
     lake = Lake(workspace.work_dir(spark, "crash"))
     folder = f"{given.landed(spark, sf_dir)}/events"
     ingest.run_ingest(spark, lake, folder, ingest_date=given.INGEST_DATE, recursive=True)
-    started = ingest.ledger_table(spark, lake).where(F.col("state") == ingest.STARTED)
+    started = ingest.ledger_table(spark, lake).withColumns({"reason": F.col("state"), "state": F.lit(ingest.STARTED)})
     crashed = Lake(lake.base, control=workspace.work_dir(spark, "crash-control"))
-    sinks.append_ledger(started, crashed.ledger)
+    sinks.append_open_batch(started, crashed.open_batches)
     ingest.run_ingest(spark, crashed, folder, ingest_date=given.INGEST_DATE, recursive=True)
     return _rows_per_date(_stored_events(spark, crashed))
 
 
+def ingest_redelivered_name(spark, sf_dir):
+    """Every event file delivered again under its name, with other bytes: loaded both times."""
+    lake, folder = Lake(workspace.work_dir(spark, "again")), workspace.work_dir(spark, "again-landed")
+    envelopes_ = given.event_envelopes(spark, sf_dir)
+    for content in (F.col("content"), F.concat(F.col("content"), F.lit(" "))):
+        given.land(envelopes_.withColumn("content", content), folder)
+        ingest.run_ingest(spark, lake, folder, ingest_date=given.INGEST_DATE, recursive=True)
+    return _rows_per_date(_stored_events(spark, lake))
+
+
+def list_incoming_incremental(spark, sf_dir):
+    """What a second run over dated folders has to load, after a first one that set its mark."""
+    lake, folder = Lake(workspace.work_dir(spark, "marked")), workspace.work_dir(spark, "marked-landed")
+    stamp = F.regexp_extract("file_path", r"(\d{8})\d{6}", 1)
+    every = given.event_envelopes(spark, sf_dir).withColumn("stamp", stamp)
+    today = times.utc_now().strftime("%Y-%m-%d")
+    path = F.concat_ws("/", F.lit(today), "file_path")
+    until = LOADED_UNTIL.replace("-", "")
+    options = {"incremental": True, "dated": "%Y-%m-%d", "recursive": True}
+    given.land(every.where(F.col("stamp") <= until).withColumn("file_path", path), folder)
+    ingest.run_ingest(spark, lake, folder, ingest_date=given.INGEST_DATE, **options)
+    given.land(every.where(F.col("stamp") > until).withColumn("file_path", path), folder)
+    found = ingest.new_files(spark, lake, ingest.list_new(spark, lake, folder, **options), F.lit(given.INGEST_DATE))
+    return found.groupBy("file_type", F.col("date").cast("string").alias("date")).agg(F.count("*").alias("files"))
+
+
+def envelope_encodings(spark, sf_dir):
+    """The event files in five encodings."""
+    lake, folder = Lake(workspace.work_dir(spark, "encoded")), workspace.work_dir(spark, "encoded-landed")
+    given.land(given.encoded(given.event_envelopes(spark, sf_dir)), folder)
+    ingest.run_ingest(spark, lake, folder, ingest_date=given.INGEST_DATE, recursive=True)
+    return _rows_per_date(_stored_events(spark, lake))
+
+
+def records_accounted_for(spark, sf_dir):
+    """Loaded records and refused ones of defective files; refused files by number."""
+    lake = Lake(workspace.work_dir(spark, "accounts"))
+    _ingest_defective(spark, sf_dir, lake, ingest.QUARANTINE)
+    loaded = _stored_events(spark, lake).agg(F.count("*").alias("records_loaded"))
+    of_record = F.col("detail").isNotNull()
+    refused = tables.read_table(spark, lake.rejects, REJECTS).agg(
+        F.count_if(of_record).alias("records_refused"), F.count_if(~of_record).alias("files_refused")
+    )
+    return loaded.join(refused)
+
+
+def unknown_file_rejects(spark, sf_dir):
+    """Every event file under a name of no supported type: a reject and a ledger row each."""
+    lake, folder = Lake(workspace.work_dir(spark, "unknown")), workspace.work_dir(spark, "unknown-landed")
+    named = F.replace("file_path", F.lit("vehicles_events_"), F.lit("trips_"))
+    given.land(given.event_envelopes(spark, sf_dir).withColumn("file_path", named), folder)
+    ingest.run_ingest(spark, lake, folder, ingest_date=given.INGEST_DATE, recursive=True, raise_on_failure=False)
+    rejects = tables.read_table(spark, lake.rejects, REJECTS)
+    known = ingest.ledger_table(spark, lake).select("file_path", "state")
+    return rejects.join(known, "file_path").groupBy("reason", "state").agg(F.count("*").alias("files"))
+
+
+def no_events_reasons(spark, sf_dir):
+    """Why the daily job found nothing: no raw table, no partitions of those days, none in its window."""
+    lake = given.events_lake(spark, sf_dir)
+    cases = {
+        "no table": (Lake(workspace.work_dir(spark, "absent")), date(2024, 1, 16)),
+        "before all": (lake, date(2023, 1, 16)),
+        "after all": (lake, date(2024, 2, 3)),
+    }
+    rows = []
+    for case, (where, day) in cases.items():
+        result = summary.run_daily_summary(spark, Lake(where.base, reports=workspace.work_dir(spark, "none")), day, AS_OF)
+        rows.append((case, result.status, result.reason, len(result.sample)))
+    return spark.createDataFrame(rows, "case string, status string, reason string, sample long")
+
+
 def view_before_first_load(spark, sf_dir):
     """Views made over a lake that holds nothing yet show what is ingested afterwards."""
     lake = Lake(workspace.work_dir(spark, "view-first"))
@@ -372,9 +447,10 @@ def catalog_listing(spark, sf_dir):
 
 
 def table_definitions(spark, sf_dir):
-    """The same lake defined as external tables, in databases of their own."""
+    """The same lake, all summary changes folded in, defined as external tables in databases of their own."""
     databases = ("raw_tables", "report_tables")
     lake = given.viewed_lake(spark, sf_dir)
+    summary.compact_summary(spark, lake.summary)
     tables.create_tables(spark, lake, databases)
     for name in ("raw_tables.vehicle_events", "raw_tables.vehicle_status", "report_tables.daily_summary"):
         spark.catalog.recoverPartitions(name)
@@ -409,13 +485,41 @@ def stream_rejects(spark, sf_dir):
     return _by_reason(spark.read.parquet(f"{folder}/rejects"))
 
 
+#: Files come in the order of their making, which is not that of their dates.
+ANY_ORDER = "90 days"
+
+
 def stream_daily_summary(spark, sf_dir):
-    """The landed event files as a stream, summarised into a stored table."""
+    """Three micro-batches; some days are folded in, the others read as base and changes."""
     folder = workspace.work_dir(spark, "stream-summary")
-    events = quality.good(_tagged_stream(spark, sf_dir), VEHICLE_EVENTS)
-    changes = stream_out.last_per_vehicle_day_stream(events)
+    source = f"{given.landed(spark, sf_dir)}/events/*"
+    third = -(-listing.list_incoming(spark, source).count() // 3)
+    tagged = stream_in.tagged_stream(spark, source, VEHICLE_EVENTS, "vehicles_events_*.json", max_files_per_trigger=third)
+    changes = stream_out.last_per_vehicle_day_stream(quality.good(tagged, VEHICLE_EVENTS), ANY_ORDER)
+    stream_out.summary_stream(changes, f"{folder}/summary", f"{folder}/checkpoint").awaitTermination()
+    summary.compact_summary(spark, f"{folder}/summary", before=date(2024, 1, 16))
+    return _stored_summary(spark, f"{folder}/summary")
+
+
+def stream_tie_break(spark, sf_dir):
+    """Many equal times, settled by source, then type, across micro-batches."""
+    folder = workspace.work_dir(spark, "stream-ties")
+    given.land(given.coarse_envelopes(spark, sf_dir), f"{folder}/landed/events")
+    source = f"{folder}/landed/events/*"
+    third = -(-listing.list_incoming(spark, source).count() // 3)
+    tagged = stream_in.tagged_stream(spark, source, VEHICLE_EVENTS, max_files_per_trigger=third)
+    by = ("event_source", "event_type")
+    changes = stream_out.last_per_vehicle_day_stream(quality.good(tagged, VEHICLE_EVENTS), ANY_ORDER, by)
     stream_out.summary_stream(changes, f"{folder}/summary", f"{folder}/checkpoint").awaitTermination()
-    return _utc(tables.read_table(spark, f"{folder}/summary", SUMMARY), "last_event_time")
+    return _stored_summary(spark, f"{folder}/summary")
+
+
+def stream_ingest_mixed_folder(spark, sf_dir):
+    """A stream over a folder of both types takes its own files by their names."""
+    folder = workspace.work_dir(spark, "stream-mixed")
+    tagged = stream_in.tagged_stream(spark, f"{given.landed(spark, sf_dir)}/*/*", VEHICLE_EVENTS)
+    stream_in.ingest_stream(tagged, VEHICLE_EVENTS, f"{folder}/events", f"{folder}/checkpoint").awaitTermination()
+    return _rows_per_date(tables.read_table(spark, f"{folder}/events", VEHICLE_EVENTS.table))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -460,5 +564,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_ingest,
         stream_rejects,
         stream_daily_summary,
+        ingest_redelivered_name,
+        list_incoming_incremental,
+        envelope_encodings,
+        records_accounted_for,
+        unknown_file_rejects,
+        no_events_reasons,
+        stream_tie_break,
+        stream_ingest_mixed_folder,
     )
 }

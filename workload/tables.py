@@ -165,6 +165,30 @@ def event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def encoded(envelopes: DataFrame) -> DataFrame:
+    """The same files in five encodings, with byte order marks and without, by the day they arrived on."""
+    text, day = F.col("content"), F.substring(F.regexp_extract("file_path", r"(\d{14})", 1), 7, 2).cast("int")
+    marked = lambda mark, kind: F.concat(F.lit(mark), F.encode(text, kind))
+    content = (
+        F.when(day % 5 == 0, F.encode(text, "UTF-8"))
+        .when(day % 5 == 1, marked(b"\xef\xbb\xbf", "UTF-8"))
+        .when(day % 5 == 2, marked(b"\xff\xfe", "UTF-16LE"))
+        .when(day % 5 == 3, marked(b"\xfe\xff", "UTF-16BE"))
+        .otherwise(F.encode(text, "UTF-16LE"))
+    )
+    return envelopes.withColumn("content", content)
+
+
+def coarse_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event, its time cut to the hour, so that many of a vehicle are equally late."""
+    events = vehicle_events(spark, sf_dir).withColumn("event_time", iso(F.date_trunc("hour", "event_time")))
+    packed = pack(events, VEHICLE_EVENTS, F.col("event_id"), date=F.col("date"))
+    return packed.select(
+        arrival_path("vehicles_events", F.col("date")).alias("file_path"),
+        envelope_text("vehicles_events").alias("content"),
+    )
+
+
 def status_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every status, in files that arrive on the day of their newest report."""
     statuses = vehicle_status(spark, sf_dir).withColumn("report_time", iso(F.col("report_time")))
@@ -195,7 +219,7 @@ def defective_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def land(envelopes: DataFrame, folder: str) -> None:
-    """Writes each envelope as a file of its own name.  Writing one twice gives the same file."""
+    """Writes each envelope, text or bytes, as a file of its own name.  Writing one twice gives the same file."""
     root = "file:///" + folder[5:].lstrip("/") if folder.startswith("file:") else folder
 
     def write(batches):
@@ -206,7 +230,7 @@ def land(envelopes: DataFrame, folder: str) -> None:
             for path, content in zip(batch["file_path"], batch["content"]):
                 filesystem.create_dir(f"{base}/{path}".rsplit("/", 1)[0], recursive=True)
                 with filesystem.open_output_stream(f"{base}/{path}") as out:
-                    out.write(content.encode())
+                    out.write(content.encode() if isinstance(content, str) else content)
             yield batch[["file_path"]]
 
     landed_paths = envelopes.mapInPandas(write, "file_path string")
@@ -256,6 +280,8 @@ def viewed_lake(spark: SparkSession, sf_dir: str) -> Lake:
     lake = Lake(workspace.work_dir(spark, "viewed"))
     ingest.run_ingest(spark, lake, landed(spark, sf_dir), ingest_date=INGEST_DATE, recursive=True)
     stored = read_table(spark, lake.raw("vehicle_events"), VEHICLE_EVENTS.table)
-    sinks.overwrite_days(summary.summarize(stored), lake.summary)
+    first = stored.where(F.col("date") < F.lit(date(2024, 1, 16)))
+    sinks.overwrite_days(summary.summarize(first), lake.summary)
+    summary.upsert(spark, summary.summarize(stored.where(F.col("date") >= F.lit(date(2024, 1, 16)))), lake.summary)
     create_views(spark, lake)
     return lake
