@@ -18,6 +18,8 @@ OK = "ok"
 
 # Reject reasons that say the data broke the schema, not the file or its name.
 SCHEMA_REASONS = ("missing_root_key", "null_required", "bad_timestamp", "bad_record", "future_timestamp")
+# Reasons that are about one record; all others are about its whole file.
+RECORD_REASONS = ("null_required", "bad_timestamp", "bad_record", "future_timestamp")
 
 
 class SchemaMismatch(ValueError):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fleetlake import workspace
-from fleetlake.registry import FILE_DAY, LEDGER, MARKS, REJECTS, STORED_SUMMARY, changes_of
+from fleetlake.registry import DRIFT, FILE_DAY, LEDGER, MARKS, REJECTS, REPLAYS, STORED_SUMMARY, changes_of
 from fleetlake.sources.tables import NO_VALUE, read_table
 
 
@@ -116,6 +116,14 @@ def append_rejects(df: DataFrame, path: str) -> None:
     _append(df, path, REJECTS, "file_type")
 
 
+def append_drift(df: DataFrame, path: str) -> None:
+    _append(df, path, DRIFT, "file_type")
+
+
+def append_replays(df: DataFrame, path: str) -> None:
+    _append(df, path, REPLAYS, "file_type")
+
+
 def append_ledger(df: DataFrame, path: str) -> None:
     _append(df, path, LEDGER, FILE_DAY)
 

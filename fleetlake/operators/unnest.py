@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import MapType
 
 from fleetlake.functions import names, times
-from fleetlake.registry import CORRUPT, SOURCE_FILE, UNKNOWN_TYPE, FileType
+from fleetlake.registry import ANY_RECORD, CORRUPT, EXTRA, SOURCE_FILE, UNKNOWN_TYPE, FileType
 from fleetlake.sources.envelopes import SHOWN
 
 
@@ -18,8 +20,8 @@ def _by_key(columns: list[Column], element: str) -> Column:
 
 
 def clean_records(file_type: FileType) -> Column:
-    """The records of an envelope in which all have the declared shape, under all keys that it uses."""
-    return _by_key([F.col("clean")[k] for k in file_type.root_keys], file_type.record.simpleString())
+    """The records of an envelope in which all are objects, under all keys that it uses."""
+    return _by_key([F.col("clean")[k] for k in file_type.root_keys], ANY_RECORD.simpleString())
 
 
 def text_records(file_type: FileType) -> Column:
@@ -52,7 +54,7 @@ def unnest(envelopes: DataFrame, file_type: FileType, ingest_date: Column | None
 
     A file that cannot be loaded yields a single row whose ``file_problem`` says why, a record that
     is no object of the declared kind one with ``bad_record``.  An empty array yields no row.  ``raw`` has
-    the text; a record of a file in which all have the declared shape is written out from its fields.
+    the text; a record of a file in which all are objects is written out from its fields.
     Name and date are worked out once per file, before the records fan out.
     """
     today = times.utc_today() if ingest_date is None else ingest_date
@@ -70,14 +72,28 @@ def unnest(envelopes: DataFrame, file_type: FileType, ingest_date: Column | None
     kept = [SOURCE_FILE, date, "file_problem"]
     rows = per_file.select(*kept, "texts", F.posexplode_outer("records").alias("n", "given"))
     rows = rows.select(*kept, "n", "given", F.posexplode_outer("texts").alias("m", "text")).where("n IS NOT NULL OR m IS NOT NULL")
-    fine, text = F.col("file_problem").isNull(), F.col("text")
-    schema = StructType([*file_type.record.fields, StructField(CORRUPT, StringType())])
-    patient = F.from_json(F.when(fine, text), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    odd = text.isNotNull() & (F.col(f"patient.{CORRUPT}").isNotNull() | F.startswith(F.ltrim(text), F.lit("[")))
-    return rows.withColumn("patient", patient).select(
-        SOURCE_FILE,
-        date,
+    return fields_of(rows, file_type, kept)
+
+
+def fields_of(rows: DataFrame, file_type: FileType, kept: Sequence[str]) -> DataFrame:
+    """Records as declared, from ``given`` (field names and texts) or else ``text`` (JSON).
+
+    Takes ``file_problem`` along: null, or ``bad_record`` for what is no object or has a declared object that is
+    none.  Fields that no schema names are kept in ``_extra_fields``.
+    """
+    text, given, record = F.col("text"), F.col("given"), F.col("record")
+    parsed = F.from_json(F.when(F.col("file_problem").isNull(), text), ANY_RECORD, {"mode": "PERMISSIVE"})
+    rows = rows.withColumn("record", F.coalesce(given, parsed))
+    objects = {f.name: F.from_json(record[f.name], f.dataType, {"mode": "PERMISSIVE"}) for f in file_type.record if isinstance(f.dataType, MapType)}
+    rows = rows.withColumns({f"_{name}": parsed for name, parsed in objects.items()})
+    odd = text.isNotNull() & (record.isNull() | F.startswith(F.ltrim(text), F.lit("[")))
+    for name in objects:
+        odd = odd | (F.coalesce(record[name].isNotNull(), F.lit(False)) & F.col(f"_{name}").isNull())
+    extra = F.map_filter(record, lambda field, _: ~field.isin(file_type.record.names))
+    return rows.select(
+        *(c for c in kept if c != "file_problem"),
         F.coalesce("file_problem", F.when(odd, "bad_record")).alias("file_problem"),
         F.coalesce(text, F.to_json("given")).alias("raw"),
-        *(F.coalesce(F.col("given")[c], F.col("patient")[c]).alias(c) for c in file_type.record.names),
+        *((F.col(f"_{c}") if c in objects else record[c]).alias(c) for c in file_type.record.names),
+        F.when(F.size(extra) > 0, extra).alias(EXTRA),
     )

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 from functools import reduce
@@ -21,15 +21,19 @@ from pyspark.sql.types import StructType
 
 from fleetlake.functions import times
 from fleetlake.functions.names import base_name, decoded
-from fleetlake.operators import counters, files, quality, sinks
-from fleetlake.operators.unnest import unnest
+from fleetlake.operators import counters, drift, files, quality, sinks
+from fleetlake.operators.unnest import fields_of, unnest
 from fleetlake.registry import (
+    ANY_RECORD,
     BATCH_ID,
+    DRIFT,
+    EXTRA,
     FILE_DAY,
     FILE_TYPES,
     LEDGER,
     MARKS,
     REJECTS,
+    REPLAYS,
     SOURCE_FILE,
     UNKNOWN_TYPE,
     FileType,
@@ -41,7 +45,7 @@ from fleetlake.sources.tables import NO_VALUE, open_table, scan_partitions
 
 FAIL_BATCH = "fail_batch"
 QUARANTINE = "quarantine"
-STARTED = "started"
+STARTED, REPLAYED = "started", "replayed"
 #: Paths given to one reader; nothing else depends on it.
 FILES_PER_READ = 20_000
 #: How far behind the mark an incremental run still looks, for clocks that differ and slow uploads.
@@ -94,6 +98,8 @@ def reject_rows(tagged: DataFrame, file_type: str, batch_id: str | None) -> Data
         "detail",
         "record",
         F.current_timestamp().alias("rejected_at"),
+        F.uuid().alias("reject_id"),
+        "date",
         F.lit(file_type).alias("file_type"),
     )
 
@@ -192,7 +198,8 @@ def load_batch(
     if envelopes is None:
         envelopes = parse_envelopes(spark.createDataFrame([], "file_path string, content string"), file_type)
     tagged = tagged_records(envelopes, file_type, ingest_date)
-    tagged = sinks.stage(tagged.unionByName(_empty_files(listed, tagged.schema)), "records")
+    tagged = tagged.unionByName(_empty_files(listed, tagged.schema))
+    tagged, facts = sinks.stage_counted(tagged, "records", unknown=F.count(EXTRA))
     counts, seen = sinks.stage_counted(_file_counts(listed, tagged), "file-counts", bad=F.sum("bad"))
     clean = not seen["bad"]
     loaded = clean or policy == QUARANTINE
@@ -200,6 +207,8 @@ def load_batch(
     if not clean:
         refused = _write_rejects(lake, reject_rows(tagged, file_type.name, batch_id))
     rows = _ledger_rows(counts, batch_id, loaded)
+    if loaded and facts["unknown"]:
+        report_drift(lake, tagged.where(F.col("reason") == quality.OK), file_type.name, batch_id)
     if loaded:
         sinks.append_open_batch(_started(rows), lake.open_batches)
         good = quality.good(tagged, file_type, batch_id)
@@ -209,6 +218,20 @@ def load_batch(
     return result
 
 
+def report_drift(lake: Lake, records: DataFrame, file_type: str, batch_id: str) -> None:
+    """Records which fields a batch brought that its schema does not name.  The values are kept with the rows."""
+    found = drift.unknown_fields(records).withColumns({"batch_id": F.lit(batch_id), "file_type": F.lit(file_type)})
+    sinks.append_drift(found, lake.drift)
+
+
+def schema_drift(spark: SparkSession, lake: Lake) -> DataFrame:
+    """New fields of all batches that were loaded, by type, arrival day and field."""
+    reported = open_table(spark, lake.drift, DRIFT, "file_type")
+    loaded = ledger_table(spark, lake).where("state = 'processed'").select("batch_id").distinct()
+    kept = reported.join(loaded, "batch_id", "left_semi")
+    return kept.groupBy("file_type", "date", "field", "type").agg(F.sum("records").alias("records"))
+
+
 def refuse_unknown(lake: Lake, listed: DataFrame, batch_id: str) -> Row:
     """Files of no supported type: a reject and a ledger row each."""
     refused = listed.select(
@@ -218,6 +241,8 @@ def refuse_unknown(lake: Lake, listed: DataFrame, batch_id: str) -> Row:
         F.col("file_name").alias("detail"),
         F.lit(None).cast("string").alias("record"),
         F.current_timestamp().alias("rejected_at"),
+        F.uuid().alias("reject_id"),
+        "date",
         "file_type",
     )
     counts = listed.withColumns({"good": F.lit(0), "bad": F.lit(1), "first_reason": F.lit("unknown_type")})
@@ -409,6 +434,61 @@ def settle_open_batches(spark: SparkSession, lake: Lake) -> list[str]:
     return settled
 
 
+# --- replay ---------------------------------------------------------------------------------
+
+
+def pending_rejects(spark: SparkSession, lake: Lake, file_type: FileType) -> DataFrame:
+    """Refused records that no replay has loaded yet.  Whole files are for ``retry_failed``: they are where they were."""
+    ended = ledger_table(spark, lake).where(F.col("state") == REPLAYED).select("batch_id").distinct()
+    replays = open_table(spark, lake.replays, REPLAYS, "file_type").where(F.col("outcome") == quality.OK)
+    loaded = replays.join(ended, "batch_id", "left_semi").select("reject_id")
+    own = rejects_table(spark, lake).where((F.col("file_type") == file_type.name) & F.col("reason").isin(*quality.RECORD_REASONS))
+    return own.join(loaded, "reject_id", "left_anti")
+
+
+def replay_rejects(
+    spark: SparkSession,
+    lake: Lake,
+    file_type: FileType,
+    fix: Callable[[DataFrame], DataFrame] = lambda records: records,
+) -> Row:
+    """Sends refused records through today's rules again and loads those that pass; returns ``loaded`` and ``refused``.
+
+    ``fix`` may change the records, times still text, before they are judged.  Every reject stays; the
+    replays table has what became of it, by its id.  A record is loaded once: the batch is open while it loads,
+    like any other, and only a batch that the ledger calls replayed counts.
+    """
+    settle_open_batches(spark, lake)
+    batch_id = f"{uuid.uuid4().hex}-replay-{file_type.name}"
+    arrived = F.coalesce("date", files.stamp_day(base_name(decoded(F.col("file_path")))), times.instant_to_utc(F.col("rejected_at")).cast("date"))
+    rejects = pending_rejects(spark, lake, file_type).select(
+        F.col("file_path").alias(SOURCE_FILE),
+        "reject_id",
+        arrived.alias(file_type.partition_column),
+        F.lit(None).cast("string").alias("file_problem"),
+        F.lit(None).cast(ANY_RECORD).alias("given"),
+        F.col("record").alias("text"),
+    )
+    records = fields_of(rejects, file_type, [SOURCE_FILE, "reject_id", file_type.partition_column, "file_problem"])
+    tagged, seen = sinks.stage_counted(quality.tag(fix(records), file_type), "replayed", good=F.count_if(F.col("reason") == quality.OK))
+    if seen["rows"]:
+        good = tagged.where(F.col("reason") == quality.OK)
+        outcome = tagged.select("reject_id", F.lit(batch_id).alias("batch_id"), F.col("reason").alias("outcome"), "detail", F.lit(file_type.name).alias("file_type"))
+        sinks.append_replays(outcome, lake.replays)
+        per_file = good.groupBy(F.col(SOURCE_FILE).alias("file_path"), F.col(file_type.partition_column).alias("date")).agg(F.count("*").alias("rows"))
+        none = {"length": F.lit(None).cast("long"), "modified_at": F.lit(None).cast("timestamp"), "file_type": F.lit(file_type.name)}
+        rows = per_file.withColumns(
+            none | {FILE_DAY: files.stamp_day(base_name(decoded(F.col("file_path")))), "state": F.lit(STARTED), "reason": F.lit(REPLAYED), "batch_id": F.lit(batch_id), "recorded_at": F.current_timestamp()}
+        )
+        rows = sinks.stage(rows.select(*LEDGER.names), "replayed-files")
+        if seen["good"]:
+            sinks.append_open_batch(rows, lake.open_batches)
+            sinks.append_partitioned(quality.good(good, file_type, batch_id), lake.raw(file_type.name), file_type.partition_column)
+            sinks.append_ledger(rows.withColumns({"state": F.col("reason"), "reason": F.lit(None).cast("string")}), lake.ledger)
+            sinks.drop_partitions(spark, lake.open_batches, "batch_id", [batch_id])
+    return Row(batch_id=batch_id, loaded=seen["good"], refused=seen["rows"] - seen["good"])
+
+
 def past_batches(spark: SparkSession, lake: Lake) -> DataFrame:
     """The results of all batches that ended, from ledger and rejects."""
     ended = ledger_table(spark, lake).where(F.col("state").isin("processed", "failed")).distinct()

@@ -51,6 +51,9 @@ FUTURE_DAYS = 1
 CORRUPT = "_corrupt_record"
 SOURCE_FILE = "_source_file"
 BATCH_ID = "_batch_id"
+#: The fields of a record that no schema names, null without any.
+EXTRA = "_extra_fields"
+ANY_RECORD = MapType(StringType(), StringType())
 
 
 @dataclass(frozen=True)
@@ -79,8 +82,8 @@ class FileType:
 
     @property
     def clean_envelope(self) -> StructType:
-        """A list of envelopes whose records all have the declared shape."""
-        keys = StructType([StructField(k, ArrayType(self.record)) for k in self.root_keys])
+        """A list of envelopes whose records are all objects; of whatever fields, their values as text."""
+        keys = StructType([StructField(k, ArrayType(ANY_RECORD)) for k in self.root_keys])
         return StructType([StructField("envelopes", ArrayType(keys)), StructField(CORRUPT, StringType())])
 
     @property
@@ -92,7 +95,7 @@ class FileType:
         ]
         return StructType(
             fields
-            + [StructField(SOURCE_FILE, StringType()), StructField(BATCH_ID, StringType())]
+            + [StructField(EXTRA, ANY_RECORD), StructField(SOURCE_FILE, StringType()), StructField(BATCH_ID, StringType())]
             + [StructField(self.partition_column, DateType())]
         )
 
@@ -141,6 +144,29 @@ REJECTS = StructType(
         StructField("detail", StringType()),
         StructField("record", StringType()),
         StructField("rejected_at", TimestampType()),
+        StructField("reject_id", StringType()),
+        StructField("date", DateType()),
+        StructField("file_type", StringType()),
+    ]
+)
+
+REPLAYS = StructType(
+    [
+        StructField("reject_id", StringType()),
+        StructField("batch_id", StringType()),
+        StructField("outcome", StringType()),
+        StructField("detail", StringType()),
+        StructField("file_type", StringType()),
+    ]
+)
+
+DRIFT = StructType(
+    [
+        StructField("batch_id", StringType()),
+        StructField("date", DateType()),
+        StructField("field", StringType()),
+        StructField("type", StringType()),
+        StructField("records", LongType()),
         StructField("file_type", StringType()),
     ]
 )
@@ -204,6 +230,14 @@ class Lake:
     def ledger(self) -> str:
         return _under(self.control or self.base, "control", "ledger")
 
+    @property
+    def drift(self) -> str:
+        return _under(self.control or self.base, "control", "schema_drift")
+
+    @property
+    def replays(self) -> str:
+        return _under(self.control or self.base, "control", "replays")
+
     @property
     def open_batches(self) -> str:
         return _under(self.control or self.base, "control", "open_batches")

@@ -1,8 +1,8 @@
 """JSON envelopes: one object per file (or text value), accepted root keys, arrays of records.
 
 A file is read as bytes, decoded by its byte order mark or the zeros among its first bytes, and parsed under
-a fixed schema, so no inference pass runs and no batch can change a column's type.  A file in which
-everything has the declared shape is parsed once, records and all.  Any other is parsed again more
+a fixed schema, so no inference pass runs and no batch can change a column's type.  A file whose records
+are all objects is parsed once, records and all.  Any other is parsed again more
 patiently, so that an odd record can't spoil the others: a top-level array holds several envelopes, and
 records come as text.  Whatever follows the first JSON value makes the file corrupt; nothing of it is passed over.
 """
@@ -103,7 +103,7 @@ def stream_envelopes(
 def parse_envelopes(texts: DataFrame, file_type: FileType, text: str = "content") -> DataFrame:
     """Envelopes held as text in a column, one row each.
 
-    ``clean`` has the records by root key where all are of the declared shape.  Elsewhere it is null and a
+    ``clean`` has the records by root key where all are objects.  Elsewhere it is null and a
     column per root key has them as text; ``_corrupt_record`` has the text of a corrupt file.
     """
     content = F.col("content")

@@ -210,7 +210,7 @@ def test_sample(spark):
     df = events(spark, EXAMPLE)
     sample = latest.event_time_sample(df, 2)
     assert [r.event_type for r in sample.collect()] == ["old", "park"]
-    assert set(VEHICLE_EVENTS.table.names) == {*df.columns, "_batch_id"}
+    assert set(VEHICLE_EVENTS.table.names) == {*df.columns, "_batch_id", "_extra_fields"}
 
 
 def test_backfill_leaves_no_stale_days(spark, lake):

@@ -218,6 +218,16 @@ ORACLE: dict[str, str] = {
           - count(*) FILTER (detail IS NOT NULL) AS records_loaded,
         count(*) FILTER (detail IS NOT NULL) AS records_refused,
         count(*) FILTER (detail IS NULL) AS files_refused FROM refused WHERE reason <> 'ok'""",
+    "schema_drift": f"""WITH {_VE}, new AS (
+          SELECT arrived, 'driver' AS field, 'string' AS type FROM ve
+          UNION ALL SELECT arrived, 'speed', 'number' FROM ve WHERE event_type = 'view'
+          UNION ALL SELECT arrived, 'gear', 'integer' FROM ve WHERE event_source = 'device'
+          UNION ALL SELECT arrived, 'position', 'object' FROM ve WHERE event_source = 'sensor'
+        )
+        SELECT CAST(arrived AS VARCHAR) AS date, field, type, count(*) AS records, count(*) AS kept FROM new GROUP BY ALL""",
+    "replay_rejects": f"""WITH {_VE}, {_TAGGED}
+        SELECT date, record_reason = 'ok' AS known, count(*) AS rows FROM tagged
+        WHERE file_reason IS NULL AND (record_reason = 'ok' OR record_detail = 'event_source') GROUP BY ALL""",
     "unknown_file_rejects": f"""WITH {_VE} SELECT 'unknown_type' AS reason, 'failed' AS state,
         count(DISTINCT (arrived, event_id // 2000)) AS files FROM ve""",
     "no_events_reasons": f"""WITH {_VE} SELECT 'no table' AS "case", 'no_events' AS status, 'no_partitions' AS reason, 0 AS sample

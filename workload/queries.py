@@ -12,7 +12,7 @@ from fleetlake import workspace
 from fleetlake.functions import times
 from fleetlake.operators import files, latest, quality, sinks, unnest
 from fleetlake.plans import ingest, summary
-from fleetlake.registry import REJECTS, SUMMARY, VEHICLE_EVENTS, VEHICLE_STATUS, Lake
+from fleetlake.registry import EXTRA, REJECTS, SUMMARY, VEHICLE_EVENTS, VEHICLE_STATUS, Lake
 from fleetlake.sources import envelopes, listing, tables
 from fleetlake.streaming import ingest as stream_in
 from fleetlake.streaming import summary as stream_out
@@ -383,6 +383,27 @@ def no_events_reasons(spark, sf_dir):
     return spark.createDataFrame(rows, "case string, status string, reason string, sample long")
 
 
+def schema_drift(spark, sf_dir):
+    """New fields of every event file, by type and arrival day, as the ingest reports them; the values are in the lake."""
+    lake, folder = Lake(workspace.work_dir(spark, "drift")), workspace.work_dir(spark, "drift-landed")
+    given.land(given.drifted_envelopes(spark, sf_dir), folder)
+    ingest.run_ingest(spark, lake, folder, ingest_date=given.INGEST_DATE, recursive=True)
+    kept = _stored_events(spark, lake).select("date", F.explode(EXTRA).alias("field", "value"))
+    kept = kept.groupBy("date", "field").agg(F.count("*").alias("kept"))
+    found = ingest.schema_drift(spark, lake).join(kept, ["date", "field"])
+    return found.select(F.col("date").cast("string").alias("date"), "field", "type", "records", "kept")
+
+
+def replay_rejects(spark, sf_dir):
+    """Refused records loaded after a rule was found for events without a source, twice over: what is in the lake."""
+    lake = Lake(workspace.work_dir(spark, "replay"))
+    _ingest_defective(spark, sf_dir, lake, ingest.QUARANTINE)
+    for _ in range(2):
+        ingest.replay_rejects(spark, lake, VEHICLE_EVENTS, lambda r: r.withColumn("event_source", F.coalesce("event_source", F.lit("unknown"))))
+    events = _stored_events(spark, lake).withColumn("known", F.col("event_source") != "unknown")
+    return events.groupBy(F.col("date").cast("string").alias("date"), "known").agg(F.count("*").alias("rows"))
+
+
 def view_before_first_load(spark, sf_dir):
     """Views made over a lake that holds nothing yet show what is ingested afterwards."""
     lake = Lake(workspace.work_dir(spark, "view-first"))
@@ -570,6 +591,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         records_accounted_for,
         unknown_file_rejects,
         no_events_reasons,
+        schema_drift,
+        replay_rejects,
         stream_tie_break,
         stream_ingest_mixed_folder,
     )

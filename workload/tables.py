@@ -16,7 +16,7 @@ from fleetlake import workspace
 from fleetlake.functions import times
 from fleetlake.operators import sinks
 from fleetlake.plans import ingest, summary
-from fleetlake.registry import BATCH_ID, SOURCE_FILE, VEHICLE_EVENTS, VEHICLE_STATUS, FileType, Lake
+from fleetlake.registry import ANY_RECORD, BATCH_ID, EXTRA, SOURCE_FILE, VEHICLE_EVENTS, VEHICLE_STATUS, FileType, Lake
 from fleetlake.sources.tables import create_views, read_table
 
 INGEST_DATE = date(2024, 1, 31)
@@ -189,6 +189,24 @@ def coarse_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def drifted_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with fields that no schema names, some on some events only."""
+    events = vehicle_events(spark, sf_dir).withColumn("event_time", iso(F.col("event_time")))
+    new = {
+        "speed": F.when(F.col("event_type") == "view", F.lit(1.5)),
+        "gear": F.when(F.col("event_source") == "device", F.lit(3)),
+        "position": F.when(F.col("event_source") == "sensor", F.struct(F.lit(1).alias("x"))),
+        "driver": F.lit("d"),
+    }
+    record = F.struct(*VEHICLE_EVENTS.record.names, *new)
+    chunk = F.floor(F.col("event_id") / RECORDS_PER_FILE)
+    packed = events.withColumns(new).groupBy("date", chunk.alias("chunk")).agg(F.collect_list(record).alias("records"))
+    return packed.select(
+        arrival_path("vehicles_events", F.col("date")).alias("file_path"),
+        envelope_text("vehicles_events").alias("content"),
+    )
+
+
 def status_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every status, in files that arrive on the day of their newest report."""
     statuses = vehicle_status(spark, sf_dir).withColumn("report_time", iso(F.col("report_time")))
@@ -261,7 +279,7 @@ def as_table(records: DataFrame, file_type: FileType) -> DataFrame:
     instants = records.withColumn(
         file_type.time_column, times.utc_to_instant(F.col(file_type.time_column))
     )
-    given = {SOURCE_FILE: F.concat(F.lit("given/"), "vehicle_id"), BATCH_ID: F.lit("given")}
+    given = {SOURCE_FILE: F.concat(F.lit("given/"), "vehicle_id"), BATCH_ID: F.lit("given"), EXTRA: F.lit(None).cast(ANY_RECORD)}
     return instants.withColumns(given).select(*file_type.table.names)
 
 
