@@ -17,6 +17,7 @@ has the lowest; null labels are ignored.  Without any label all scores are one h
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -105,26 +106,29 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
     marked = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("label"))
     drawn = marked.orderBy(F.xxhash64("_id"), "_id").limit(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("_id")).select("doc_id", bytes_of(), "label")  # ``sample`` rows at most
-    rows = staged(rows, "quality-sample").repartition(SHARDS).sortWithinPartitions(F.xxhash64("doc_id"), "text")
+    # A row's shard and place go by the row alone, so that the model doesn't depend on how rows lie in files.
+    key = F.xxhash64("doc_id", "text")
+    rows = staged(rows.withColumns({"shard": F.pmod(key, F.lit(SHARDS)).cast("int"), "key": key}), "quality-sample")
+    rows = rows.repartition(SHARDS, "shard").sortWithinPartitions("shard", "key", "doc_id", "text")
     weights, squares = np.zeros((1 << BITS) + 1, np.float32), np.zeros((1 << BITS) + 1, np.float32)
     for _ in range(ROUNDS):
         state = spark.sparkContext.broadcast((weights, squares))
 
         def fit(batches: Iterable[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
-            leader, seen = Leader(*state.value), 0
-            for batch in batches:
-                for at in range(0, batch.num_rows, MINI_BATCH):
-                    some = batch.slice(at, MINI_BATCH)
-                    leader.update(texts(some), some.column("label").to_numpy().astype(float))
-                    seen += some.num_rows
-            if seen:
+            for shard, parts in groupby(_mini_batches(batches), key=lambda m: m[0]):
+                leader, seen = Leader(*state.value), 0
+                for _, some, labels_ in parts:
+                    leader.update(some, np.array(labels_, float))
+                    seen += len(some)
                 yield pa.RecordBatch.from_pydict(
-                    {"seen": [seen], "w": [leader.w.astype(np.float32).tobytes()], "n": [leader.n.astype(np.float32).tobytes()]}
+                    {"shard": [shard], "seen": [seen], "w": [leader.w.astype(np.float32).tobytes()], "n": [leader.n.astype(np.float32).tobytes()]},
+                    schema=_SHARD,
                 )
 
-        shards = rows.mapInArrow(fit, "seen long, w binary, n binary").collect()  # SHARDS rows at most
+        shards = rows.mapInArrow(fit, "shard int, seen long, w binary, n binary").collect()  # SHARDS rows at most
         if not shards:
             break
+        shards.sort(key=lambda r: r.shard)
         share = np.array([r.seen for r in shards]) / sum(r.seen for r in shards)
         weights = sum(s * np.frombuffer(r.w, np.float32) for s, r in zip(share, shards, strict=True)).astype(np.float32)
         squares = sum(s * np.frombuffer(r.n, np.float32) for s, r in zip(share, shards, strict=True)).astype(np.float32)
@@ -132,6 +136,24 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
     return weights
 
 
+_SHARD = pa.schema([("shard", pa.int32()), ("seen", pa.int64()), ("w", pa.binary()), ("n", pa.binary())])
+
+
+def _mini_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes], list[int]]]:
+    """Shard, texts and labels of each mini-batch, whatever batches the rows come in."""
+    shard, some, labels = -1, [], []
+    for batch in batches:
+        for number, text, label in zip(batch.column("shard").to_pylist(), texts(batch), batch.column("label").to_pylist(), strict=True):
+            if some and (number != shard or len(some) == MINI_BATCH):
+                yield shard, some, labels
+                some, labels = [], []
+            shard = number
+            some.append(text)
+            labels.append(label)
+    if some:
+        yield shard, some, labels
+
+
 def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     """``row``, a struct of the columns of ``docs``, and ``score``, the probability of label 1."""
     given = docs.sparkSession.sparkContext.broadcast(weights)

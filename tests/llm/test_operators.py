@@ -445,3 +445,14 @@ def test_line_templates(spark, odd, nothing):
     assert lines.without_recurring(nothing).count() == 0
 
 
+
+
+def test_quality_scores_do_not_depend_on_the_layout(spark):
+    texts = [" ".join(words(30 + k % 50, k, 40 if k % 3 else 900)) for k in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(5, texts[5])], "doc_id long, text string")
+    marked = spark.createDataFrame([(k, int(k % 3 > 0)) for k in range(0, 200, 2)], "doc_id long, quality int")
+    found = []
+    for n in (1, 4, 9):
+        weights = quality.train(docs.repartition(n), marked.repartition(n))
+        found.append(sorted((r.row.doc_id, r.score) for r in quality.score(docs, weights).collect()))
+    assert found[0] == found[1] == found[2]
