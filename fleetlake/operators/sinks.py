@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fleetlake import workspace
-from fleetlake.registry import DRIFT, FILE_DAY, LEDGER, MARKS, REJECTS, REPLAYS, STORED_SUMMARY, changes_of
+from fleetlake.registry import DRIFT, EVENT_DAYS, FILE_DAY, LEDGER, MARKS, REJECTS, REPLAYS, STORED_SUMMARY, changes_of
 from fleetlake.sources.tables import NO_VALUE, read_table
 
 
@@ -65,8 +65,13 @@ def has_files(spark: SparkSession, path: str, column: str, value: str) -> bool:
 
 def partitions(spark: SparkSession, path: str, column: str) -> list[str]:
     """The partition values of a table that have files, by a listing of its folders."""
+    return [v for v in folders(spark, path, column) if has_files(spark, path, column, v)]
+
+
+def folders(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The partition values of a table, by its folders alone."""
     names = (s.getPath().getName().split("=", 1)[1] for s in _matching(spark, f"{path}/{column}=*"))
-    return sorted(v for v in names if v != NO_VALUE and has_files(spark, path, column, v))
+    return sorted(v for v in names if v != NO_VALUE)
 
 
 def _matching(spark: SparkSession, pattern: str):
@@ -116,6 +121,10 @@ def append_rejects(df: DataFrame, path: str) -> None:
     _append(df, path, REJECTS, "file_type")
 
 
+def append_event_days(df: DataFrame, path: str) -> None:
+    _append(df, path, EVENT_DAYS, "file_type")
+
+
 def append_drift(df: DataFrame, path: str) -> None:
     _append(df, path, DRIFT, "file_type")
 

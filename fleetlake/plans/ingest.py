@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 
 from fleetlake.functions import times
 from fleetlake.functions.names import base_name, decoded
-from fleetlake.operators import counters, drift, files, quality, sinks
+from fleetlake.operators import counters, drift, event_days, files, quality, sinks
 from fleetlake.operators.unnest import fields_of, unnest
 from fleetlake.registry import (
     ANY_RECORD,
@@ -212,6 +212,7 @@ def load_batch(
     if loaded:
         sinks.append_open_batch(_started(rows), lake.open_batches)
         good = quality.good(tagged, file_type, batch_id)
+        event_days.record(lake, good, file_type, batch_id)
         sinks.append_partitioned(good, lake.raw(file_type.name), file_type.partition_column)
     result = Row(batch_id=batch_id, file_type=file_type.name, **_write_ledger(lake, rows), **refused)
     sinks.drop_partitions(spark, lake.open_batches, "batch_id", [batch_id])
@@ -483,7 +484,9 @@ def replay_rejects(
         rows = sinks.stage(rows.select(*LEDGER.names), "replayed-files")
         if seen["good"]:
             sinks.append_open_batch(rows, lake.open_batches)
-            sinks.append_partitioned(quality.good(good, file_type, batch_id), lake.raw(file_type.name), file_type.partition_column)
+            rows_ = quality.good(good, file_type, batch_id)
+            event_days.record(lake, rows_, file_type, batch_id)
+            sinks.append_partitioned(rows_, lake.raw(file_type.name), file_type.partition_column)
             sinks.append_ledger(rows.withColumns({"state": F.col("reason"), "reason": F.lit(None).cast("string")}), lake.ledger)
             sinks.drop_partitions(spark, lake.open_batches, "batch_id", [batch_id])
     return Row(batch_id=batch_id, loaded=seen["good"], refused=seen["rows"] - seen["good"])

@@ -21,7 +21,7 @@ from pyspark.sql.types import (
 )
 
 from fleetlake.functions import times
-from fleetlake.operators import latest, quality, sinks
+from fleetlake.operators import event_days, latest, quality, sinks
 from fleetlake.registry import (
     LATENESS_HOURS,
     LOOKBACK_DAYS,
@@ -309,7 +309,7 @@ def run_backfill(
     any other day the raw events may be gone, so what is stored is kept and only added to; the result names
     these days in ``kept_days``.  ``replace_all`` replaces them as well.
     """
-    events = events_table(spark, lake)
+    events = _events_of_days(spark, lake, first_day, last_day, lookback_days)
     window, seen = _checked(backfill_events(events, first_day, last_day, lookback_days), tie_break)
     rebuilt = merge_latest(spark.createDataFrame([], STORED_SUMMARY), candidates(window, tie_break))
     rebuilt = sinks.stage(rebuilt, "summary-backfill")
@@ -330,6 +330,16 @@ def run_backfill(
     return SummaryResult("success", rows, first_day, last_day, kept_days=tuple(kept))
 
 
+def _events_of_days(spark: SparkSession, lake: Lake, first_day: date, last_day: date, lookback_days: int | None) -> DataFrame:
+    """The arrival partitions that can hold events of the range; other partitions are not even listed."""
+    arrived = event_days.partitions_with(spark, lake, VEHICLE_EVENTS, first_day, last_day)
+    if arrived is None:
+        return events_table(spark, lake)
+    until = None if lookback_days is None else (last_day + timedelta(days=lookback_days)).isoformat()
+    wanted = [date.fromisoformat(d) for d in arrived if d >= first_day.isoformat() and (until is None or d < until)]
+    return events_arrived(spark, lake, wanted) if wanted else spark.createDataFrame([], VEHICLE_EVENTS.table)
+
+
 def _arrived(spark: SparkSession, events: DataFrame, lake: Lake, days: Sequence[str]) -> set[str]:
     """Those of the days whose arrival partitions hold files; a streamed table is asked for its rows."""
     path = lake.raw(VEHICLE_EVENTS.name)

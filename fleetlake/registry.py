@@ -160,6 +160,17 @@ REPLAYS = StructType(
     ]
 )
 
+#: Which event days a batch brought to an arrival partition; unknown for rows from before the index.
+EVENT_DAYS = StructType(
+    [
+        StructField("date", DateType()),
+        StructField("first_day", DateType()),
+        StructField("last_day", DateType()),
+        StructField("batch_id", StringType()),
+        StructField("file_type", StringType()),
+    ]
+)
+
 DRIFT = StructType(
     [
         StructField("batch_id", StringType()),
@@ -230,6 +241,10 @@ class Lake:
     def ledger(self) -> str:
         return _under(self.control or self.base, "control", "ledger")
 
+    @property
+    def event_days(self) -> str:
+        return _under(self.control or self.base, "control", "event_days")
+
     @property
     def drift(self) -> str:
         return _under(self.control or self.base, "control", "schema_drift")
