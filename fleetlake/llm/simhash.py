@@ -179,7 +179,7 @@ def _joined(parts: list[tuple[np.ndarray, ...]]) -> Iterator[tuple[int, int, np.
 def _classes(marked: DataFrame, best: Column, radius: int) -> DataFrame:
     """For each ``fp`` of ``marked`` the smallest ``best`` of all rows that it reaches."""
     distinct = staged(marked.groupBy("fp").agg(best.alias("best")), "simhash-distinct")
-    roots = components(links(distinct, radius))
+    roots = components(staged(links(distinct, radius), "simhash-links"))  # compared once; a forest, so no more links than prints
     classes = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "best", F.coalesce("root", "fp").alias("root"))
     return classes.join(classes.groupBy("root").agg(F.min("best").alias("least")), "root").select("fp", F.col("least").alias("best"))
 
