@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -97,6 +98,18 @@ def stage_counted(df: DataFrame, label: str, **facts: Column) -> tuple[DataFrame
     return stage(rows, label), written.get
 
 
+def stage_parts_counted(parts: Iterable[DataFrame], label: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """The same for one table in several parts of one schema, each a job of its own; the counts are added up."""
+    path, totals = None, Counter()
+    for part in parts:
+        path = path or workspace.work_dir(part.sparkSession, label)
+        written = Observation()
+        rows = part.observe(written, F.count(F.lit(1)).alias("rows"), *(c.alias(name) for name, c in counts.items()))
+        rows.write.mode("append").parquet(path)
+        totals.update(written.get)
+    return read_table(part.sparkSession, path, part.schema), dict(totals)
+
+
 def replace_partitions(table: DataFrame, keep: Column, path: str, column: str, values: Sequence[str]) -> None:
     """Rewrites partitions of the table at ``path`` with what ``keep`` keeps of them; emptied ones go."""
     left = stage(table.where(keep), "kept-rows")

@@ -10,10 +10,9 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +47,8 @@ QUARANTINE = "quarantine"
 STARTED, REPLAYED = "started", "replayed"
 #: Paths given to one reader; nothing else depends on it.
 FILES_PER_READ = 20_000
+#: Readers that one job reads with; a batch of more takes several jobs, one after the other.
+READERS_PER_JOB = 16
 #: How far behind the mark an incremental run still looks, for clocks that differ and slow uploads.
 OVERLAP = timedelta(days=1)
 #: Files that a day of the ledger may consist of before they are gathered.
@@ -164,10 +165,22 @@ def _write_ledger(lake: Lake, ledger: DataFrame) -> dict[str, int]:
     return seen.get
 
 
-def _read(spark: SparkSession, paths: Sequence[str], file_type: FileType, files_per_read: int) -> DataFrame | None:
-    """All the files as one frame; a reader gets so many paths at most."""
-    chunks = (paths[k : k + files_per_read] for k in range(0, len(paths), files_per_read))
-    return reduce(DataFrame.unionByName, (read_envelopes(spark, c, file_type) for c in chunks)) if paths else None
+def _tagged_parts(
+    spark: SparkSession, listed: DataFrame, file_type: FileType, ingest_date: Column | None, files_per_read: int
+) -> Iterator[DataFrame]:
+    """The tagged records of all the files, those of some readers at a time; at least one part, with the empty files.
+
+    Every task reports on all readers of its job, so what the driver gets would grow with the square of their number.
+    """
+    paths = [row.path for row in listed.where("length > 0").select("path").collect()]
+    step = files_per_read * READERS_PER_JOB
+    for k in range(0, max(len(paths), 1), step):
+        if paths:
+            envelopes = read_envelopes(spark, paths[k : k + step], file_type, files_per_read)
+        else:
+            envelopes = parse_envelopes(spark.createDataFrame([], "file_path string, content string"), file_type)
+        tagged = tagged_records(envelopes, file_type, ingest_date)
+        yield tagged if k else tagged.unionByName(_empty_files(listed, tagged.schema))
 
 
 def _empty_files(listed: DataFrame, shape: StructType) -> DataFrame:
@@ -193,13 +206,8 @@ def load_batch(
     out; under ``quarantine`` only what is bad stays out.  The batch is open before the load starts and
     until the ledger has its files, so that a crash on the way can be settled.
     """
-    paths = [row.path for row in listed.where("length > 0").select("path").collect()]
-    envelopes = _read(spark, paths, file_type, files_per_read)
-    if envelopes is None:
-        envelopes = parse_envelopes(spark.createDataFrame([], "file_path string, content string"), file_type)
-    tagged = tagged_records(envelopes, file_type, ingest_date)
-    tagged = tagged.unionByName(_empty_files(listed, tagged.schema))
-    tagged, facts = sinks.stage_counted(tagged, "records", unknown=F.count(EXTRA))
+    parts = _tagged_parts(spark, listed, file_type, ingest_date, files_per_read)
+    tagged, facts = sinks.stage_parts_counted(parts, "records", unknown=F.count(EXTRA))
     counts, seen = sinks.stage_counted(_file_counts(listed, tagged), "file-counts", bad=F.sum("bad"))
     clean = not seen["bad"]
     loaded = clean or policy == QUARANTINE

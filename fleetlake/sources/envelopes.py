@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,13 +70,15 @@ def _texts(files: DataFrame) -> DataFrame:
         return files.select(F.col("_metadata.file_path").alias("file_path"), _text_of(F.col("content")).alias("content"))
 
 
-def read_envelopes(spark: SparkSession, paths: Sequence[str], file_type: FileType) -> DataFrame:
-    """Exactly the given files, as ``parse_envelopes`` has them.
+def read_envelopes(spark: SparkSession, paths: Sequence[str], file_type: FileType, files_per_read: int | None = None) -> DataFrame:
+    """Exactly the given files, as ``parse_envelopes`` has them; a reader gets ``files_per_read`` paths at most.
 
     Raises if a path does not exist.
     """
-    files = spark.read.format("binaryFile").load([literal_path(p) for p in paths])
-    return parse_envelopes(_texts(files), file_type)
+    step = files_per_read or len(paths)
+    readers = (paths[k : k + step] for k in range(0, len(paths), step))
+    texts = (_texts(spark.read.format("binaryFile").load([literal_path(p) for p in r])) for r in readers)
+    return parse_envelopes(reduce(DataFrame.unionByName, texts), file_type)
 
 
 def read_envelope_folder(

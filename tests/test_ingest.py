@@ -194,6 +194,21 @@ def test_readers_do_not_change_what_is_loaded(spark, lake, incoming, files_per_r
         assert reason == {"batch_failed", "null_required"}
 
 
+@pytest.mark.parametrize("bad", [False, True])
+def test_many_readers_take_several_jobs_and_one_decision(spark, lake, incoming, monkeypatch, bad):
+    readers, read = [], ingest.read_envelopes
+    monkeypatch.setattr(ingest, "READERS_PER_JOB", 2)
+    monkeypatch.setattr(ingest, "read_envelopes", lambda s, paths, *more: readers.append(len(paths)) or read(s, paths, *more))
+    for minute in range(7):
+        incoming.events(f"202511081200{minute:02}", event(f"V{minute}", extra=1))
+    incoming.put("vehicles_events_20251108120100.json", "" if bad else {"vehicles_events": [event("V7")]})
+    totals = run_ingest(spark, lake, str(incoming), files_per_read=1, raise_on_failure=False).first()
+    assert readers == ([2, 2, 2, 1] if bad else [2, 2, 2, 2])
+    assert (totals.total_processed, totals.total_failed, totals.rows_loaded) == ((0, 8, 0) if bad else (8, 0, 8))
+    assert events_of(spark, lake).count() == totals.rows_loaded
+    assert sum(r.records for r in ingest.schema_drift(spark, lake).collect()) == (0 if bad else 7)
+
+
 def test_file_without_stamp_gets_the_ingest_date(spark, lake, incoming):
     incoming.put("backup vehicle_events 20.json", {"vehicle_events": [event()]})
     run_ingest(spark, lake, str(incoming), ingest_date=date(2025, 12, 24))
