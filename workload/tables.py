@@ -6,6 +6,8 @@ arrives, how its file is named); none of them selects rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date
 from functools import cache
 
@@ -22,6 +24,9 @@ from fleetlake.sources.tables import create_views, read_table
 INGEST_DATE = date(2024, 1, 31)
 RECORDS_PER_FILE = 2000
 SECONDS_PER_DAY = 86400
+#: Files that a Python task holds at a time when it writes them.
+LAND_BATCH = 16
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 # Files that arrived on these days are broken in these ways.
 TRUNCATED_DAY = "2024-01-10"
@@ -236,6 +241,17 @@ def defective_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """What is planned in here hands Python ``LAND_BATCH`` rows at a time; rows of whole files are large."""
+    before = spark.conf.get(_ARROW_ROWS)
+    spark.conf.set(_ARROW_ROWS, str(LAND_BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ARROW_ROWS, before)
+
+
 def land(envelopes: DataFrame, folder: str) -> None:
     """Writes each envelope, text or bytes, as a file of its own name.  Writing one twice gives the same file."""
     root = "file:///" + folder[5:].lstrip("/") if folder.startswith("file:") else folder
@@ -245,14 +261,15 @@ def land(envelopes: DataFrame, folder: str) -> None:
 
         filesystem, base = fs.FileSystem.from_uri(root)
         for batch in batches:
-            for path, content in zip(batch["file_path"], batch["content"]):
+            for path, content in zip(batch["file_path"].to_pylist(), batch["content"]):
                 filesystem.create_dir(f"{base}/{path}".rsplit("/", 1)[0], recursive=True)
                 with filesystem.open_output_stream(f"{base}/{path}") as out:
-                    out.write(content.encode() if isinstance(content, str) else content)
-            yield batch[["file_path"]]
+                    out.write(content.as_buffer())
+            yield batch.select(["file_path"])
 
-    landed_paths = envelopes.mapInPandas(write, "file_path string")
-    landed_paths.write.format("noop").mode("overwrite").save()
+    landed_paths = envelopes.select("file_path", "content").mapInArrow(write, "file_path string")
+    with _small_batches(envelopes.sparkSession):
+        landed_paths.write.format("noop").mode("overwrite").save()
 
 
 # --- what later queries start from -----------------------------------------------------------
