@@ -10,14 +10,14 @@ records come as text.  Whatever follows the first JSON value makes the file corr
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from fleetlake import workspace
 from fleetlake.functions.names import base_name, decoded
 from fleetlake.registry import CORRUPT, FileType
 
@@ -35,15 +35,9 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
-@contextmanager
-def _lenient_decoding(spark: SparkSession) -> Iterator[None]:
+def _lenient_decoding(spark: SparkSession):
     """What is analysed in here replaces malformed characters; otherwise one bad file would end a whole job."""
-    before = spark.conf.get(_LENIENT, None)
-    spark.conf.set(_LENIENT, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(_LENIENT) if before is None else spark.conf.set(_LENIENT, before)
+    return workspace.configured(spark, _LENIENT, "true")
 
 
 def _text_of(content: Column) -> Column:
@@ -77,7 +71,8 @@ def read_envelopes(spark: SparkSession, paths: Sequence[str], file_type: FileTyp
     """
     step = files_per_read or len(paths)
     readers = (paths[k : k + step] for k in range(0, len(paths), step))
-    texts = (_texts(spark.read.format("binaryFile").load([literal_path(p) for p in r])) for r in readers)
+    with workspace.few_listing_tasks(spark):
+        texts = [_texts(spark.read.format("binaryFile").load([literal_path(p) for p in r])) for r in readers]
     return parse_envelopes(reduce(DataFrame.unionByName, texts), file_type)
 
 

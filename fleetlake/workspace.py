@@ -8,9 +8,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+_LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 
 class NoSharedFolder(RuntimeError):
     """The session names no folder that all executors can reach."""
@@ -28,3 +32,23 @@ def shared_root(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh path for one run; nothing is created until Spark writes to it."""
     return f"{shared_root(spark)}/fleetlake/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def configured(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """What is planned in here sees a setting; the session has its own again afterwards."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def few_listing_tasks(spark: SparkSession):
+    """In here Spark looks up the given paths with four tasks a core instead of one a path; fewer, if set so.
+
+    A micro-batch looks its files up as well, so a stream has to run in here as a whole.
+    """
+    tasks = min(int(spark.conf.get(_LISTING_TASKS)), 4 * spark.sparkContext.defaultParallelism)
+    return configured(spark, _LISTING_TASKS, str(tasks))

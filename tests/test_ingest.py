@@ -241,6 +241,21 @@ def test_ledger_is_recovered_from_the_lake(spark, lake, incoming):
     assert ingest.recover_ledger(spark, lake, VEHICLE_EVENTS, [date(2025, 11, 8)]).count() == 0
 
 
+def test_given_paths_are_looked_up_by_few_tasks(spark, incoming):
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, tracker = spark.conf.get(key), spark.sparkContext.statusTracker()
+    paths = [incoming.events(f"20251108{minute // 60:02}{minute % 60:02}00", event(f"V{minute}")) for minute in range(60)]
+    spark.sparkContext.setJobGroup("few-listing-tasks", "paths given to a reader")
+    try:
+        read = read_envelopes(spark, paths, VEHICLE_EVENTS)
+        stages = [s for job in tracker.getJobIdsForGroup("few-listing-tasks") for s in tracker.getJobInfo(job).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [tracker.getStageInfo(s).numTasks for s in stages] == [4 * spark.sparkContext.defaultParallelism]
+    assert read.count() == 60
+    assert spark.conf.get(key) == before
+
+
 def test_only_listed_paths_are_read(spark, incoming):
     listed = [incoming.events(S1, event()), incoming.events(S2, event("V2"))]
     incoming.events(S3, event("V3"))

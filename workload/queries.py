@@ -491,10 +491,9 @@ def stream_ingest(spark, sf_dir):
     """The landed event files as a stream, run twice over the same checkpoint."""
     folder = workspace.work_dir(spark, "stream-ingest")
     for _ in range(2):
-        query = stream_in.ingest_stream(
-            _tagged_stream(spark, sf_dir), VEHICLE_EVENTS, f"{folder}/events", f"{folder}/checkpoint"
-        )
-        query.awaitTermination()
+        tagged = _tagged_stream(spark, sf_dir)
+        with workspace.few_listing_tasks(spark):
+            stream_in.ingest_stream(tagged, VEHICLE_EVENTS, f"{folder}/events", f"{folder}/checkpoint").awaitTermination()
     return _rows_per_date(tables.read_table(spark, f"{folder}/events", VEHICLE_EVENTS.table))
 
 
@@ -517,7 +516,8 @@ def stream_daily_summary(spark, sf_dir):
     third = -(-listing.list_incoming(spark, source).count() // 3)
     tagged = stream_in.tagged_stream(spark, source, VEHICLE_EVENTS, "vehicles_events_*.json", max_files_per_trigger=third)
     changes = stream_out.last_per_vehicle_day_stream(quality.good(tagged, VEHICLE_EVENTS), ANY_ORDER)
-    stream_out.summary_stream(changes, f"{folder}/summary", f"{folder}/checkpoint").awaitTermination()
+    with workspace.few_listing_tasks(spark):
+        stream_out.summary_stream(changes, f"{folder}/summary", f"{folder}/checkpoint").awaitTermination()
     summary.compact_summary(spark, f"{folder}/summary", before=date(2024, 1, 16))
     return _stored_summary(spark, f"{folder}/summary")
 
@@ -531,7 +531,8 @@ def stream_tie_break(spark, sf_dir):
     tagged = stream_in.tagged_stream(spark, source, VEHICLE_EVENTS, max_files_per_trigger=third)
     by = ("event_source", "event_type")
     changes = stream_out.last_per_vehicle_day_stream(quality.good(tagged, VEHICLE_EVENTS), ANY_ORDER, by)
-    stream_out.summary_stream(changes, f"{folder}/summary", f"{folder}/checkpoint").awaitTermination()
+    with workspace.few_listing_tasks(spark):
+        stream_out.summary_stream(changes, f"{folder}/summary", f"{folder}/checkpoint").awaitTermination()
     return _stored_summary(spark, f"{folder}/summary")
 
 

@@ -6,8 +6,6 @@ arrives, how its file is named); none of them selects rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
 from datetime import date
 from functools import cache
 
@@ -241,17 +239,6 @@ def defective_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@contextmanager
-def _small_batches(spark: SparkSession) -> Iterator[None]:
-    """What is planned in here hands Python ``LAND_BATCH`` rows at a time; rows of whole files are large."""
-    before = spark.conf.get(_ARROW_ROWS)
-    spark.conf.set(_ARROW_ROWS, str(LAND_BATCH))
-    try:
-        yield
-    finally:
-        spark.conf.set(_ARROW_ROWS, before)
-
-
 def land(envelopes: DataFrame, folder: str) -> None:
     """Writes each envelope, text or bytes, as a file of its own name.  Writing one twice gives the same file."""
     root = "file:///" + folder[5:].lstrip("/") if folder.startswith("file:") else folder
@@ -268,7 +255,7 @@ def land(envelopes: DataFrame, folder: str) -> None:
             yield batch.select(["file_path"])
 
     landed_paths = envelopes.select("file_path", "content").mapInArrow(write, "file_path string")
-    with _small_batches(envelopes.sparkSession):
+    with workspace.configured(envelopes.sparkSession, _ARROW_ROWS, str(LAND_BATCH)):
         landed_paths.write.format("noop").mode("overwrite").save()
 
 
