@@ -13,6 +13,9 @@ from fleetlake import workspace
 from fleetlake.registry import DRIFT, EVENT_DAYS, FILE_DAY, LEDGER, MARKS, REJECTS, REPLAYS, STORED_SUMMARY, changes_of
 from fleetlake.sources.tables import NO_VALUE, read_table
 
+#: Files that a task of a partitioned write has open at a time.
+OPEN_WRITERS = 16
+
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """Counts rows as they are written, so that no rescan is needed.
@@ -23,6 +26,15 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(written, F.count(F.lit(1)).alias("rows")), written
 
 
+def _open_writers(spark: SparkSession):
+    """A write in here sorts no rows until a task has more than ``OPEN_WRITERS`` partitions, and then the others only.
+
+    A rebalanced task has few partitions, and its rows in memory, to be sorted, take many times what they take as
+    Parquet.
+    """
+    return workspace.configured(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_WRITERS))
+
+
 def append_partitioned(
     df: DataFrame, path: str, partition: str = "date", by_partition: bool = True
 ) -> int:
@@ -34,19 +46,21 @@ def append_partitioned(
     """
     laid_out = df.hint("rebalance", F.col(partition)) if by_partition else df
     rows, written = _counted(laid_out)
-    rows.write.mode("append").partitionBy(partition).parquet(path)
+    with _open_writers(df.sparkSession):
+        rows.write.mode("append").partitionBy(partition).parquet(path)
     return written.get["rows"]
 
 
 def overwrite_days(df: DataFrame, path: str, partition: str = "day") -> int:
     """Replaces the days present in ``df`` and leaves all others alone; returns the row count."""
     rows, written = _counted(df.hint("rebalance", F.col(partition)))
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    with _open_writers(df.sparkSession):
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition)
+            .parquet(path)
+        )
     return written.get["rows"]
 
 

@@ -107,10 +107,12 @@ def reject_rows(tagged: DataFrame, file_type: str, batch_id: str | None) -> Data
 
 def _file_counts(listed: DataFrame, tagged: DataFrame) -> DataFrame:
     """Good and bad rows of every listed file, also of those without records, and why the first bad one is."""
+    # By reason first: numbers are added up in a hash table, where the least text of all records would have them sorted.
+    per_reason = tagged.groupBy(F.col(SOURCE_FILE).alias("file_path"), "reason").agg(F.count("*").alias("n"))
     bad = F.col("reason") != quality.OK
-    counts = tagged.groupBy(F.col(SOURCE_FILE).alias("file_path")).agg(
-        F.count_if(~bad).alias("good"),
-        F.count_if(bad).alias("bad"),
+    counts = per_reason.groupBy("file_path").agg(
+        F.sum(F.when(~bad, F.col("n")).otherwise(0)).alias("good"),
+        F.sum(F.when(bad, F.col("n")).otherwise(0)).alias("bad"),
         F.min(F.when(bad, F.col("reason"))).alias("first_reason"),
     )
     return listed.join(counts, "file_path", "left").fillna(0, ["good", "bad"])

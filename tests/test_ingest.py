@@ -7,6 +7,7 @@ from datetime import date, datetime
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from fleetlake.functions import times
@@ -241,6 +242,31 @@ def test_ledger_is_recovered_from_the_lake(spark, lake, incoming):
     assert ingest.recover_ledger(spark, lake, VEHICLE_EVENTS, [date(2025, 11, 8)]).count() == 0
 
 
+def test_records_are_counted_without_sorting_them(spark):
+    rows = [("a", "ok"), ("a", "ok"), ("a", "null_required"), ("a", "bad_record"), ("b", "ok")]
+    tagged = spark.createDataFrame(rows, "_source_file string, reason string")
+    listed = spark.createDataFrame([("a",), ("b",), ("c",)], "file_path string")
+    counts = ingest._file_counts(listed, tagged)
+    expected = {"a": (2, 2, "bad_record"), "b": (1, 0, None), "c": (0, 0, None)}
+    assert {r.file_path: (r.good, r.bad, r.first_reason) for r in counts.collect()} == expected
+    plan = counts._jdf.queryExecution().sparkPlan().toString().splitlines()
+    assert "HashAggregate" in [line for line in plan if "Aggregate" in line][-1]  # the one next to the records
+
+
+@pytest.mark.parametrize("dates", [3, 40])
+def test_a_partitioned_write_keeps_few_files_open_and_sorts_only_beyond(spark, tmp_path, monkeypatch, dates):
+    key, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *a, **k: seen.append(spark.conf.get(key)) or write(*a, **k))
+    before = spark.conf.get(key)
+    rows = spark.range(400, numPartitions=1).selectExpr("id", f"date_add(date'2025-01-01', int(id % {dates})) AS day")
+    assert sinks.append_partitioned(rows, str(tmp_path / "t"), "day", by_partition=False) == 400
+    assert sinks.overwrite_days(rows, str(tmp_path / "t")) == 400
+    assert seen == [str(sinks.OPEN_WRITERS)] * 2
+    assert spark.conf.get(key) == before
+    stored = read_table(spark, str(tmp_path / "t"), rows.schema)
+    assert sorted(stored.collect()) == sorted(rows.collect())
+
+
 def test_given_paths_are_looked_up_by_few_tasks(spark, incoming):
     key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
     before, tracker = spark.conf.get(key), spark.sparkContext.statusTracker()
