@@ -172,7 +172,7 @@ class _Merged:
                 spans.append((own, s, s + n + window - 1))
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1).compress
+        squeeze = zstandard.ZstdCompressor(level=3).compress
         strings = list(self.seen)
         order = np.argsort(np.array(self.bucket_of, np.int64), kind="stable")
         sorted_buckets = np.array(self.bucket_of, np.int64)[order]
