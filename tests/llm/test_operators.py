@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -271,6 +272,53 @@ def test_language_model_tail(spark, monkeypatch):
         assert math.isclose(r.base_score, sum(math.log10((c[w] + 0.5) / (100 + 0.5 * 24)) for w in t))
 
 
+def test_language_model_finds_head_words(monkeypatch):
+    long = [b"a" * k for k in (7, 8, 9, 16, 17, 40)] + [b"b" * 20 + x + b"c" * 20 for x in (b"x", b"y")]
+    number = {w: k for k, w in enumerate([language_model.END, *(f"w{k}".encode() for k in range(5000)), *long])}
+    texts = [b" ".join([*number, *(f"W{k}".encode() for k in range(4000, 6000)), b"b" * 20 + b"z" + b"c" * 20]), b"", b"\x00 w1\x00"]
+    v = language_model.Vocabulary(number, np.zeros(len(number) + 1, int), *[np.zeros(len(number))] * 3, 1, 1, 1.0)
+    wanted = [number.get(w, -1) for t in texts for w in [*t.lower().split(), language_model.END]]
+    tails = [(d, w) for d, t in enumerate(texts) for w in t.lower().split() if w not in number]
+    for hashes in (language_model.Tokens.hashes, lambda tokens: tokens.raw[tokens.start] * np.uint64(1 << 40)):  # the second: many words share one
+        monkeypatch.setattr(language_model.Tokens, "hashes", hashes)
+        found = language_model.histories(texts, v)
+        of, words = found.tails()
+        assert found.number.tolist() == wanted and list(zip(of.tolist(), words.to_pylist(), strict=True)) == tails
+        v.__dict__.pop("heads")
+    v = language_model.Vocabulary({}, np.zeros(1, int), *[np.zeros(0)] * 3, 0, 0, 0.5)
+    assert language_model.histories([b"a b", b""], v).tails()[1].to_pylist() == [b"a", b"b", b"\n", b"\n"]
+
+
+def test_language_model_sums_rows_in_less_time():
+    rng = np.random.default_rng(5)
+    rows = 1 << language_model.BITS
+    buckets = rng.zipf(1.25, language_model.MINI_BATCH) * 7919 % rows  # most have one row, some hundreds
+    off = rng.random((len(buckets), language_model.CLASSES), np.float32)
+
+    def plain():
+        order = np.argsort(buckets.astype(np.uint16), kind="stable")
+        begin = np.flatnonzero(np.concatenate([[True], np.diff(buckets[order]) > 0]))
+        counts = np.diff(begin, append=len(order))
+        g = np.take(off, order[begin], axis=0)
+        several = np.take(off, order[np.repeat(counts > 1, counts)], axis=0)
+        g[counts > 1] = np.add.reduceat(several, (np.cumsum(counts[counts > 1]) - counts[counts > 1]), axis=0)
+        return buckets[order][begin], g
+
+    def least(sums):
+        spent = []
+        for _ in range(15):
+            began = time.process_time()
+            there, g = sums()
+            spent.append(time.process_time() - began)
+        by_bucket = np.argsort(there)
+        return min(spent), there[by_bucket], g[by_bucket]
+
+    slow, there, wanted = least(plain)
+    fast, found, g = least(lambda: language_model._summed(buckets, off))
+    assert (found == there).all() and np.allclose(g, wanted, rtol=1e-4)
+    assert fast < 0.75 * slow
+
+
 # --- mixing -----------------------------------------------------------------------------------
 
 
