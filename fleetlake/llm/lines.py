@@ -32,6 +32,8 @@ MIN_SPREAD = 0.4
 SIMILARITY = 0.6
 #: Parts into which the lines of one template or leaf are dealt for a join.
 SALTS = 16
+#: Lines of a leaf that one task may count by itself; the counts of larger leaves are put together from many tasks.
+WHOLE = 20_000
 #: Hash classes of leaves by which lines are sifted before a join.
 FLAGS = 65_536
 
@@ -61,22 +63,24 @@ def _parsed(line: Column) -> Column:
 
 
 def parsed_lines(docs: DataFrame) -> DataFrame:
-    """One row per line: its document, number, masked form, leaf and surroundings."""
-    placed = lambda lows, x, i: F.struct(
+    """One row per line: its document, number, masked form, leaf and surroundings (numbers, which take less room than digits)."""
+    placed = lambda lows, numbers, x, i: F.struct(
         i.alias("line_no"),
         x["masked"].alias("masked"),
         F.xxhash64(x["masked"]).alias("template"),
         x["n"].alias("n"),
         x["leaf"].alias("leaf"),
         *(
-            F.when(F.substring(x["head"], *part) == lows[k][0], F.get(lows[k], F.lit(1))).otherwise(lows[k][0]).alias(f"around_{k}")
+            F.when(F.substring(x["head"], *part) == lows[k][0], F.get(numbers[k], F.lit(1))).otherwise(numbers[k][0]).alias(f"around_{k}")
             for k, part in enumerate(_PARTS)
         ),
     )
     heads = lambda every, part: F.array_compact(F.transform(every, lambda x: F.substring(x["head"], *part)))
     two_least = lambda every: F.array(*(F.slice(F.array_sort(F.array_distinct(heads(every, p))), 1, 2) for p in _PARTS))
     lines = F.transform(F.split("text", "\n", -1), _parsed)
-    every_line = _bind(lines, lambda every: _bind(two_least(every), lambda lows: F.transform(every, lambda x, i: placed(lows, x, i))))
+    as_numbers = lambda lows: F.transform(lows, lambda two: F.transform(two, lambda digits: F.conv(digits, 16, 10).cast("long")))
+    all_placed = lambda every, lows: _bind(as_numbers(lows), lambda numbers: F.transform(every, lambda x, i: placed(lows, numbers, x, i)))
+    every_line = _bind(lines, lambda every: _bind(two_least(every), lambda lows: all_placed(every, lows)))
     has_token = docs.where(F.col("text").rlike(r"[^ \t-\r]"))
     rows = has_token.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.explode(every_line).alias("line"))
     return rows.select("doc_id", "text_key", "line.*").where(F.col("n") >= MIN_TOKENS)
@@ -100,6 +104,11 @@ def _perhaps_in(lines: DataFrame, leaves: DataFrame) -> DataFrame:
     return lines.where(F.get(flags, place) == 1)
 
 
+def _frequent(lines: DataFrame, key: str) -> DataFrame:
+    """Keys of so many lines that they can recur, with ``lines``: one number a key is moved, where most have few lines."""
+    return lines.groupBy(key).agg(F.count("*").alias("lines")).where(F.col("lines") >= MIN_DOCS)
+
+
 def _recurring(lines: DataFrame, key: str) -> DataFrame:
     by_text = lines.groupBy(key, "text_key").agg(*(F.min(a).alias(a) for a in _AROUND))
     found = by_text.groupBy(key).agg(
@@ -110,30 +119,47 @@ def _recurring(lines: DataFrame, key: str) -> DataFrame:
 
 
 def _general_templates(lines: DataFrame) -> DataFrame:
-    """Per leaf the places that one token holds in most lines, if they are enough."""
-    places = lines.select("leaf", "n", F.posexplode(F.split("masked", " ")).alias("place", "token"))
-    counted = places.groupBy("leaf", "n", "place", "token").agg(F.count("*").alias("lines"))
-    first = counted.groupBy("leaf", "n", "place").agg(F.max(F.struct("lines", "token")).alias("top"), F.sum("lines").alias("all"))
-    fixed = first.where("top.lines * 2 > all").groupBy("leaf", "n").agg(
-        F.map_from_entries(F.collect_list(F.struct("place", "top.token"))).alias("fixed")  # as long as one line
-    )
-    return fixed.where(F.size("fixed") - DEPTH >= SIMILARITY * (F.col("n") - DEPTH)).select("leaf", "fixed")
+    """Per leaf the places that one token holds in most lines, if they are enough.
+
+    All lines of a leaf have the same first ``DEPTH`` tokens.  Only lines are moved, not their tokens, but for leaves
+    of more than ``WHOLE`` lines, whose tokens are counted before they are moved.
+    """
+    ids = ("leaf", "n", "place")
+
+    def counted(some: DataFrame) -> DataFrame:
+        tokens = F.split("masked", " ")
+        places = some.select("leaf", "n", F.posexplode(F.slice(tokens, DEPTH + 1, F.col("n"))).alias("place", "token"))
+        return places.groupBy(*ids, "token").agg(F.count("*").alias("lines"))
+
+    lines = lines.select("leaf", "n", "masked", "lines")
+    counts = counted(lines.where(F.col("lines") <= WHOLE).repartition("leaf")), counted(lines.where(F.col("lines") > WHOLE))
+    first = [c.groupBy(*ids).agg(F.max(F.struct("lines", "token")).alias("top"), F.sum("lines").alias("all")) for c in counts]
+    entry = F.struct((F.col("place") + DEPTH).alias("place"), F.col("top.token"))
+    fixed = [
+        f.where("top.lines * 2 > all").groupBy("leaf", "n").agg(F.map_from_entries(F.collect_list(entry)).alias("fixed"))  # as long as one line
+        for f in first
+    ]
+    return fixed[0].union(fixed[1]).where(F.size("fixed") >= SIMILARITY * (F.col("n") - DEPTH)).select("leaf", "fixed")
 
 
 def recurring_lines(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``text_key`` and ``dropped``: the numbers of the lines that fit a recurring template."""
     lines = staged(parsed_lines(docs), "lines")
     ids = ("doc_id", "text_key", "line_no")
-    alike = _spread(lines, _recurring(lines, "template"), "template", "left_semi").select(*ids)
+    common = _spread(lines.select(*ids, "template", *_AROUND), _frequent(lines, "template").select("template"), "template", "left_semi")
+    common = staged(common, "lines-common")
+    alike = _spread(common, _recurring(common, "template"), "template", "left_semi").select(*ids)
     leaves = lines.where(F.col("n") >= DEPTH + 3).groupBy("leaf").agg(
-        F.count_distinct("text_key").alias("docs"), F.min("template").alias("least"), F.max("template").alias("most")
+        F.count("*").alias("lines"), F.min("template").alias("least"), F.max("template").alias("most")
     )
-    leaves = leaves.where((F.col("docs") >= MIN_DOCS) & (F.col("least") != F.col("most"))).select("leaf")
+    leaves = leaves.where((F.col("lines") >= MIN_DOCS) & (F.col("least") != F.col("most"))).select("leaf", "lines")
     leaves = staged(leaves, "line-leaves")
-    mixed = staged(_spread(_perhaps_in(lines, leaves), leaves, "leaf", "left_semi"), "lines-mixed")
+    mixed = staged(_spread(_perhaps_in(lines, leaves), leaves, "leaf", "inner"), "lines-mixed")
+    in_texts = mixed.groupBy("leaf").agg(F.count_distinct("text_key").alias("docs")).where(F.col("docs") >= MIN_DOCS).select("leaf")
+    templates = staged(_general_templates(mixed).join(in_texts, "leaf", "left_semi"), "line-templates")
     tokens = F.split("masked", " ")
     fitting = (
-        _spread(mixed, _general_templates(mixed), "leaf", "inner")
+        _spread(_perhaps_in(mixed, templates), templates, "leaf", "inner")
         .where(F.forall(F.map_entries("fixed"), lambda e: F.get(tokens, e["key"]) == e["value"]))
         .select(*ids, "leaf", *_AROUND)
     )

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import math
+import os
 import re
+import subprocess
+import sys
 import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -495,6 +500,45 @@ def test_line_templates(spark, odd, nothing):
 
 
 
+def test_line_templates_of_large_leaves(spark, monkeypatch):
+    names = lambda k: f"{'abcdefgh'[k % 8]}{'klmnop'[k % 6]}"
+    texts = [
+        f"{names(k)} {k % 7 * 'x'} own words here now {names(k + 1)} {names(k * 3)}\nseen by the user {names(k)} on host today at {names(k // 8)} again\n"
+        f"{'zy'[k % 2]} b {names(k // 3)} end"
+        for k in range(60)
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    wanted = sorted(lines.drop_recurring(docs).collect())
+    assert sum(r.n_dropped for r in wanted) >= 60 and all("seen by" not in r.text for r in wanted)
+    monkeypatch.setattr(lines, "WHOLE", 10)
+    assert sorted(lines.drop_recurring(docs).collect()) == wanted
+
+
+def test_lines_move_little(tmp_path):
+    """What op10's search for recurring lines moves between tasks, in a session of its own with an event log."""
+    (tmp_path / "events").mkdir()
+    code = f"""
+from pyspark.sql import SparkSession, functions as F
+from fleetlake.llm import lines
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", 8)
+spark = spark.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", "file://{tmp_path}/events")
+spark = spark.config("spark.eventLog.rolling.enabled", "false").config("spark.eventLog.compress", "false")
+spark = spark.config("spark.sql.autoBroadcastJoinThreshold", -1).config("spark.checkpoint.dir", "{tmp_path}/shared").getOrCreate()
+line = lambda *parts: F.concat_ws(" ", *(F.translate(F.sha2(F.concat_ws("-", F.lit(p), *on), 256), "0123456789", "ghijklmnop") for p, *on in parts))
+k, j = F.col("doc_id").cast("string"), F.col("j").cast("string")
+docs = spark.range(3000).withColumnRenamed("id", "doc_id").select("doc_id", F.explode(F.sequence(F.lit(1), F.lit(10))).alias("j"))
+own = F.concat_ws(" ", line(("a", k, j)), F.lit("c d e f"), line(("b", k, j)))
+docs = docs.groupBy("doc_id").agg(F.array_join(F.collect_list(own), chr(10)).alias("text"))
+docs.write.parquet("{tmp_path}/docs")
+lines.recurring_lines(spark.read.parquet("{tmp_path}/docs")).write.parquet("{tmp_path}/out")
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=200, capture_output=True, env=os.environ | {"PYTHONPATH": str(Path(__file__).parents[2])})
+    events = [json.loads(x) for f in (tmp_path / "events").iterdir() for x in f.read_text().splitlines()]
+    moved = sum(e["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Bytes Written"] for e in events if e["Event"] == "SparkListenerTaskEnd")
+    assert moved < 120 * 30_000  # 30,000 lines, of which none recurs
+
+
 def test_quality_scores_do_not_depend_on_the_layout(spark):
     texts = [" ".join(words(30 + k % 50, k, 40 if k % 3 else 900)) for k in range(200)]
     docs = spark.createDataFrame(list(enumerate(texts)) + [(5, texts[5])], "doc_id long, text string")
