@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,8 +49,7 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
 def bounded(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most about ``limit`` bytes of text, or of one row."""
     for batch in batches:
-        sizes = np.fromiter((len(t) for t in texts(batch, column)), np.int64, batch.num_rows)
-        ends, start = np.cumsum(sizes), 0
+        ends, start = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), dtype=np.int64), 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
