@@ -20,6 +20,7 @@ Rows that repeat a document are kept and treated alike.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ SIMILARITY = 0.6
 SALTS = 16
 #: Lines of a leaf that one task may count by itself; the counts of larger leaves are put together from many tasks.
 WHOLE = 20_000
-#: Hash classes of leaves by which lines are sifted before a join.
+#: Hash classes of leaves by which lines are sifted before a join, a multiple of 64.
 FLAGS = 65_536
 
 #: The parts of a digest that serve as independent hashes, and the columns made of them.
@@ -96,12 +97,15 @@ def _spread(lines: DataFrame, chosen: DataFrame, key: str, how: str) -> DataFram
 def _perhaps_in(lines: DataFrame, leaves: DataFrame) -> DataFrame:
     """Lines of the leaves and a few others: most lines need not be moved for the join that follows.
 
-    The driver holds one flag for each of ``FLAGS`` hash classes of leaves, however many leaves there are.
+    The driver holds one flag for each of ``FLAGS`` hash classes of leaves, however many leaves there are.  They are
+    bits of longs, since Spark keeps the text of every plan, and each change of it, in the driver.
     """
     place = F.pmod("leaf", F.lit(FLAGS)).cast("int")
     there = {row[0] for row in leaves.select(place).distinct().collect()}
-    flags = F.split(F.lit(",".join("1" if k in there else "0" for k in range(FLAGS))), ",").cast("array<tinyint>")
-    return lines.where(F.get(flags, place) == 1)
+    bits = np.zeros(FLAGS, np.uint8)
+    bits[list(there)] = 1
+    flags = F.split(F.lit(",".join(map(str, np.packbits(bits, bitorder="little").view("<i8").tolist()))), ",").cast("array<long>")
+    return lines.where(F.getbit(F.get(flags, F.shiftright(place, 6)), place.bitwiseAND(F.lit(63))) == 1)
 
 
 def _frequent(lines: DataFrame, key: str) -> DataFrame:

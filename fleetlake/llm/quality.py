@@ -30,6 +30,8 @@ SAMPLE = 20_000
 SHARDS = 8
 ROUNDS = 6
 BITS = 18
+#: Weights that are averaged together: tasks average the shards part by part, and the driver gets the mean alone.
+PART = 1 << 12
 THRESHOLD = 0.3
 #: Follow-the-regularised-leader: step size, its smoothing, and the penalties on weights.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 1e-5, 1e-5
@@ -120,23 +122,42 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
                 for _, some, labels_ in parts:
                     leader.update(some, np.array(labels_, float))
                     seen += len(some)
+                w, n = leader.w.astype(np.float32), leader.n.astype(np.float32)
+                at = range(0, len(w), PART)
                 yield pa.RecordBatch.from_pydict(
-                    {"shard": [shard], "seen": [seen], "w": [leader.w.astype(np.float32).tobytes()], "n": [leader.n.astype(np.float32).tobytes()]},
+                    {
+                        "part": list(range(len(at))),
+                        "shard": [shard] * len(at),
+                        "seen": [seen] * len(at),
+                        "w": [w[k : k + PART].tobytes() for k in at],
+                        "n": [n[k : k + PART].tobytes() for k in at],
+                    },
                     schema=_SHARD,
                 )
 
-        shards = rows.mapInArrow(fit, "shard int, seen long, w binary, n binary").collect()  # SHARDS rows at most
-        if not shards:
+        fitted = rows.mapInArrow(fit, "part int, shard int, seen long, w binary, n binary")
+        ordered = fitted.repartition(SHARDS, "part").sortWithinPartitions("part", "shard")
+        parts = ordered.mapInArrow(_averaged, "part int, w binary, n binary").collect()  # one model, however many shards
+        state.destroy()
+        if not parts:
             break
-        shards.sort(key=lambda r: r.shard)
-        share = np.array([r.seen for r in shards]) / sum(r.seen for r in shards)
-        weights = sum(s * np.frombuffer(r.w, np.float32) for s, r in zip(share, shards, strict=True)).astype(np.float32)
-        squares = sum(s * np.frombuffer(r.n, np.float32) for s, r in zip(share, shards, strict=True)).astype(np.float32)
-        state.unpersist()
+        parts.sort(key=lambda r: r.part)
+        weights, squares = (np.concatenate([np.frombuffer(r[c], np.float32) for r in parts]) for c in ("w", "n"))
     return weights
 
 
-_SHARD = pa.schema([("shard", pa.int32()), ("seen", pa.int64()), ("w", pa.binary()), ("n", pa.binary())])
+_SHARD = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("seen", pa.int64()), ("w", pa.binary()), ("n", pa.binary())])
+_AVERAGE = pa.schema([("part", pa.int32()), ("w", pa.binary()), ("n", pa.binary())])
+
+
+def _averaged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The mean of the shards for each part of the model, by the documents that each has seen; rows are in order of part and shard."""
+    rows = (row for batch in batches for row in batch.to_pylist())
+    for part, of in groupby(rows, key=lambda r: r["part"]):
+        shards = list(of)
+        share = np.array([r["seen"] for r in shards]) / sum(r["seen"] for r in shards)
+        mean = lambda c: sum(s * np.frombuffer(r[c], np.float32) for s, r in zip(share, shards, strict=True)).astype(np.float32)  # noqa: B023, E731
+        yield pa.RecordBatch.from_pydict({"part": [part], "w": [mean("w").tobytes()], "n": [mean("n").tobytes()]}, schema=_AVERAGE)
 
 
 def _mini_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes], list[int]]]:

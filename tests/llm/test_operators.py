@@ -548,3 +548,45 @@ def test_quality_scores_do_not_depend_on_the_layout(spark):
         weights = quality.train(docs.repartition(n), marked.repartition(n))
         found.append(sorted((r.row.doc_id, r.score) for r in quality.score(docs, weights).collect()))
     assert found[0] == found[1] == found[2]
+
+
+def test_quality_shards_are_averaged_in_tasks(spark, monkeypatch):
+    texts = [" ".join(words(30 + k % 7, k, 300 if k % 3 else 60)) for k in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marks = spark.createDataFrame([(k, int(k % 3 > 0)) for k in range(0, 200, 2)], "doc_id long, quality int")
+    key = F.xxhash64("doc_id", "text")
+    rows = docs.join(marks, "doc_id").select(F.pmod(key, F.lit(quality.SHARDS)).alias("shard"), key.alias("key"), "text", "quality").collect()
+    sent, collect = [], type(docs).collect
+
+    def counted(df):
+        out = collect(df)
+        sent.append(sum(len(v) for r in out for v in r if isinstance(v, (bytes, bytearray))))
+        return out
+
+    monkeypatch.setattr(type(docs), "collect", counted)
+    weights = quality.train(docs, marks)
+    assert len(sent) == quality.ROUNDS and set(sent) == {8 * len(weights)}  # one model of two floats a weight
+
+    plain, squares = np.zeros_like(weights), np.zeros_like(weights)
+    for _ in range(quality.ROUNDS):
+        means = [0, 0]
+        for shard in range(quality.SHARDS):
+            own, leader = sorted((r.key, r.text, r.quality) for r in rows if r.shard == shard), quality.Leader(plain, squares)
+            for at in range(0, len(own), quality.MINI_BATCH):
+                some = own[at : at + quality.MINI_BATCH]
+                leader.update([t.encode() for _, t, _ in some], np.array([q for _, _, q in some], float))
+            share = np.float64(len(own) / len(rows))
+            means = [m + share * x.astype(np.float32) for m, x in zip(means, (leader.w, leader.n), strict=True)]
+        plain, squares = (m.astype(np.float32) for m in means)
+    assert np.array_equal(weights, plain) and weights.any()
+
+
+def test_line_flags_are_short_in_a_plan(spark):
+    given = spark.range(0, 3000).select(F.xxhash64("id").alias("leaf"))
+    leaves = given.where(F.abs(F.col("leaf")) % 4 == 0)
+    place = lambda leaf: leaf % lines.FLAGS
+    there = {place(r.leaf) for r in leaves.collect()}
+    sifted = lines._perhaps_in(given, leaves)
+    assert by_row(r.leaf for r in sifted.collect()) == by_row(r.leaf for r in given.collect() if place(r.leaf) in there)
+    assert lines._perhaps_in(given, leaves.limit(0)).count() == 0
+    assert len(sifted._jdf.queryExecution().executedPlan().toString()) < lines.FLAGS
